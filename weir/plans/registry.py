@@ -7,11 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a function under its name, with its SQL if there is one."""
+
+    def add(f: Query) -> Query:
+        if f.__name__ in QUERIES:
+            raise ValueError(f"{f.__name__} is registered already")
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _load() -> None:
+    from weir.plans import queries_columns, queries_compare, queries_loads, queries_logs, queries_sources, queries_spec  # noqa: F401, PLC0415
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    _load()
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(SQL)
