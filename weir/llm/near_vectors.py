@@ -89,35 +89,53 @@ def _deal(p: NearVectors) -> Callable:
     return deal
 
 
+def _candidates(part: np.ndarray, budget: float, rows: np.ndarray, columns: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs whose squared distance in the block may be within the budget: rows x columns, or rows among themselves.
+
+    Distances come from one product for each piece, small enough for a core's cache.
+    """
+    own = (part * part).sum(axis=1, keepdims=True)
+    left, right = np.hstack([-2 * part, own, np.ones_like(own)]), np.hstack([part, np.ones_like(own), own])
+    within = columns is None
+    columns = rows if within else columns
+    right = right[columns].T
+    for r in range(0, len(rows), 128):
+        some = rows[r : r + 128]
+        for c in range(r if within else 0, len(columns), 4096):
+            near = left[some] @ right[:, c : c + 4096] <= budget + 1e-5
+            hit = np.flatnonzero(near)
+            if len(hit):
+                u, v = np.divmod(hit, near.shape[1])
+                ok = c + v > r + u if within else slice(None)
+                yield some[u][ok], columns[c + v][ok]
+
+
 def _compare(p: NearVectors) -> Callable:
-    """For each tile and class with a link in it: how many vectors it links with, and a smaller class that it reaches."""
+    """For each tile and class with a link in it: how many vectors it links with, and a class that it reaches."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["dims", "block", "cell", "i", "j"]):
-            t = t.sort_by("rep").combine_chunks()
+            t = t.combine_chunks()
             rep, n, own, side = (t.column(c).to_numpy() for c in ("rep", "n", "own", "chunk"))
-            b, within = t.column("block")[0].as_py(), t.column("i")[0].as_py() == t.column("j")[0].as_py()
+            b, i, j = (t.column(c)[0].as_py() for c in ("block", "i", "j"))
             x = _matrix(t.column("embedding").chunk(0))
             y = _turned(x, p)
             blocks = _blocks(x.shape[1], p)
             first, last, budget = blocks[b]
             part = y[:, first:last].astype(np.float32)
-            half = (part * part).sum(axis=1)
             norm = np.linalg.norm(x, axis=1)
             links, forest = np.zeros(len(rep), np.int64), Forest(len(rep))
-            step = max(1, 4_000_000 // len(rep))
-            for k in range(0, len(rep), step):
-                rows = slice(k, k + step)
-                near = half[rows, None] + half[None, k:] - 2 * (part[rows] @ part[k:].T) <= budget + 1e-5
-                a, c = np.nonzero(near)
-                a, c = a + k, c + k
-                ok = (c > a) & (own[a] | own[c])
-                if not within:
-                    ok &= side[a] != side[c]
-                a, c = a[ok], c[ok]
-                for s in range(0, len(a), 100_000):
-                    u, v = a[s : s + 100_000], c[s : s + 100_000]
+            # Pairs of two vectors that are both only near this cell meet in another one.
+            of = lambda s, o: np.flatnonzero((side == s) & (own == o))
+            if i == j:
+                work = [(of(i, True), None), (of(i, True), of(i, False))]
+            else:
+                work = [(of(i, True), np.flatnonzero(side == j)), (of(i, False), of(j, True))]
+            for rows, columns in work:
+                for u, v in _candidates(part, budget, rows, columns):
                     ok = (x[u] * x[v]).sum(axis=1) / (norm[u] * norm[v]) >= p.cosine
+                    if not ok.any():
+                        continue
                     u, v = u[ok], v[ok]
                     d = (y[u] - y[v]) ** 2
                     fits = np.stack([d[:, f:g].sum(axis=1) <= most * SLACK for f, g, most in blocks], axis=1)
@@ -144,11 +162,12 @@ def near_vectors(vectors: DataFrame, p: NearVectors = NearVectors()) -> DataFram
     Rows with one vec_id are taken as copies of one vector if their components agree. Other columns are not read.
     """
     spark = vectors.sparkSession
-    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     whole = F.coalesce(F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0), F.lit(False))
     valid = vectors.where(whole & F.col("vec_id").isNotNull())
     classes = saved(valid.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    dealt = saved(classes.mapInArrow(_deal(p), "dims int, block int, cell long, own boolean, rep long, n long, embedding array<double>"))
+    dealt = saved(classes.mapInArrow(_deal(p), "dims int, block int, cell long, own boolean, rep long, n long, embedding array<" + kind + ">"))
     cells = dealt.groupBy("dims", "block", "cell").agg(F.ceil(F.count("*") / p.tile).cast("int").alias("of"))
     chunked = dealt.join(cells, ["dims", "block", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
     tiles = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("of", "other")
