@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.boosting import logistic, sigmoid
+from weir.llm.common import smallest
 
 
 @dataclass(frozen=True)
@@ -200,7 +201,7 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
     """Learns from at most `sample` labelled rows that are not held out, those whose doc_id has the smallest hash."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(p.sample)
+    sample = smallest(known, p.sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic").repartition(F.xxhash64("text"))  # a bound of `sample` pairs of numbers
     n = sample.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     if not n.n or not n.t or n.t == n.n:
