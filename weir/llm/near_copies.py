@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import U64, Forest, WordHashes, components, mix, partitions, runs, saved, shingles
+from weir.llm.common import U64, WordHashes, components, mix, partitions, runs, saved, shingles
 
 
 @dataclass(frozen=True)
@@ -92,21 +92,20 @@ def _confirm(p: NearCopies) -> Callable:
             sets = [_set_of(x.as_py(), hashes, p) for x in t.column("text")]
             size = np.array([len(s) for s in sets])
             signs = np.stack([_minima(s, p) for s in sets])
-            forest = Forest(len(docs))
+            part = np.arange(len(docs))  # each document's component so far; pairs within one need no comparison
             for x in range(len(docs)):
                 others = np.flatnonzero((side[x + 1 :] != side[x]) if i != j else np.ones(len(docs) - x - 1, bool)) + x + 1
-                if not len(others):
-                    continue
-                small, large = np.minimum(size[x], size[others]), np.maximum(size[x], size[others])
-                others = others[100 * small >= p.percent * large]
+                others = others[part[others] != part[x]]
+                others = others[100 * np.minimum(size[x], size[others]) >= p.percent * np.maximum(size[x], size[others])]
                 apart = (signs[others] != signs[x]).sum(axis=1)
                 order = np.argsort(apart, kind="stable")
-                for y in others[order[apart[order] <= p.most]].tolist():
-                    if forest.root(x) == forest.root(y):
-                        continue
+                others = others[order[apart[order] <= p.most]]
+                while len(others):
+                    y, others = int(others[0]), others[1:]
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     if 100 * both >= p.percent * (len(sets[x]) + len(sets[y]) - both):
-                        forest.join(x, y)
+                        part[part == part[y]] = part[x]
+                        others = others[part[others] != part[x]]
                         found.append((docs[x], docs[y]))
         yield _links(found)
 
