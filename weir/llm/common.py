@@ -155,12 +155,13 @@ def components(edges: DataFrame) -> DataFrame:
     now = state(e)
     while now[0]:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        low_table = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))  # a table, so that the join may split an id with many neighbours
+        large = both.where("b > a").join(low_table, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))).alias("e")).select("e.a", "e.b").where("a > b").distinct()
         new = saved(small)
         forget(e)
+        forget(low_table)
         e, before = new, now
         now = state(e)
         if now == before:
