@@ -13,20 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.boosting import logistic, sigmoid
-from weir.llm.common import smallest
+from weir.llm.common import partitions, saved, smallest
 
 
 @dataclass(frozen=True)
 class Toxicity:
     """sample: labelled documents, at most, from which lexicon and weights are learned.
 
-    terms: entries of the lexicon, at most. least: toxic documents of the sample that must hold an entry.
-    precision: share of an entry's documents that must be toxic. window: words on each side that make a context.
+    terms: entries of the lexicon, at most. least: share of the sample's toxic texts that must hold an entry, and
+    fewest: their number at least; copies count once, so that words of one copied text don't pass. precision: share of an entry's documents that must be toxic. window: words on each side that make a context.
     """
 
     sample: int = 20_000
-    terms: int = 2000
-    least: int = 4
+    terms: int = 300
+    least: float = 0.005
+    fewest: int = 4
     precision: float = 0.9
     window: int = 8
     threshold: float = 0.3
@@ -202,8 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     """Learns from at most `sample` labelled rows that are not held out, those whose doc_id has the smallest hash."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     sample = smallest(known, p.sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic").repartition(F.xxhash64("text"))  # a bound of `sample` pairs of numbers
-    n = sample.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # a bound of `sample` pairs of numbers
+    texts = saved(texts.select(F.coalesce("text", F.lit("")).alias("text"), "toxic").dropDuplicates().repartition(partitions(docs.sparkSession)))
+    n = texts.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     if not n.n or not n.t or n.t == n.n:
         share = float(n.t / n.n) if n.n else 0.0
         return Model({}, {}, np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), *[0.0] * N_FEATURES]))
@@ -212,8 +214,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     share = F.col("toxic") * balance / (F.col("toxic") * balance + F.col("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (n.t + 1) / ((F.col("clean") + 0.5) / (n.n - n.t + 1)))
     is_stem = F.col("entry").endswith("*")
-    good = counted.where((F.col("toxic") >= F.when(is_stem, 2 * p.least).otherwise(p.least)) & (share >= p.precision) & (F.col("toxic") > F.col("clean")) & (F.length("entry") > 2)).withColumn("odds", odds)
-    rows = good.orderBy(F.desc("odds"), "entry").limit(p.terms).collect()
+    good = counted.where((F.col("toxic") >= F.lit(max(p.fewest, p.least * n.t)) * F.when(is_stem, 2).otherwise(1)) & (share >= p.precision) & (F.col("toxic") > F.col("clean")) & (F.length("entry") > 2)).withColumn("odds", odds)
+    rows = good.orderBy(F.desc("toxic"), "entry").limit(p.terms).collect()
     stems = {r.entry[:-1]: float(r.odds) for r in rows if r.entry.endswith("*")}
     stems = {s: o for s, o in stems.items() if not any(s[:k] in stems for k in range(STEM[0], len(s)))}
     words = {r.entry: float(r.odds) for r in rows if not r.entry.endswith("*")}
@@ -226,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
             f = [features(t.as_py() or "", matches, p) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.list_(pa.float64())), batch.column("toxic")], ["f", "toxic"])
 
-    rows = texts.mapInArrow(rows_of, "f array<double>, toxic int").orderBy("f", "toxic").collect()
+    rows = sorted(texts.mapInArrow(rows_of, "f array<double>, toxic int").collect())  # `sample` rows of numbers at most
     model.weights = logistic(np.array([r.f for r in rows]), np.array([r.toxic for r in rows], float))
     return model
 
