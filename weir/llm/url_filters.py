@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weir.llm.common import saved
+
 
 @dataclass(frozen=True)
 class Templates:
@@ -62,6 +64,7 @@ def _templates(leaves: DataFrame, t: Templates) -> DataFrame:
         apart = (F.col("known") > 0) & (rest > 0) & (F.when((F.col("known") > 0) & (rest > 0), gap > t.z * spread))
         own = branch.join(parent, above).where(apart).select(*above, f"s{d}", F.lit(True).alias("own"))
         out = out.join(own, [*above, f"s{d}"], "left").withColumn(f"t{d}", F.when(F.col(f"s{d}") == "", F.lit("")).when(F.col("own"), F.col(f"s{d}")).otherwise(F.lit("*"))).drop("own")
+        out = saved(out)  # one row for each leaf; keeps the plan short
     return out
 
 
@@ -82,7 +85,7 @@ def url_filters(pages: DataFrame, rules: list[tuple[str, str]], t: Templates = T
     segments = F.split(F.regexp_replace("path", "^/+|/+$", ""), "/+", t.depth)
     rows = rows.withColumns({f"s{d}": _general(F.coalesce(F.get(segments, F.lit(d)), F.lit(""))) for d in range(t.depth)})
     names = [f"s{d}" for d in range(t.depth)]
-    leaves = rows.groupBy("host", *names).agg(F.count("ruled").alias("known"), F.count_if(F.col("ruled") == "block").alias("blocked"))
+    leaves = saved(rows.groupBy("host", *names).agg(F.count("ruled").alias("known"), F.count_if(F.col("ruled") == "block").alias("blocked")))
     shaped = _templates(leaves, t)
     by = ["host", *(f"t{d}" for d in range(t.depth))]
     whole = leaves.agg(F.sum("blocked").alias("b0"), F.sum("known").alias("k0"))
