@@ -391,6 +391,26 @@ def test_trees_accept_what_the_formats_miss(spark):
     assert p[labels].mean() > 0.8 > 0.3 > p[~labels].mean()
 
 
+def test_planted_data_that_the_formats_miss_is_added_and_redacted(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 4 = 0").select(*load(spark, "documents").columns)
+    planted = {
+        "EMAIL": ["ann.roth (at) mail.example.com", "k.lee [at] uni [dot] org"],
+        "IP": ["2001:db8:85a3::8a2e:370:7334", "fe80::1ff:fe23:4567:890a"],
+        "CARD": ["4111.1111.1111.1111", "5555  5555  5555  4444"],
+        "PHONE": ["(555) 123-4567", "415.555.0134"],
+    }
+    decoys = ["2024-01-05 10:20", "4111.1111.1111.1112", "met (at) noon. Then", "999.10.10.10", "12:30:45"]
+    some = [(k, s) for k, of in planted.items() for s in of] + [("", s) for s in decoys]
+    rows = [(-1 - n, f"the words before {s} and after", "en", "x", 1) for n, (_, s) in enumerate(some)]
+    assert not any(v for r in rows for v in P.base_spans(r[1]).values())
+    every = docs.unionByName(spark.createDataFrame(rows, DOCS))
+    spans = got(P.personal_data(every).where("doc_id < 0"), "doc_id", "spans")
+    clean = got(P.redacted(every).where("doc_id < 0"), "doc_id", "text")
+    for n, (kind, s) in enumerate(some):
+        assert spans[-1 - n][0] == (f"{kind.lower()}:17:{17 + len(s)}" if kind else ""), s
+        assert clean[-1 - n][0] == f"the words before {f'<{kind}>' if kind else s} and after"
+
+
 # the pipeline
 
 
