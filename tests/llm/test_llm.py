@@ -177,6 +177,17 @@ def test_backoff_scores(spark, odd):
     assert backoff_scores(frame(spark, [])).count() == 0
 
 
+def test_backoff_scores_join_counted_bigrams(spark, odd):
+    """A passage in all documents and one in a single long document: each document brings one row for a bigram."""
+    rng = random.Random(8)
+    some = [*odd, *((5000 + k, "a b " * 40 + words(rng, 30)) for k in range(300)), (6000, "c d " * 20_000)]
+    out = backoff_scores(frame(spark, some))
+    assert got(out, "doc_id", "n_words", "score_micro") == plain_scores(some, Backoff())
+    assert "SortMergeJoin [gram" in out._jdf.queryExecution().toString()
+    every = Backoff(vocabulary=None)
+    assert got(backoff_scores(frame(spark, some), every), "doc_id", "n_words", "score_micro") == plain_scores(some, Backoff(vocabulary=1 << 40))
+
+
 # 5 mixing
 
 

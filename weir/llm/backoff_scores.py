@@ -8,27 +8,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import U64, mix, partitions, runs, saved, words_of
+from weir.llm.common import U64, WordHashes, mix, saved, words_of
 
 
 @dataclass(frozen=True)
 class Backoff:
-    """vocabulary: the most frequent words that keep a count of their own; all others count as one unknown word.
+    """vocabulary: the most frequent words that keep a count of their own; all others count as one unknown word. None: all words do.
 
     A bigram seen fewer than `least` times backs off to the word's own frequency times `discount`.
     """
 
-    vocabulary: int = 50_000
+    vocabulary: int | None = 50_000
     least: int = 2
     discount: float = 0.4
 
 
 SCALE = 1_000_000  # scores are summed as whole millionths, so that sums do not hang on their order
-HELD = 1_000_000  # different words that a task counts before it hands the counts on
+HELD = 1_000_000  # different words, or places of bigrams, that a task counts before it hands the counts on
+BITS = 26  # of a word's number in a bigram's
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,71 +47,77 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _explode(ids, buckets: int) -> Callable:
-    """The bigrams of each part of 4096 rows by bucket: (word before, word) and the row's number in the part, packed in 64 bits."""
+def _numbers(ids) -> Callable:
+    """Words as numbers: their place in the vocabulary, 1 for the unknown word, or without a vocabulary their hash. 0 is a text's start."""
+    if ids is None:
+        return WordHashes().of
+    get = ids.value.get
+    return lambda words: np.fromiter((get(x, 1) for x in words), U64, len(words))
+
+
+def _bigrams(words: np.ndarray, packed: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each word, and a number for the two: both of them packed, or a hash."""
+    before = np.concatenate([np.zeros(1, U64), words[:-1]])
+    return before, (before << U64(BITS)) | words if packed else mix(before * U64(0x9E3779B97F4A7C15) + words)
+
+
+def _count_bigrams(ids) -> Callable:
+    """Partial counts: (gram, n), and (before, word) where the gram doesn't tell them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = _numbers(ids), [], 0
+
+        def out() -> pa.RecordBatch:
+            before, word, gram = (np.concatenate(x) for x in zip(*held, strict=True))
+            gram, first, n = np.unique(gram, return_index=True, return_counts=True)
+            more = [before[first].view(np.int64), word[first].view(np.int64)] if ids is None else []
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram.view(np.int64), n, *more)], ["gram", "n", "before", "word"][: 2 + len(more)])
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = ids.value.get
-        number = TaskContext.get().partitionId() << 32  # parts are numbered, in order, within their task's partition
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                number += 1
-                packed = []
-                for row, text in enumerate(part.column("text")):
-                    words = words_of(text.as_py())
-                    w = np.fromiter((get(x, 1) for x in words), U64, len(words))
-                    before = np.concatenate([np.zeros(1, U64), w[:-1]])
-                    packed.append((before << U64(38)) | (w << U64(12)) | U64(row))
-                p = np.sort(np.concatenate(packed)) if packed else np.zeros(0, U64)
-                bucket = (mix(p >> U64(12)) % U64(buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                p, bucket = p[order], bucket[order]
-                docs = part.column("doc_id").to_numpy(zero_copy_only=False)
-                null = part.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-                which, begin = np.unique(bucket, return_index=True)
-                rows = []
-                for b, i, j in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(p)], strict=True):
-                    some, again = np.unique(p[i:j] & U64(4095), return_inverse=True)
-                    some = some.astype(np.int64)
-                    own = (p[i:j] & ~U64(4095)) | again.astype(U64)
-                    rows.append((b, own.tobytes(), [None if null[k] else int(docs[k]) for k in some.tolist()]))
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.list_(pa.int64()))))], ["part", "bucket", "bigrams", "docs"])
+            for text in batch.column("text"):
+                words = words_of(text.as_py())
+                if words:
+                    w = number(words)
+                    before, gram = _bigrams(w, ids is not None)
+                    held.append((before, w, gram))
+                    size += len(w)
+                if size > HELD:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
 
-    return explode
+    return count
 
 
-def _score(counts, total: int, p: Backoff) -> Callable:
-    """Each bucket holds all places of its bigrams: count them, look the counts up at each place, sum by document within a part."""
+def _explode(ids) -> Callable:
+    """The bigrams of each row with their numbers there."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = counts.value
-        for t in runs(batches, ["bucket"]):
-            rows = [np.frombuffer(x.as_py(), U64) for x in t.column("bigrams")]
-            bigram, at, n = np.unique(np.concatenate(rows) >> U64(12), return_inverse=True, return_counts=True)
-            before, word = (bigram >> U64(26)).astype(np.int64), (bigram & U64((1 << 26) - 1)).astype(np.int64)
-            value = np.where(n >= p.least, np.log(n / f[before]), np.log(p.discount * f[word] / total))
-            value = np.rint(value * SCALE).astype(np.int64)[at]
-            start = 0
-            sums, seen = [], []
-            for row, of in zip(rows, t.column("docs"), strict=True):
-                local = (row & U64(4095)).astype(np.int64)
-                s = np.zeros(len(of), np.int64)
-                np.add.at(s, local, value[start : start + len(row)])
-                start += len(row)
-                sums.append(s)
-                seen.append(np.bincount(local, minlength=len(of)))
-            yield pa.RecordBatch.from_arrays([t.column("part").combine_chunks(), t.column("docs").combine_chunks(), pa.array(sums, pa.list_(pa.int64())), pa.array(seen, pa.list_(pa.int64()))], ["part", "docs", "micro", "n"])
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = _numbers(ids)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                rows, grams, times = [], [], []
+                for row, text in enumerate(part.column("text")):
+                    words = words_of(text.as_py())
+                    if words:
+                        gram, n = np.unique(_bigrams(number(words), ids is not None)[1], return_counts=True)
+                        rows.append(np.full(len(gram), row))
+                        grams.append(gram.view(np.int64))
+                        times.append(n.astype(np.int32))
+                if rows:
+                    docs = part.column("doc_id").take(pa.array(np.concatenate(rows)))
+                    yield pa.RecordBatch.from_arrays([docs, pa.array(np.concatenate(grams)), pa.array(np.concatenate(times))], ["doc_id", "gram", "times"])
 
-    return score
+    return explode
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of each part's documents over all buckets."""
-    for t in runs(batches, ["part"]):
-        docs, micro, n = (t.column(c).combine_chunks().flatten() for c in ("docs", "micro", "n"))
-        out = pa.table([docs, micro, n], ["doc_id", "micro", "n"]).group_by("doc_id").aggregate([("micro", "sum"), ("n", "sum")])
-        yield from out.select(["doc_id", "micro_sum", "n_sum"]).rename_columns(["doc_id", "micro", "n"]).to_batches()
+def _number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = WordHashes()
+    for batch in batches:
+        w = np.array([number[x] if x else 0 for x in batch.column("word").to_pylist()], U64)
+        yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), batch.column("n")], ["id", "n"])
 
 
 def _most_frequent(counted: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -132,23 +138,33 @@ def backoff_scores(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:
     """doc_id, n_words, score_micro of every row of docs(doc_id, text, ...): the sum of log scores in millionths.
 
     S(w | v) = count(v w) / count(v) if the corpus has `v w` at least `least` times, else discount * count(w) / words.
-    The first word's v is the text's start. Word counts cover all texts; the vocabulary, whose size is a parameter,
-    is the only thing that reaches the driver. Bigrams of all texts are dealt by hash, counted in their bucket
-    and joined to their places there, then summed by document. Null and empty texts have 0 words and a score of 0.
+    The first word's v is the text's start. Word counts cover all texts; a vocabulary of given size is
+    the only thing that reaches the driver; without one nothing does, and words and bigrams go by 64-bit hashes.
+    Bigrams are counted within tasks, then by an aggregation into a saved table of their values, which is joined to
+    the bigrams of each document, and the products are summed by document. Null and empty texts have 0 words and a score of 0.
     Rows with one doc_id are scored as one document. Other columns are not read.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counted = saved(docs.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    top = _most_frequent(counted, p.vocabulary)
     sizes = counted.groupBy((F.length("word") > 0).alias("real")).agg(F.sum("n").alias("n")).collect()
     total = sum(r.n for r in sizes if r.real)
-    f = np.array([sum(r.n for r in sizes if not r.real), total - sum(n for _, n in top), *(n for _, n in top)], np.float64)
-    ids = spark.sparkContext.broadcast({w: k + 2 for k, (w, _) in enumerate(top)})
-    counts = spark.sparkContext.broadcast(np.maximum(f, 1))
-    buckets = partitions(spark)
-    dealt = docs.mapInArrow(_explode(ids, buckets), "part long, bucket int, bigrams binary, docs array<long>").repartitionById(buckets, F.col("bucket"))
-    sums = dealt.mapInArrow(_score(counts, total, p), "part long, docs array<long>, micro array<long>, n array<long>")
-    scored = sums.repartition(buckets, "part").sortWithinPartitions("part").mapInArrow(_gather, "doc_id long, micro long, n long")
-    none = docs.select("doc_id", F.lit(0).cast("long").alias("micro"), F.lit(0).cast("long").alias("n"))
+    if p.vocabulary is None:
+        ids = None
+        words = saved(counted.mapInArrow(_number_words, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")))
+        bigrams = docs.mapInArrow(_count_bigrams(ids), "gram long, n long, before long, word long")
+        bigrams = bigrams.groupBy("gram").agg(F.sum("n").alias("n"), F.min("before").alias("before"), F.min("word").alias("word"))
+    else:
+        top = _most_frequent(counted, p.vocabulary)
+        f = [sum(r.n for r in sizes if not r.real), total - sum(n for _, n in top), *(n for _, n in top)]
+        ids = spark.sparkContext.broadcast({w: k + 2 for k, (w, _) in enumerate(top)})
+        words = F.broadcast(spark.createDataFrame(list(enumerate(f)), "id long, n long"))  # two numbers for each word of the vocabulary
+        bigrams = docs.mapInArrow(_count_bigrams(ids), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        bigrams = bigrams.withColumns({"before": F.shiftright("gram", BITS), "word": F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1))})
+    bigrams = bigrams.join(words.select(F.col("id").alias("before"), F.col("n").alias("n_before")), "before").join(words.select(F.col("id").alias("word"), F.col("n").alias("n_word")), "word")
+    score = F.when(F.col("n") >= p.least, F.log(F.col("n") / F.col("n_before"))).otherwise(F.log(p.discount * F.col("n_word") / F.lit(float(max(total, 1)))))
+    values = saved(bigrams.select("gram", F.rint(score * SCALE).cast("long").alias("value")))  # a table, so that the join may split a frequent bigram
+    grams = docs.mapInArrow(_explode(ids), "doc_id long, gram long, times int")
+    scored = grams.join(values.hint("merge"), "gram").groupBy("doc_id").agg(F.sum("times").alias("n"), F.sum(F.col("times") * F.col("value")).alias("micro"))
+    none = docs.select("doc_id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("micro"))
     return scored.unionByName(none).groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("micro").alias("score_micro"))
