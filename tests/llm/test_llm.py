@@ -342,6 +342,31 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert T.toxicity(frame(spark, []), labels).count() == 0
 
 
+def test_lexicon_of_many_rare_terms(spark):
+    rng = random.Random(5)
+    terms = ["".join(x) for x in rng.sample([(a, b, c, d) for a in "bdfgk" for b in "aeiou" for c in "lmnrst" for d in "aeiou"], 350)]
+    some = [(k, f"{words(rng, 10)} {terms[k % 350]} {words(rng, 10)}") for k in range(350 * 9)] + [(10_000 + k, words(rng, 20)) for k in range(350 * 9)]
+    labels = spark.createDataFrame([(i, int(i < 10_000)) for i, _ in some], "doc_id long, toxic int")
+    model = T.train(frame(spark, some), labels)
+    assert set(terms) <= set(model.words)
+    out = T.toxicity(frame(spark, some), labels).where("held_out")
+    assert not out.where("predicted != int(doc_id < 10000)").count()
+    # entries under a stem take no place
+    some = [(k, f"{words(rng, 10)} {'blork drunz fliss'.split()[k % 3]}{rng.choice(['an', 'en', 'ing', 'ot'])}") for k in range(300)] + [(10_000 + k, words(rng, 20)) for k in range(300)]
+    labels = spark.createDataFrame([(i, int(i < 10_000)) for i, _ in some], "doc_id long, toxic int")
+    assert set(T.train(frame(spark, some), labels, T.Toxicity(terms=3)).stems) == {"blor", "drun", "flis"}
+
+
+def test_words_skip_the_walk_only_where_it_finds_nothing():
+    rng = random.Random(6)
+    made = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    a = T.Automaton({made(rng.randrange(3, 12)): rng.random() for _ in range(60)}, {made(4): 1.0 for _ in range(5)})
+    some = [made(rng.randrange(1, 15)) for _ in range(1500)]
+    found = [a.match(w) for w in some]
+    a._is_near = lambda word: True
+    assert found == [a.match(w) for w in some] and 0 < sum(map(bool, found)) < len(some)
+
+
 def test_quotation_is_told_from_abuse():
     m = T.Matches(T.Automaton({"idiot": 2.0}, {}))
     quoted = T.features('he said that the word "idiot" is an insult', m, T.Toxicity())

@@ -20,14 +20,14 @@ from weir.llm.common import partitions, saved, smallest
 class Toxicity:
     """sample: labelled documents, at most, from which lexicon and weights are learned.
 
-    terms: entries of the lexicon, at most. least: share of the sample's toxic texts that must hold an entry, and
-    fewest: their number at least; copies count once, so that words of one copied text don't pass. precision: share of an entry's documents that must be toxic. window: words on each side that make a context.
+    terms: entries of the lexicon, at most, those of the highest odds; entries under a stem are none. least: toxic texts
+    of the sample that must hold an entry; copies count once, so that words of one copied text don't pass.
+    precision: share of an entry's documents that must be toxic. window: words on each side that make a context.
     """
 
     sample: int = 20_000
-    terms: int = 300
-    least: float = 0.005
-    fewest: int = 4
+    terms: int = 2000
+    least: int = 4
     precision: float = 0.9
     window: int = 8
     threshold: float = 0.3
@@ -44,11 +44,21 @@ def plain(word: str) -> str:
     return EDGE.sub("", word).lower()
 
 
+def _shortened(word: str, errors: int) -> set[str]:
+    """The word without up to so many letters."""
+    out = last = {word}
+    for _ in range(errors):
+        last = {x[:k] + x[k + 1 :] for x in last for k in range(len(x))}
+        out = out | last
+    return out
+
+
 class Automaton:
     """The lexicon's trie walked by all Levenshtein automata at once; sets of states are numbered as they are met.
 
     A state is (node, errors). Whole terms of five letters or more allow one error, of nine or more two; stems allow
-    none and accept any ending. Most words leave the trie after a few letters.
+    none and accept any ending. The walk grows with the lexicon: words that share no string with a term after as many
+    deletions as it allows errors are not within its errors, and skip it.
     """
 
     BOUND = 200_000
@@ -57,6 +67,7 @@ class Automaton:
         self.next: list[dict[str, int]] = [{}]
         self.end: list[tuple[float, bool] | None] = [None]
         self.allow = [0]
+        self.most: dict[int, int] = {}  # errors of the term that ends at a node; a longer one through it may allow more
         for entries, stem in ((stems, True), (words, False)):
             for term, weight in sorted(entries.items()):
                 errors = 0 if stem or len(term) < 5 else 1 if len(term) < 9 else 2
@@ -71,9 +82,17 @@ class Automaton:
                     self.allow[node] = max(self.allow[node], errors)
                 if stem or not self.end[node]:
                     self.end[node] = (weight, stem)
+                    self.most[node] = errors
         self.errors_of = {t: 0 if len(t) < 5 else 1 if len(t) < 9 else 2 for t in words}
+        self.near = [{x for t, most in self.errors_of.items() if most == e for x in _shortened(t, e)} for e in range(3)]
+        self.longest = max(map(len, words), default=0) + 2
+        self.stems = stems
+        self.lengths = sorted({len(x) for x in stems})
         self._reset()
 
+    def _is_near(self, word: str) -> bool:
+        return len(word) <= self.longest and any(near and not near.isdisjoint(_shortened(word, e)) for e, near in enumerate(self.near))
+
     def _reset(self) -> None:
         self.sets: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
@@ -112,6 +131,8 @@ class Automaton:
         """Weight and kind (0 exact, 1 with errors, 2 stem) of the best term that accepts the word."""
         if len(self.sets) > self.BOUND:
             self._reset()
+        if not self._is_near(word):
+            return next(((self.stems[word[:n]], 2) for n in self.lengths if word[:n] in self.stems), None)
         at, stem = self.start, None
         for c in word:
             to = self.moves[at].get(c)
@@ -122,7 +143,7 @@ class Automaton:
                 for node, e in self.sets[at]:
                     if e == 0 and (end := self.end[node]) and end[1]:
                         stem = (end[0], 2)
-        found = [(e, -end[0]) for node, e in self.sets[at] if (end := self.end[node]) and not end[1] and e <= self.allow[node]]
+        found = [(e, -end[0]) for node, e in self.sets[at] if (end := self.end[node]) and not end[1] and e <= self.most[node]]
         if not found:
             return stem
         e, weight = min(found)
@@ -214,12 +235,14 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     share = F.col("toxic") * balance / (F.col("toxic") * balance + F.col("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (n.t + 1) / ((F.col("clean") + 0.5) / (n.n - n.t + 1)))
     is_stem = F.col("entry").endswith("*")
-    good = counted.where((F.col("toxic") >= F.lit(max(p.fewest, p.least * n.t)) * F.when(is_stem, 2).otherwise(1)) & (share >= p.precision) & (F.col("toxic") > F.col("clean")) & (F.length("entry") > 2)).withColumn("odds", odds)
-    rows = good.orderBy(F.desc("toxic"), "entry").limit(p.terms).collect()
-    stems = {r.entry[:-1]: float(r.odds) for r in rows if r.entry.endswith("*")}
-    stems = {s: o for s, o in stems.items() if not any(s[:k] in stems for k in range(STEM[0], len(s)))}
-    words = {r.entry: float(r.odds) for r in rows if not r.entry.endswith("*")}
-    words = {w: o for w, o in words.items() if not any(w[:k] in stems for k in range(STEM[0], len(w)))}  # a stem accepts these
+    good = counted.where((F.col("toxic") >= p.least * F.when(is_stem, 2).otherwise(1)) & (share >= p.precision) & (F.col("toxic") > F.col("clean")) & (F.length("entry") > 2)).withColumn("odds", odds)
+    good = saved(good.select("entry", "odds", F.regexp_replace("entry", r"\*$", "").alias("own")))
+    begins = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])), lambda k: F.when(k < F.length("own"), F.substring(F.col("own"), F.lit(1), k)))
+    stem = good.where(is_stem).select(F.col("own").alias("begin"))
+    nested = good.select("entry", F.explode(begins).alias("begin")).join(stem, "begin").select("entry").distinct()  # a stem accepts these
+    rows = good.join(nested, "entry", "left_anti").orderBy(F.desc("odds"), "entry").limit(p.terms).collect()
+    stems = {r.own: float(r.odds) for r in rows if r.entry.endswith("*")}
+    words = {r.own: float(r.odds) for r in rows if not r.entry.endswith("*")}
     model = Model(words, stems, np.zeros(N_FEATURES + 1))
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
