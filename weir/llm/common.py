@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -25,14 +26,36 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's folder for checkpoints; a local one is made only where none is set, as in tests."""
+    """The cluster's folder for checkpoints. One is made only where none is set and there is one machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='weir-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def private(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, with as many underscores as it takes to be none of those taken, whatever their case."""
+    have = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def every(df: DataFrame) -> list[Column]:
+    """All columns of df, whatever signs their names have."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def smallest(df: DataFrame, n: int) -> DataFrame:
     """The n rows of df(doc_id, ...) whose doc_id has the smallest hash. Rows far above the hash that about 2n rows
     stay below are filtered first, so that a partition hands on its share of them and not n rows."""
@@ -120,24 +143,18 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-class Forest:
-    """Union-find over 0..n-1; a root is the smallest of its tree."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = x = up[up[x]]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
+def join_roots(up: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The root of each element after u[k] and v[k] are joined; up holds the roots before. A root is its tree's smallest element."""
+    while True:
+        a, b = up[u], up[v]
+        apart = a != b
+        if not apart.any():
+            return up
+        a, b = a[apart], b[apart]
+        up = up.copy()
+        np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+        while (next_up := up[up]).tobytes() != up.tobytes():
+            up = next_up
 
 
 def components(edges: DataFrame) -> DataFrame:

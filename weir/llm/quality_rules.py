@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import saved
+from weir.llm.common import every, private, saved
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -18,34 +18,20 @@ SYMBOLS = "[#*$%&|<>]"
 class LineLimits:
     """A line goes if more different texts of its host hold it than `texts` and than `share` of the host's texts.
 
-    Only lines of at most `words` words are judged: longer ones that recur are passages or copies, not furniture.
-    A document is depleted if less than `left` of its words or fewer than `least` words stay after a removal.
+    A document is depleted if a removal leaves less than `left` of its words, or fewer than `least`: so many the base rules ask for.
     """
 
     texts: int = 20
     share: float = 0.002
-    words: int = 15
-    left: float = 0.3
-    least: int = 20
+    left: float = 0.5
+    least: int = 50
 
 
-def _normal(line: Column) -> Column:
-    """Lower case, digits as 0, white space as single spaces."""
-    return F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), SPACE, " "), "[0-9]+", "0")))
-
-
-def _n_words(text: Column) -> Column:
-    return F.size(F.filter(F.split(text, SPACE), lambda w: w != ""))
-
-
-def _is_short(line: Column, limits: LineLimits) -> Column:
-    """At most so many words and at least one: no more than that many begin in the line."""
-    return line.rlike(WORD) & ~line.rlike(rf"(?:(?:^|{SPACE})[^\x20\x09-\x0D]+){{{limits.words + 1}}}")
-
-
-def _short_lines(text: Column, limits: LineLimits) -> Column:
-    short = F.filter(F.split(text, "\n"), lambda x: _is_short(x, limits))
-    return F.transform(short, lambda x: F.struct(_normal(x).alias("line"), _n_words(x).cast("long").alias("n")))
+def _lines(text: Column) -> Column:
+    """Hash and number of words of each line, blank ones too: in lower case, digits as 0, white space as single spaces."""
+    flat = F.regexp_replace(F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " "), "[0-9]+", "0")
+    words = lambda x: F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
+    return F.transform(F.transform(F.split(flat, "\n"), F.trim), lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("n")))
 
 
 def _repeat_words() -> Column:
@@ -74,21 +60,18 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def _judged(docs: DataFrame, limits: LineLimits) -> DataFrame:
-    """Of every row: doc_id, text_hash, the base counts, lines to remove, kept. Written once, so that text is parsed once."""
+    """Of every row: doc_id, host, text_hash, the base counts, lines to remove, kept. Written once, so that text is parsed once."""
     rows = base_counts(docs.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), "text"))
-    rows = saved(rows.withColumns({"text_hash": F.xxhash64("text"), "short": _short_lines(F.coalesce("text", F.lit("")), limits)}).drop("text"))
+    lines = F.filter(_lines(F.coalesce("text", F.lit(""))), lambda x: x.n > 0)
+    rows = saved(rows.withColumns({"row": F.monotonically_increasing_id(), "text_hash": F.xxhash64("text"), "held": lines}).drop("text"))
     texts = rows.groupBy("host").agg(F.count_distinct("text_hash").alias("texts"))
-    lines = rows.select("doc_id", "host", "text_hash", F.explode("short").alias("x")).select("doc_id", "host", "text_hash", "x.line", "x.n")
-    counted = lines.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("holders"))
-    common = counted.join(texts, "host").where((F.col("holders") > limits.texts) & (F.col("holders") > limits.share * F.col("texts"))).select("host", "line")
-    keys = ["doc_id", "host", "text_hash"]
-    removed = lines.join(common, ["host", "line"]).groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_set("line").alias("removed_lines"))
-    # Rows that repeat a document bring its lines as often: a row's own share is the sum over their number.
-    copies = rows.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
-    on = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
-    removed = removed.alias("r").join(copies.alias("c"), on("r", "c"), "left").select("r.*", (F.col("n") / F.coalesce("copies", F.lit(1))).cast("long").alias("n_removed"))
-    joined = rows.drop("short").alias("d").join(removed.alias("r"), on("d", "r"), "left")
-    out = joined.select("d.*", F.coalesce("r.n_removed", F.lit(0)).cast("long").alias("n_removed"), "r.removed_lines")
+    once = rows.select("host", "text_hash", F.explode(F.array_distinct(F.transform("held", lambda x: x.line))).alias("line"))
+    counted = once.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("holders")).where(F.col("holders") > limits.texts)
+    # A table, so that Spark knows its size and broadcasts it only if it is small.
+    common = saved(counted.join(texts, "host").where(F.col("holders") > limits.share * F.col("texts")).select("host", "line"))
+    placed = rows.select("row", "host", F.explode("held").alias("x")).select("row", "host", "x.line", "x.n")
+    removed = placed.join(common, ["host", "line"]).groupBy("row").agg(F.sum("n").alias("gone"), F.collect_set("line").alias("removed_lines"))
+    out = rows.drop("held").join(removed, "row", "left").withColumn("n_removed", F.coalesce("gone", F.lit(0)).cast("long"))
     stay = F.col("n_words") - F.col("n_removed")
     depleted = (F.col("n_removed") > 0) & ((stay < limits.left * F.col("n_words")) | (stay < limits.least))
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
@@ -97,20 +80,25 @@ def _judged(docs: DataFrame, limits: LineLimits) -> DataFrame:
 def quality_rules(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     """doc_id, the base counts, base_failed, n_removed, kept of every row of docs(doc_id, text, source, ...).
 
-    Lines are normalised and hashed; different texts (copies count once) are counted for each host and line. The
-    host of a document is its source; a null one is the empty host. Null and empty texts have no word and fail; so do
-    very short ones. Rows that repeat a document get the same verdict. Other columns are not read.
+    Lines of any length are normalised and hashed; different texts (copies count once) are counted for each host and line.
+    Lines above the limits are removed, and a document that is depleted by it is rejected. The host of a document is its
+    source; a null one is the empty host. Null and empty texts have no word and fail; so do very short ones. Rows that
+    repeat a document get the same verdict. Other columns are not read.
     """
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed", "kept"]
     return _judged(docs, limits).select(*columns)
 
 
 def apply_quality_rules(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
-    """docs without rejected documents, and without the common lines in those that stay; n_chars follows if there is one."""
-    verdicts = _judged(docs, limits).where("kept").select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_hash").alias("_hash"), F.col("removed_lines").alias("_removed"))
-    verdicts = verdicts.dropDuplicates(["_id", "_host", "_hash"])
-    joined = docs.join(verdicts, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.coalesce(docs["source"], F.lit("")) == F.col("_host")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_hash")))
-    lines = F.filter(F.split("text", "\n"), lambda x: ~(_is_short(x, limits) & F.array_contains("_removed", _normal(x))))
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
-    out = joined.withColumn("text", text).select(docs.columns)
+    """docs without rejected documents, and without the common lines in those that stay; n_chars follows if there is one.
+
+    All columns stay, whatever their names.
+    """
+    doc, host, text_hash, gone = private(docs.columns, "_doc", "_host", "_hash", "_gone")
+    verdicts = _judged(docs, limits).where("kept").select(F.col("doc_id").alias(doc), F.col("host").alias(host), F.col("text_hash").alias(text_hash), F.col("removed_lines").alias(gone))
+    verdicts = verdicts.dropDuplicates([doc, host, text_hash])
+    joined = docs.join(verdicts, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.coalesce(docs["source"], F.lit("")) == F.col(host)) & F.xxhash64(docs["text"]).eqNullSafe(F.col(text_hash)))
+    left = F.filter(F.arrays_zip(F.split("text", "\n").alias("raw"), _lines(F.col("text")).alias("held")), lambda x: ~F.array_contains(gone, x.held.line))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda x: x.raw), "\n"))
+    out = joined.withColumn("text", text).select(*every(docs))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
