@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm.common import saved
@@ -13,14 +12,18 @@ from weir.llm.common import saved
 
 @dataclass(frozen=True)
 class Templates:
-    """depth: segments of a template. z: how far a branch's share of blocked urls must lie from its siblings' to stay apart.
+    """z: how far shares of blocked urls may lie apart for branches to be merged; bins: how finely shares are told apart.
 
-    prior: urls that the share of the next wider node counts as. purity: smoothed share of blocked urls at which a template is rejected.
+    least: labelled urls that a branch must have before it is merged; so neither unlabelled branches nor those with
+    hardly a label take over what others are. prior: urls of the share `neutral` that each template counts besides its own.
+    purity: smoothed share of blocked urls at which a template is rejected.
     """
 
-    depth: int = 3
     z: float = 2.58
+    bins: int = 20
+    least: int = 5
     prior: float = 5.0
+    neutral: float = 0.5
     purity: float = 0.9
 
 
@@ -50,52 +53,56 @@ def _general(segment: Column) -> Column:
     return F.when(segment.rlike(r"[0-9]|%|.{25,}"), F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1))).otherwise(segment)
 
 
-def _templates(leaves: DataFrame, t: Templates) -> DataFrame:
-    """leaves(host, s0 ..., n, known, blocked) with t0 ...: segments whose branch blocks as its siblings do become wildcards."""
-    out = leaves
-    for d in range(t.depth):
-        above = ["host", *(f"t{k}" for k in range(d))]
-        branch = out.groupBy(*above, f"s{d}").agg(F.sum("known").alias("known"), F.sum("blocked").alias("blocked"))
-        parent = branch.groupBy(*above).agg(F.sum("known").alias("all_known"), F.sum("blocked").alias("all_blocked"))
-        rest = F.col("all_known") - F.col("known")
-        pooled = F.col("all_blocked") / F.col("all_known")
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("known") + 1 / rest))
-        gap = F.abs(F.col("blocked") / F.col("known") - (F.col("all_blocked") - F.col("blocked")) / rest)
-        apart = (F.col("known") > 0) & (rest > 0) & (F.when((F.col("known") > 0) & (rest > 0), gap > t.z * spread))
-        own = branch.join(parent, above).where(apart).select(*above, f"s{d}", F.lit(True).alias("own"))
-        out = out.join(own, [*above, f"s{d}"], "left").withColumn(f"t{d}", F.when(F.col(f"s{d}") == "", F.lit("")).when(F.col("own"), F.col(f"s{d}")).otherwise(F.lit("*"))).drop("own")
-        out = saved(out)  # one row for each leaf; keeps the plan short
-    return out
+def _levels() -> Column:
+    """For each segment of `segments`: its number, a hash of those before it, itself."""
+    return F.transform("segments", lambda s, d: F.struct(d.alias("level"), F.xxhash64(F.slice("segments", F.lit(1), d)).alias("above"), s.alias("segment")))
+
+
+def _alike(leaves: DataFrame, t: Templates) -> DataFrame:
+    """(host, level, above, segment, alike) of branches that block as labelled siblings do; those of one number are merged.
+
+    A node's branches are laid into `bins` by their share of blocked urls; neighbouring bins are one if their shares don't
+    differ. So no more rows than bins come together for a node, however many branches it has.
+    """
+    node = ["host", "level", "above"]
+    labelled = leaves.where("known > 0").select("host", F.explode(_levels()).alias("x"), "known", "blocked").select("host", "x.*", "known", "blocked")
+    branch = labelled.groupBy(*node, "segment").agg(F.sum("known").alias("known"), F.sum("blocked").alias("blocked")).where(F.col("known") >= t.least)
+    branch = branch.withColumn("bin", F.floor(F.col("blocked") / F.col("known") * t.bins + 0.5))
+    bins = branch.groupBy(*node, "bin").agg(F.sum("known").alias("known"), F.sum("blocked").alias("blocked"), F.count("*").alias("branches"))
+    order = Window.partitionBy(*node).orderBy("bin")
+    known, blocked = F.lag("known").over(order), F.lag("blocked").over(order)
+    pooled = (F.col("blocked") + blocked) / (F.col("known") + known)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("known") + 1 / known))
+    gap = F.abs(F.col("blocked") / F.col("known") - blocked / known)
+    bins = bins.withColumn("apart", F.coalesce(gap > t.z * spread, F.lit(True)).cast("int")).withColumn("alike", F.sum("apart").over(order))
+    several = bins.groupBy(*node, "alike").agg(F.sum("branches").alias("n")).where("n > 1").drop("n")
+    return branch.join(bins.select(*node, "bin", "alike").join(several, [*node, "alike"]), [*node, "bin"]).select(*node, "segment", "alike")
 
 
 def url_filters(pages: DataFrame, rules: list[tuple[str, str]], t: Templates = Templates()) -> DataFrame:
     """page_id, host, path, rule, verdict, template, purity of every row of pages(page_id, url, ...).
 
     rules: (verdict, host and path) pairs, a parameter of at most some hundred; the longest that fits a url wins. Urls
-    that a rule judges are the labelled ones. Each host's paths form a tree of segments; segments with digits are
-    wildcards from the start, and branches whose share of blocked urls doesn't differ from their siblings' are merged
-    level by level. A template is rejected if its share of blocked urls, smoothed by its host's and that by the whole
-    table's, is `purity` or more. Urls without a rule get their template's verdict, allow where nothing is known.
+    that a rule judges are the labelled ones. Each host's paths form a tree of segments, of any depth; segments with digits are
+    wildcards from the start, and of each node's branches, labelled ones whose share of blocked urls doesn't differ from
+    that of labelled siblings become one numbered wildcard. Branches without labels stay themselves. A template is rejected
+    if the share of blocked urls among its own labelled ones, smoothed towards `neutral`, is `purity` or more; no other path's
+    labels count. Urls without a rule get their template's verdict, allow where nothing is known.
     Null urls and those without :// have an empty host and path and are one template. Rows count as often as they
     occur. Other columns are not read.
     """
     host, path = parts(F.col("url"))
     rule, verdict = _rule(rules)
     rows = pages.select("page_id", host.alias("host"), path.alias("path")).withColumns({"rule": rule, "ruled": verdict})
-    segments = F.split(F.regexp_replace("path", "^/+|/+$", ""), "/+", t.depth)
-    rows = rows.withColumns({f"s{d}": _general(F.coalesce(F.get(segments, F.lit(d)), F.lit(""))) for d in range(t.depth)})
-    names = [f"s{d}" for d in range(t.depth)]
-    leaves = saved(rows.groupBy("host", *names).agg(F.count("ruled").alias("known"), F.count_if(F.col("ruled") == "block").alias("blocked")))
-    shaped = _templates(leaves, t)
-    by = ["host", *(f"t{d}" for d in range(t.depth))]
-    whole = leaves.agg(F.sum("blocked").alias("b0"), F.sum("known").alias("k0"))
-    whole = whole.select(F.when(F.col("k0") > 0, F.col("b0") / F.col("k0")).otherwise(0.0).alias("p0"))
-    hosts = leaves.groupBy("host").agg(F.sum("blocked").alias("b1"), F.sum("known").alias("k1")).join(F.broadcast(whole), F.lit(True))  # one row
-    hosts = hosts.select("host", ((F.col("b1") + t.prior * F.col("p0")) / (F.col("k1") + t.prior)).alias("p1"))
-    nodes = shaped.groupBy(*by).agg(F.sum("blocked").alias("b2"), F.sum("known").alias("k2")).join(hosts, "host")
-    nodes = nodes.select(*by, ((F.col("b2") + t.prior * F.col("p1")) / (F.col("k2") + t.prior)).alias("purity"))
-    template = reduce(lambda a, b: F.concat(a, F.when(b == "", F.lit("")).otherwise(F.concat(F.lit("/"), b))), [F.col(f"t{d}") for d in range(t.depth)], F.lit(""))
-    judged = shaped.join(nodes, by).select("host", *names, template.alias("template"), "purity")
-    out = rows.join(judged, ["host", *names])
+    rows = rows.withColumn("segments", F.transform(F.filter(F.split("path", "/+"), lambda s: s != ""), _general))
+    leaves = rows.groupBy("host", "segments").agg(F.count("ruled").alias("known"), F.count_if(F.col("ruled") == "block").alias("blocked"))
+    leaves = saved(leaves.withColumn("leaf", F.monotonically_increasing_id()))
+    alike = saved(_alike(leaves, t))
+    at = leaves.select("leaf", "host", F.explode(_levels()).alias("x")).select("leaf", "host", "x.*")
+    stars = at.join(alike, ["host", "level", "above", "segment"]).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("level", "alike"))).alias("stars"))
+    named = F.transform("segments", lambda s, d: F.concat(F.lit("/"), F.coalesce(F.concat(F.lit("*"), F.try_element_at("stars", d)), s)))
+    shaped = saved(leaves.join(stars, "leaf", "left").select("host", "segments", "known", "blocked", F.array_join(named, "").alias("template")))
+    smoothed = (F.sum("blocked") + t.prior * t.neutral) / (F.sum("known") + t.prior)
+    judged = shaped.join(shaped.groupBy("host", "template").agg(smoothed.alias("purity")), ["host", "template"]).select("host", "segments", "template", "purity")
     own = F.when(F.col("purity") >= t.purity, F.lit("block")).otherwise(F.lit("allow"))
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template", "purity")
+    return rows.join(judged, ["host", "segments"]).select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template", "purity")
