@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import partitions
+from weir.llm.common import every, partitions, private
 
 
 @dataclass(frozen=True)
@@ -51,23 +51,28 @@ def rates(docs: DataFrame, mix: Mix) -> DataFrame:
     return out.withColumn("cdf", F.aggregate(steps, start, add, lambda a: a.cdf))
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """docs, each row as often as its Poisson number says, with `copy` (0, 1, ...), in globally shuffled order.
+def mixed(docs: DataFrame, mix: Mix = Mix(), number: str | None = "copy") -> DataFrame:
+    """docs, each row as often as its Poisson number says, with the copy's `number` (0, 1, ...), in globally shuffled order.
 
-    The number is the inverse of the source's Poisson distribution at a uniform number made from seed, doc_id and part, so
+    The number of copies is the inverse of the source's Poisson distribution at a uniform number made from seed, doc_id and part, so
     every run and every partitioning gives the same rows. Its mean is the source's target share of the result over its
     share of the input. Null sources are one source, named by the empty text; a null doc_id is drawn as the empty text, rows with one
     doc_id alike. Texts of any length travel once, to the partition that a hash of doc_id and copy gives, and are sorted there by it.
-    An empty table gives no rows.
+    An empty table gives no rows. All columns stay, whatever their names, but one that is named as the copy's number, which
+    that replaces; without a name no number is added.
     """
-    r = rates(docs, mix).select(F.col("source").alias("_source"), "parts", "cdf")
+    source, parts, cdf, key, copy, order = private(docs.columns, "_source", "_parts", "_cdf", "_key", "_copy", "_order")
+    r = rates(docs.select("source"), mix).select(F.col("source").alias(source), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
     r = F.broadcast(r) if r.limit(mix.few + 1).count() <= mix.few else r
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    joined = docs.join(r.select("_source", F.col("parts").alias("_parts"), F.col("cdf").alias("_cdf")), F.coalesce(docs["source"], F.lit("")) == F.col("_source"))
-    part = lambda k: uniform(F.concat(F.lit(f"{mix.seed}:"), F.col("_key"), F.lit(":"), k.cast("string")))
-    joined = joined.withColumn("_key", key).withColumn("_drawn", F.transform(F.sequence(F.lit(1), F.col("_parts")), part))
-    n = F.aggregate("_drawn", F.lit(0), lambda a, u: a + F.size(F.filter("_cdf", lambda c: c <= u)))
-    copies = joined.withColumn("_n", n).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    order = F.xxhash64(F.lit(mix.seed), F.col("_key"), F.col("copy"))
-    placed = copies.withColumn("_order", order).select(*docs.columns, "copy", "_order")
-    return placed.repartition(partitions(docs.sparkSession), "_order").sortWithinPartitions("_order", "copy").drop("_order")
+    joined = docs.join(r, F.coalesce(docs["source"], F.lit("")) == F.col(source))
+    joined = joined.withColumn(key, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    part = lambda k: uniform(F.concat(F.lit(f"{mix.seed}:"), F.col(key), F.lit(":"), k.cast("string")))
+    drawn = F.transform(F.sequence(F.lit(1), F.col(parts)), part)
+    n = F.aggregate(drawn, F.lit(0), lambda a, u: a + F.size(F.filter(cdf, lambda c: c <= u)))
+    copies = joined.withColumn(parts, n).where(F.col(parts) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(parts) - 1)))
+    placed = copies.withColumn(order, F.xxhash64(F.lit(mix.seed), key, copy))
+    placed = placed.repartition(partitions(docs.sparkSession), order).sortWithinPartitions(order, copy)
+    if number is None:
+        return placed.select(*every(docs))
+    own = [c for c, name in zip(every(docs), docs.columns, strict=True) if name.lower() != number.lower()]
+    return placed.select(*own, F.col(copy).alias(number))
