@@ -59,21 +59,23 @@ def _super_kmers(h: np.ndarray, p: Passages) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _cut(p: Passages) -> Callable:
-    """The super-k-mers of each text: minimiser, content hash, document, first window, number of windows."""
+    """The super-k-mers of each text: minimiser, content hash, document, its text's hash, first window, number of windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for row, text in enumerate(batch.column("text")):
                 h = hashes.of(words_of(text.as_py()))
-                if doc_id is None or len(h) < p.window:
+                if len(h) < p.window:
                     continue
                 first, n, low = _super_kmers(h, p)
-                for o, x in zip(out, (low.view(np.int64), _spans(h, first, first + n + p.window - 1).view(np.int64), np.full(len(first), doc_id), first, n), strict=True):
+                for o, x in zip(out, (low.view(np.int64), _spans(h, first, first + n + p.window - 1).view(np.int64), np.full(len(first), row), first, n), strict=True):
                     o.append(x)
             if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o), t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["low", "content", "doc_id", "first", "n"])
+                low, content, row, first, n = (np.concatenate(o) for o in out)
+                own = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "own")]
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(content), *own, pa.array(first, pa.int32()), pa.array(n, pa.int32())], ["low", "content", "doc_id", "own", "first", "n"])
 
     return cut
 
@@ -85,9 +87,7 @@ def _pack(p: Passages) -> Callable:
         hashes = WordHashes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("wanted"), strict=True):
-                if not wanted.is_valid:
-                    continue
+            for doc_id, own, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "own")), batch.column("text"), batch.column("wanted"), strict=True):
                 words = words_of(text.as_py())
                 h = None
                 for x in wanted.as_py():
@@ -96,16 +96,23 @@ def _pack(p: Passages) -> Callable:
                         h = hashes.of(words) if h is None else h
                         starts = np.arange(first, first + n)
                         keys = _spans(h, starts, starts + p.window).view(np.int64).tolist()
-                        rows += [(k, True, doc_id, s, 1, x["copies"], b" ".join(words[s : s + p.window])) for k, s in zip(keys, starts.tolist(), strict=True)]
+                        rows += [(k, True, doc_id, own, s, 1, x["copies"], b" ".join(words[s : s + p.window])) for k, s in zip(keys, starts.tolist(), strict=True)]
                     else:
-                        rows.append((x["low"], False, doc_id, first, n, x["copies"], b" ".join(words[first : first + n + p.window - 1])))
-            for k in range(0, len(rows), 20_000):
-                yield pa.RecordBatch.from_pylist([dict(zip(_PACKED.names, r, strict=True)) for r in rows[k : k + 20_000]], schema=_PACKED)
+                        rows.append((x["low"], False, doc_id, own, first, n, x["copies"], b" ".join(words[first : first + n + p.window - 1])))
+                    if len(rows) >= 20_000:
+                        yield _batch(rows)
+                        rows = []
+            if rows:
+                yield _batch(rows)
 
     return pack
 
 
-_PACKED = pa.schema([("bucket", pa.int64()), ("single", pa.bool_()), ("doc_id", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("copies", pa.int64()), ("packed", pa.binary())])
+_PACKED = pa.schema([("bucket", pa.int64()), ("single", pa.bool_()), ("doc_id", pa.int64()), ("own", pa.int32()), ("first", pa.int32()), ("n", pa.int32()), ("copies", pa.int64()), ("packed", pa.binary())])
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PACKED, strict=True)], schema=_PACKED)
 
 
 def _repeats(strings: list[bytes], p: Passages) -> tuple[np.ndarray, np.ndarray]:
@@ -129,103 +136,109 @@ def _repeats(strings: list[bytes], p: Passages) -> tuple[np.ndarray, np.ndarray]
 
 def _sort_count(p: Passages) -> Callable:
     """Windows of once-seen super-k-mers that other super-k-mers of their bucket hold too."""
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
 
-    def sort_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32()))], ["doc_id", "first", "n"])
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "own", "first", "n"])
 
-        rows: list[tuple[int, int, int]] = []
+    def sort_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for single, t in _groups(batches):
             if single:
                 rows += t
             else:
                 string, offset = _repeats(t.column("packed").to_pylist(), p)
-                copies, docs, first = (t.column(c).to_pylist() for c in ("copies", "doc_id", "first"))
-                rows += [(docs[s], first[s] + o, 1) for s, o in zip(string.tolist(), offset.tolist(), strict=True) if copies[s] == 1]
+                copies, docs, own, first = (t.column(c).to_pylist() for c in ("copies", "doc_id", "own", "first"))
+                rows += [(docs[s], own[s], first[s] + o, 1) for s, o in zip(string.tolist(), offset.tolist(), strict=True) if copies[s] == 1]
             if len(rows) >= 20_000:
                 yield out(rows)
                 rows = []
-        yield out(rows)
+        if rows:
+            yield out(rows)
 
     return sort_count
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, object]]:
-    """Tables of the buckets; of windows dealt one by one, the places of equal ones as they come, without gathering them."""
+    """Tables of the buckets; of windows dealt one by one, the places of equal ones batch by batch, without gathering them."""
     before = None
-
-    def parts() -> Iterator[pa.RecordBatch]:
-        nonlocal before
-        for batch in batches:
-            one = batch.filter(batch.column("single"))
-            places = []
-            for r in one.to_pylist():
-                key, place = (r["bucket"], r["packed"]), (r["doc_id"], r["first"], 1)
-                if before and before[0] == key:
-                    places += [*([before[1]] if before[1] else []), place]
-                    before = (key, None)
-                else:
-                    before = (key, place)
-            waiting.extend(places)
-            yield batch.filter(pc.invert(batch.column("single")))
-
-    waiting: list[tuple[int, int, int]] = []
-    for t in runs(parts(), ["bucket"]):
-        if waiting:
-            yield True, list(waiting)
-            waiting.clear()
-        yield False, t
-    yield True, waiting
-
-
-def _keep(p: Passages) -> Callable:
+    held: list[pa.RecordBatch] = []  # the last bucket's, which may go on in the next batch
+    for batch in batches:
+        places = []
+        for r in batch.filter(batch.column("single")).to_pylist():
+            key, place = (r["bucket"], r["packed"]), (r["doc_id"], r["own"], r["first"], 1)
+            if before and before[0] == key:
+                places += [*([before[1]] if before[1] else []), place]
+                before = (key, None)
+            else:
+                before = (key, place)
+        if places:
+            yield True, places
+        rest = batch.filter(pc.invert(batch.column("single")))
+        if not rest.num_rows:
+            continue
+        tables = list(runs(iter([*held, rest]), ["bucket"]))
+        for t in tables[:-1]:
+            yield False, t
+        held = tables[-1].to_batches()
+    if held:
+        yield False, pa.Table.from_batches(held)
+
+
+def _keep(p: Passages, texts: bool) -> Callable:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, sha, kept_texts = [], [], [], []
             for text, marks in zip(batch.column("text"), batch.column("marks"), strict=True):
-                words = words_of(text.as_py())
+                kept = words = words_of(text.as_py())
                 if marks.is_valid:
                     m = np.array([(x["first"], x["n"]) for x in marks.as_py()])
                     edges = np.zeros(len(words) + 1, np.int64)
-                    ok = m[:, 0] + m[:, 1] + p.window - 1 <= len(words)
-                    np.add.at(edges, m[ok, 0], 1)
-                    np.add.at(edges, m[ok, 0] + m[ok, 1] + p.window - 1, -1)
+                    np.add.at(edges, m[:, 0], 1)
+                    np.add.at(edges, m[:, 0] + m[:, 1] + p.window - 1, -1)
                     covered = np.cumsum(edges[:-1]) > 0
                     kept = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-                else:
-                    kept = words
                 joined = b" ".join(kept)
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 sha.append(hashlib.sha256(joined).hexdigest())
-                kept_texts.append(joined.decode())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept_texts, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                if texts:
+                    kept_texts.append(joined.decode())
+            made = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), *([pa.array(kept_texts, pa.string())] if texts else [])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: 1 + len(made)])
 
     return keep
 
 
-def without_repeats(docs: DataFrame, p: Passages = Passages()) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, kept_text of every row of docs(doc_id, text, ...).
+def without_repeats(docs: DataFrame, p: Passages = Passages(), texts: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and, with `texts`, kept_text of every row of docs(doc_id, text, ...).
 
     A word is removed if a window of `window` words covers it whose words start in the same order at any other place,
     in this document or another. Windows are judged on the whole input. Super-k-mers whose content occurs again are
     marked whole; of each content one place travels as a packed string to its minimiser's bucket, and only if other
-    contents have that minimiser. Null, empty and shorter texts lose nothing, nor do rows without a doc_id. Each row
-    counts as a document of its own, also if its doc_id and text occur again; rows with one doc_id but different
-    texts lose the windows marked for either. Other columns are not read.
+    contents have that minimiser. Null, empty and shorter texts lose nothing. Each row counts as a document of its own,
+    also if its doc_id and text occur again; rows with one doc_id or none are told apart by a 32-bit hash of their
+    texts, and each loses its own windows. Other columns are not read.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    cut = saved(docs.mapInArrow(_cut(p), "low long, content long, doc_id long, first int, n int"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("own"), "text")
+    kind = "doc_id long, own int, first int, n int"
+    row = ["doc_id", "own"]
+
+    def joined(few: DataFrame, how: str) -> DataFrame:
+        on = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.own") == F.col("f.own"))
+        return docs.alias("d").join(few.alias("f"), on, how).select("d.*", *(f"f.{c}" for c in few.columns if c not in row))
+
+    cut = saved(docs.mapInArrow(_cut(p), f"low long, content long, {kind}"))
     again = cut.groupBy("low").agg(F.count("*").alias("places")).where("places > 1").select("low")
     cut = saved(cut.join(again, "low"))
-    contents = saved(cut.groupBy("low", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "first", "n")).alias("at")))
-    whole = cut.join(contents.where("copies > 1").select("low", "content"), ["low", "content"]).select("doc_id", "first", "n")
+    contents = saved(cut.groupBy("low", "content").agg(F.count("*").alias("copies"), F.min(F.struct(*row, "first", "n")).alias("at")))
+    whole = cut.join(contents.where("copies > 1").select("low", "content"), ["low", "content"]).select(*row, "first", "n")
     mixed = contents.groupBy("low").agg(F.count("*").alias("contents")).where("contents > 1")
-    wanted = contents.join(mixed, "low").select("at.doc_id", F.struct("low", "copies", "at.first", "at.n", (F.col("contents") > p.crowd).alias("crowded")).alias("x"))
+    wanted = contents.join(mixed, "low").select("at.doc_id", "at.own", F.struct("low", "copies", "at.first", "at.n", (F.col("contents") > p.crowd).alias("crowded")).alias("x"))
     # A super-k-mer may repeat a window inside itself only if its minimiser occurs in it again, which makes two super-k-mers.
-    wanted = wanted.groupBy("doc_id").agg(F.collect_list("x").alias("wanted"))
-    packed = docs.join(wanted, "doc_id", "left").mapInArrow(_pack(p), "bucket long, single boolean, doc_id long, first int, n int, copies long, packed binary")
-    partly = packed.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "single", "packed").mapInArrow(_sort_count(p), "doc_id long, first int, n int")
-    marks = whole.unionByName(partly).groupBy("doc_id").agg(F.collect_list(F.struct("first", "n")).alias("marks"))
-    return docs.join(marks, "doc_id", "left").mapInArrow(_keep(p), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    wanted = wanted.groupBy(*row).agg(F.collect_list("x").alias("wanted"))
+    packed = joined(wanted, "inner").mapInArrow(_pack(p), f"bucket long, single boolean, {kind}, copies long, packed binary")
+    partly = packed.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "single", "packed").mapInArrow(_sort_count(p), kind)
+    marks = whole.unionByName(partly).groupBy(*row).agg(F.collect_list(F.struct("first", "n")).alias("marks"))
+    return joined(marks, "left").mapInArrow(_keep(p, texts), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts)
