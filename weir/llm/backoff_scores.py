@@ -1,8 +1,7 @@
-"""Language-model scores by stupid backoff over corpus counts."""
+"""Language-model scores by stupid backoff over corpus counts of n-grams."""
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -16,155 +15,157 @@ from weir.llm.common import U64, WordHashes, mix, saved, words_of
 
 @dataclass(frozen=True)
 class Backoff:
-    """vocabulary: the most frequent words that keep a count of their own; all others count as one unknown word. None: all words do.
-
-    A bigram seen fewer than `least` times backs off to the word's own frequency times `discount`.
+    """order: words of the longest n-gram. An n-gram seen fewer than `least` times backs off to the one without its
+    first word, times `discount`; a single word never does. chunk: words of which a task explodes the n-grams together.
     """
 
-    vocabulary: int | None = 50_000
+    order: int = 2
     least: int = 2
     discount: float = 0.4
+    chunk: int = 1_000_000
 
 
 SCALE = 1_000_000  # scores are summed as whole millionths, so that sums do not hang on their order
-HELD = 1_000_000  # different words, or places of bigrams, that a task counts before it hands the counts on
-BITS = 26  # of a word's number in a bigram's
-
+START = U64(0x5157)  # stands for the beginning of a text, as if it were a word
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-
-    held: Counter[bytes] = Counter()
-    for batch in batches:
-        for text in batch.column("text"):
-            words = words_of(text.as_py())
-            held.update(words)
-            held[b""] += bool(words)  # no word is empty: this counts the texts with a word, which is how often a first word has no word before it
-        if len(held) > HELD:
-            yield out()
-            held.clear()
-    yield out()
 
+def _hashes(words: np.ndarray, order: int) -> list[np.ndarray]:
+    """For each order from 1, hashes of the n-grams that end before the first word, at it, and so on to the last; the words before a text are its start."""
+    padded = np.concatenate([np.full(order, START, U64), words])
+    out = []
+    for k in range(1, order + 1):
+        h = np.full(len(words) + 1, U64(k), U64)
+        for j in range(order - k, order):
+            h = mix(h * U64(0x9E3779B97F4A7C15) + padded[j : j + len(words) + 1])
+        out.append(h)
+    return out
 
-def _numbers(ids) -> Callable:
-    """Words as numbers: their place in the vocabulary, 1 for the unknown word, or without a vocabulary their hash. 0 is a text's start."""
-    if ids is None:
-        return WordHashes().of
-    get = ids.value.get
-    return lambda words: np.fromiter((get(x, 1) for x in words), U64, len(words))
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers of 32 bits, byte by byte, compressed; their count stands before."""
+    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(x).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
-def _bigrams(words: np.ndarray, packed: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word, and a number for the two: both of them packed, or a hash."""
-    before = np.concatenate([np.zeros(1, U64), words[:-1]])
-    return before, (before << U64(BITS)) | words if packed else mix(before * U64(0x9E3779B97F4A7C15) + words)
 
+def _opened(x: bytes) -> np.ndarray:
+    n = int.from_bytes(x[:4], "little")
+    planes = np.frombuffer(pa.decompress(x[4:], decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
 
-def _count_bigrams(ids) -> Callable:
-    """Partial counts: (gram, n), and (before, word) where the gram doesn't tell them."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = _numbers(ids), [], 0
+_EXPLODED = pa.schema([("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32())), ("n", pa.int32()), *((c, pa.binary()) for c in ("grams", "counts", "orders", "shorter", "before", "places"))])
+_EXPLODED_SQL = "doc_ids array<long>, ends array<int>, n int, grams binary, counts binary, orders binary, shorter binary, before binary, places binary"
 
-        def out() -> pa.RecordBatch:
-            before, word, gram = (np.concatenate(x) for x in zip(*held, strict=True))
-            gram, first, n = np.unique(gram, return_index=True, return_counts=True)
-            more = [before[first].view(np.int64), word[first].view(np.int64)] if ids is None else []
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (gram.view(np.int64), n, *more)], ["gram", "n", "before", "word"][: 2 + len(more)])
-
-        for batch in batches:
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                if words:
-                    w = number(words)
-                    before, gram = _bigrams(w, ids is not None)
-                    held.append((before, w, gram))
-                    size += len(w)
-                if size > HELD:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
 
-    return count
-
-
-def _explode(ids) -> Callable:
-    """The bigrams of each row with their numbers there."""
+def _chunk(ids: list[int | None], held: list[tuple[list[np.ndarray], bool]], order: int) -> pa.RecordBatch:
+    """A row for a chunk of texts: its different n-grams, the most frequent first, with counts, orders, and the numbers of
+    the n-gram without its first word and of the one without its last; and the n-gram of the longest order at each place.
+    """
+    sizes = np.array([len(h[0]) - 1 for h, _ in held])
+    ends = np.cumsum(sizes)
+    firsts = np.concatenate([[0], (ends + np.arange(1, len(ends) + 1))[:-1]])  # where each text begins, with the place before its first word
+    whole = [np.concatenate([h[k] for h, _ in held]) for k in range(order)]
+    at = np.ones(len(whole[0]), bool)
+    at[firsts] = False
+    # What stands before a text's first word counts once a text, and never as an n-gram of the longest order.
+    weight = np.ones(len(whole[0]))
+    weight[firsts] = [begins for _, begins in held]
+    every, number = np.unique(np.concatenate([*whole[:-1], whole[-1][at]]), return_inverse=True)
+    counts = np.bincount(number, np.concatenate([*[weight] * (order - 1), weight[at]])).astype(np.int64)
+    rank = np.argsort(-counts, kind="stable")
+    to = np.empty(len(rank), np.int64)
+    to[rank] = np.arange(len(rank))
+    number = to[number]
+    parts = [number[k * len(at) : (k + 1) * len(at)] for k in range(order - 1)]
+    top = number[(order - 1) * len(at) :]
+    orders, shorter, before = np.ones(len(every), np.uint8), np.zeros(len(every), np.int64), np.zeros(len(every), np.int64)
+    place = np.flatnonzero(at)
+    for k in range(1, order):
+        own = top if k == order - 1 else parts[k][place]
+        orders[own], shorter[own], before[own] = k + 1, parts[k - 1][place], parts[k - 1][place - 1]
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
+        ([ids], [ends], [len(every)], [every[rank].astype("<u8").tobytes()], [_squeezed(counts[rank])], [pa.compress(orders.tobytes(), codec="zstd", asbytes=True)], [_squeezed(shorter)], [_squeezed(before)], [_squeezed(top)]), _EXPLODED, strict=True,
+    )], schema=_EXPLODED)
+
+
+def _explode(p: Backoff) -> Callable:
+    """Texts in chunks of so many words; a long text goes on in the next chunk, with the words before as its history."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _numbers(ids)
+        hashes, held, ids, size = WordHashes(), [], [], 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                rows, grams, times = [], [], []
-                for row, text in enumerate(part.column("text")):
-                    words = words_of(text.as_py())
-                    if words:
-                        gram, n = np.unique(_bigrams(number(words), ids is not None)[1], return_counts=True)
-                        rows.append(np.full(len(gram), row))
-                        grams.append(gram.view(np.int64))
-                        times.append(n.astype(np.int32))
-                if rows:
-                    docs = part.column("doc_id").take(pa.array(np.concatenate(rows)))
-                    yield pa.RecordBatch.from_arrays([docs, pa.array(np.concatenate(grams)), pa.array(np.concatenate(times))], ["doc_id", "gram", "times"])
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                words = hashes.of(words_of(text.as_py()))
+                for a in range(0, len(words), p.chunk):
+                    skip = min(a, p.order)
+                    grams = [x[skip:] for x in _hashes(words[a - skip : a + p.chunk], p.order)]
+                    held.append((grams, a == 0))
+                    ids.append(doc_id)
+                    size += len(grams[0])
+                    if size >= p.chunk:
+                        yield _chunk(ids, held, p.order)
+                        held, ids, size = [], [], 0
+        if held:
+            yield _chunk(ids, held, p.order)
 
     return explode
 
 
-def _number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = WordHashes()
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, chunk, number, n) of every n-gram of every chunk."""
     for batch in batches:
-        w = np.array([number[x] if x else 0 for x in batch.column("word").to_pylist()], U64)
-        yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), batch.column("n")], ["id", "n"])
+        for chunk, grams, counts in zip(*(batch.column(c) for c in ("chunk", "grams", "counts")), strict=True):
+            g, n = np.frombuffer(grams.as_py(), "<i8"), _opened(counts.as_py()).astype(np.int32)
+            for a in range(0, len(g), 100_000):
+                some = slice(a, a + 100_000)
+                k = len(g[some])
+                yield pa.RecordBatch.from_arrays([pa.array(g[some]), pa.array(np.full(k, chunk.as_py())), pa.array(np.arange(a, a + k, dtype=np.int32)), pa.array(n[some])], ["gram", "chunk", "number", "n"])
+
 
+def _score(p: Backoff, total: int) -> Callable:
+    """The sum of log scores of each text's places in a chunk, from the counts that were joined to its n-grams."""
 
-def _most_frequent(counted: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The `most` words with the largest counts, ties by bytes. Counts are first binned, twenty bins to a doubling, so
-    that hardly more words than wanted leave the executors, however many partitions there are."""
-    bin_of = F.floor(F.log2("n") * 20)
-    bins = counted.where("length(word) > 0").groupBy(bin_of.alias("bin")).agg(F.count("*").alias("words")).orderBy(F.desc("bin")).collect()
-    cut, have = 0, 0
-    for b in bins:  # 20 for each doubling of the largest count at most
-        cut, have = b.bin, have + b.words
-        if have >= most:
-            break
-    top = counted.where((F.length("word") > 0) & (bin_of >= cut)).orderBy(F.desc("n"), "word").limit(most)
-    return [(bytes(r.word), r.n) for r in top.collect()]
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                counts = np.ones(row["n"].as_py())
+                if row["counted"].is_valid:
+                    found = row["counted"].values
+                    counts[found.field("number").to_numpy()] = found.field("all").to_numpy()
+                orders = np.frombuffer(pa.decompress(row["orders"].as_py(), decompressed_size=len(counts), codec="zstd", asbytes=True), np.uint8)
+                shorter, before = _opened(row["shorter"].as_py()), _opened(row["before"].as_py())
+                value = counts / total
+                for o in range(2, p.order + 1):
+                    own = np.flatnonzero(orders == o)
+                    value[own] = np.where(counts[own] >= p.least, counts[own] / counts[before[own]], p.discount * value[shorter[own]])
+                whole = np.rint(np.log(value) * SCALE).astype(np.int64)[_opened(row["places"].as_py())]
+                ends = row["ends"].values.to_numpy()
+                sums = np.add.reduceat(whole, np.concatenate([[0], ends[:-1]]))
+                yield pa.RecordBatch.from_arrays([row["doc_ids"].values, pa.array(np.diff(ends, prepend=0).astype(np.int64)), pa.array(sums)], ["doc_id", "n", "micro"])
+
+    return score
 
 
 def backoff_scores(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:
     """doc_id, n_words, score_micro of every row of docs(doc_id, text, ...): the sum of log scores in millionths.
 
-    S(w | v) = count(v w) / count(v) if the corpus has `v w` at least `least` times, else discount * count(w) / words.
-    The first word's v is the text's start. Word counts cover all texts; a vocabulary of given size is
-    the only thing that reaches the driver; without one nothing does, and words and bigrams go by 64-bit hashes.
-    Bigrams are counted within tasks, then by an aggregation into a saved table of their values, which is joined to
-    the bigrams of each document, and the products are summed by document. Null and empty texts have 0 words and a score of 0.
+    S(w | v) = count(v w) / count(v) if the corpus has `v w` at least `least` times, else discount * S(w | shorter v), and
+    at last discount * count(w) / words. A first word's v is the text's start. Counts are of all words of all texts.
+    N-grams go by 64-bit hashes. Tasks list the different n-grams of each chunk of texts with their counts there; an
+    aggregation makes of them the table of counts, partitioned by the n-gram's hash; it is joined to the chunks'
+    n-grams, a chunk's counts return to it, and the scores of its texts are summed by document. No vocabulary is cut
+    and nothing but one sum reaches the driver. Null and empty texts have 0 words and a score of 0.
     Rows with one doc_id are scored as one document. Other columns are not read.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = saved(docs.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    sizes = counted.groupBy((F.length("word") > 0).alias("real")).agg(F.sum("n").alias("n")).collect()
-    total = sum(r.n for r in sizes if r.real)
-    if p.vocabulary is None:
-        ids = None
-        words = saved(counted.mapInArrow(_number_words, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")))
-        bigrams = docs.mapInArrow(_count_bigrams(ids), "gram long, n long, before long, word long")
-        bigrams = bigrams.groupBy("gram").agg(F.sum("n").alias("n"), F.min("before").alias("before"), F.min("word").alias("word"))
-    else:
-        top = _most_frequent(counted, p.vocabulary)
-        f = [sum(r.n for r in sizes if not r.real), total - sum(n for _, n in top), *(n for _, n in top)]
-        ids = spark.sparkContext.broadcast({w: k + 2 for k, (w, _) in enumerate(top)})
-        words = F.broadcast(spark.createDataFrame(list(enumerate(f)), "id long, n long"))  # two numbers for each word of the vocabulary
-        bigrams = docs.mapInArrow(_count_bigrams(ids), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        bigrams = bigrams.withColumns({"before": F.shiftright("gram", BITS), "word": F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1))})
-    bigrams = bigrams.join(words.select(F.col("id").alias("before"), F.col("n").alias("n_before")), "before").join(words.select(F.col("id").alias("word"), F.col("n").alias("n_word")), "word")
-    score = F.when(F.col("n") >= p.least, F.log(F.col("n") / F.col("n_before"))).otherwise(F.log(p.discount * F.col("n_word") / F.lit(float(max(total, 1)))))
-    values = saved(bigrams.select("gram", F.rint(score * SCALE).cast("long").alias("value")))  # a table, so that the join may split a frequent bigram
-    grams = docs.mapInArrow(_explode(ids), "doc_id long, gram long, times int")
-    scored = grams.join(values.hint("merge"), "gram").groupBy("doc_id").agg(F.sum("times").alias("n"), F.sum(F.col("times") * F.col("value")).alias("micro"))
+    chunks = docs.mapInArrow(_explode(p), _EXPLODED_SQL)
+    chunks = saved(chunks.withColumn("chunk", F.monotonically_increasing_id()))  # written once, so that the numbers stay
+    listed = chunks.select("chunk", "grams", "counts").mapInArrow(_listed, "gram long, chunk long, number int, n int")
+    counts = listed.groupBy("gram").agg(F.sum("n").alias("all")).where("all > 1")
+    counts = saved(counts)  # a table, so that the join may split a frequent n-gram; those that occur once need no lookup
+    total = chunks.select(F.element_at("ends", -1).cast("long").alias("words")).agg(F.sum("words")).first()[0] or 1
+    found = listed.drop("n").join(counts.hint("merge"), "gram").groupBy("chunk").agg(F.collect_list(F.struct("number", "all")).alias("counted"))
+    scored = chunks.drop("grams", "counts").join(found, "chunk", "left").mapInArrow(_score(p, total), "doc_id long, n long, micro long")
     none = docs.select("doc_id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("micro"))
     return scored.unionByName(none).groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("micro").alias("score_micro"))
