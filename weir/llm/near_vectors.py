@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import Forest, components, partitions, runs, saved
+from weir.llm.common import components, join_roots, partitions, runs, saved
 
 
 @dataclass(frozen=True)
@@ -18,13 +18,12 @@ class NearVectors:
     """cosine: the least that links. block: dimensions in a block of the rotated unit vectors.
 
     Unit vectors with a cosine of at least c differ by at most 2 - 2c in squared distance, so in one block at least
-    by at most that block's share in proportion to its dimensions. Each block is range-joined under its share on a grid over its
-    first `grid` dimensions, whose cells are twice the range wide. tile: rows of one side of a unit of work.
+    by at most that block's share in proportion to its dimensions. Each block is range-joined under its share, first by
+    its first dimension in cells twice the range wide. tile: rows of one side of a unit of work.
     """
 
     cosine: float = 0.9
-    block: int = 8
-    grid: int = 2
+    block: int = 16
     tile: int = 16_000
     seed: int = 1
 
@@ -53,7 +52,7 @@ def _turned(x: np.ndarray, p: NearVectors) -> np.ndarray:
 
 
 def _deal(p: NearVectors) -> Callable:
-    """Each vector's own cell in each block, and the smaller cells that come within the block's range of it."""
+    """Each vector's coordinates in each block, for its own cell and for the smaller cell that comes within the block's range of it."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,31 +63,22 @@ def _deal(p: NearVectors) -> Callable:
                 some = batch.take(pa.array(which))
                 y = _turned(_matrix(some.column("embedding")), p)
                 for b, (first, last, budget) in enumerate(_blocks(dims, p)):
-                    g = min(p.grid, last - first)
                     reach = np.sqrt(budget * SLACK) + 1e-9
-                    at = y[:, first : first + g]
-                    low, home, high = (np.floor((at + d) / (2 * reach)).astype(np.int64) for d in (-reach, 0, reach))
-                    row, cell, own = [np.arange(len(y))], [home], [np.ones(len(y), bool)]
-                    for step in np.ndindex(*[2] * g):  # a range of twice the reach touches two cells a dimension
-                        other = np.where(np.array(step, bool), high, low)
-                        # each combination once, and only cells that sort before the own one
-                        twice = ((low == high) & np.array(step, bool)).any(axis=1)
-                        differ = other != home
-                        lead = differ.argmax(axis=1)
-                        before = differ.any(axis=1) & (np.take_along_axis(other - home, lead[:, None], 1)[:, 0] < 0)
-                        keep = np.flatnonzero(before & ~twice)
-                        row.append(keep), cell.append(other[keep]), own.append(np.zeros(len(keep), bool))
-                    row, cell, own = np.concatenate(row), np.concatenate(cell), np.concatenate(own)
-                    code = np.zeros(len(row), np.int64)
-                    for k in range(g):
-                        code = code * 4_000_003 + cell[:, k]
-                    out = some.take(pa.array(row))
-                    n = len(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, dims), pa.int32()), pa.array(np.full(n, b), pa.int32()), pa.array(code), pa.array(own), *(out.column(c) for c in ("rep", "n", "embedding"))], ["dims", "block", "cell", "own", "rep", "n", "embedding"])
+                    home, low = (np.floor((y[:, first] - d) / (2 * reach)).astype(np.int64) for d in (0, reach))
+                    near = np.flatnonzero(low < home)
+                    row = np.concatenate([np.arange(len(y)), near])
+                    part = y[row, first:last].astype("<f4")
+                    n, width = part.shape
+                    own = np.arange(n) < len(y)
+                    coordinates = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * width), n, [None, pa.py_buffer(part.tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, dims), pa.int32()), pa.array(np.full(n, b), pa.int32()), pa.array(np.concatenate([home, low[near]])), pa.array(own), some.column("rep").take(pa.array(row)), coordinates], _DEALT)
 
     return deal
 
 
+_DEALT = ["dims", "block", "cell", "own", "rep", "part"]
+
+
 def _candidates(part: np.ndarray, budget: float, rows: np.ndarray, columns: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs whose squared distance in the block may be within the budget: rows x columns, or rows among themselves.
 
@@ -110,11 +100,41 @@ def _candidates(part: np.ndarray, budget: float, rows: np.ndarray, columns: np.n
                 yield some[u][ok], columns[c + v][ok]
 
 
+def _work(side: np.ndarray, own: np.ndarray, i: int, j: int) -> list[tuple[np.ndarray, np.ndarray | None]]:
+    """Rows and columns to compare in a tile. Pairs of two vectors that are both only near this cell meet in another one."""
+    of = lambda s, o: np.flatnonzero((side == s) & (own == o))
+    if i == j:
+        return [(of(i, True), None), (of(i, True), of(i, False))]
+    return [(of(i, True), np.flatnonzero(side == j)), (of(i, False), of(j, True))]
+
+
+def _near(p: NearVectors) -> Callable:
+    """The rows of each tile that have a partner within the block's budget, by the block's coordinates alone."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, TILE):
+            t = t.combine_chunks()
+            own, side = (t.column(c).to_numpy() for c in ("own", "chunk"))
+            b, i, j, dims = (t.column(c)[0].as_py() for c in ("block", "i", "j", "dims"))
+            part = np.frombuffer(b"".join(t.column("part").to_pylist()), "<f4").reshape(t.num_rows, -1)
+            has = np.zeros(t.num_rows, bool)
+            for rows, columns in _work(side, own, i, j):
+                for u, v in _candidates(part, _blocks(dims, p)[b][2], rows, columns):
+                    has[u] = has[v] = True
+            if has.any():
+                yield t.select([*TILE, "chunk", "own", "rep"]).filter(pa.array(has)).combine_chunks().to_batches()[0]
+
+    return near
+
+
+TILE = ["dims", "block", "cell", "i", "j"]
+
+
 def _compare(p: NearVectors) -> Callable:
     """For each tile and class with a link in it: how many vectors it links with, and a class that it reaches."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(batches, ["dims", "block", "cell", "i", "j"]):
+        for t in runs(batches, TILE):
             t = t.combine_chunks()
             rep, n, own, side = (t.column(c).to_numpy() for c in ("rep", "n", "own", "chunk"))
             b, i, j = (t.column(c)[0].as_py() for c in ("block", "i", "j"))
@@ -124,14 +144,8 @@ def _compare(p: NearVectors) -> Callable:
             first, last, budget = blocks[b]
             part = y[:, first:last].astype(np.float32)
             norm = np.linalg.norm(x, axis=1)
-            links, forest = np.zeros(len(rep), np.int64), Forest(len(rep))
-            # Pairs of two vectors that are both only near this cell meet in another one.
-            of = lambda s, o: np.flatnonzero((side == s) & (own == o))
-            if i == j:
-                work = [(of(i, True), None), (of(i, True), of(i, False))]
-            else:
-                work = [(of(i, True), np.flatnonzero(side == j)), (of(i, False), of(j, True))]
-            for rows, columns in work:
+            links, roots = np.zeros(len(rep), np.int64), np.arange(len(rep))
+            for rows, columns in _work(side, own, i, j):
                 for u, v in _candidates(part, budget, rows, columns):
                     ok = (x[u] * x[v]).sum(axis=1) / (norm[u] * norm[v]) >= p.cosine
                     if not ok.any():
@@ -143,11 +157,10 @@ def _compare(p: NearVectors) -> Callable:
                     u, v = u[ok], v[ok]
                     np.add.at(links, u, n[v])
                     np.add.at(links, v, n[u])
-                    for q, w in zip(u.tolist(), v.tolist(), strict=True):
-                        forest.join(q, w)
+                    roots = join_roots(roots, u, v)
             has = np.flatnonzero(links)
             if len(has):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[has]), pa.array(links[has]), pa.array(rep[[forest.root(q) for q in has.tolist()]])], ["rep", "links", "reached"])
+                yield pa.RecordBatch.from_arrays([pa.array(rep[has]), pa.array(links[has]), pa.array(rep[roots[has]])], ["rep", "links", "reached"])
 
     return compare
 
@@ -157,7 +170,8 @@ def near_vectors(vectors: DataFrame, p: NearVectors = NearVectors()) -> DataFram
 
     Two vectors are linked if their cosine in double precision is `cosine` or more; n_links counts the other rows
     linked with a row, copies included; component_id is the smallest vec_id that links reach. Equal vectors are one
-    class with a count, so that copies are not compared. Vectors that are null, empty, zero or hold null or
+    class with a count, so that copies are not compared. Blocks are compared by their coordinates alone; whole vectors
+    travel only to the tiles where they have a partner within the block's budget, and are compared there. Vectors that are null, empty, zero or hold null or
     non-finite components, and rows whose vec_id is null, link with nothing; vectors of different length neither.
     Rows with one vec_id are taken as copies of one vector if their components agree. Other columns are not read.
     """
@@ -167,12 +181,13 @@ def near_vectors(vectors: DataFrame, p: NearVectors = NearVectors()) -> DataFram
     whole = F.coalesce(F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0), F.lit(False))
     valid = vectors.where(whole & F.col("vec_id").isNotNull())
     classes = saved(valid.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    dealt = saved(classes.mapInArrow(_deal(p), "dims int, block int, cell long, own boolean, rep long, n long, embedding array<" + kind + ">"))
+    dealt = saved(classes.mapInArrow(_deal(p), "dims int, block int, cell long, own boolean, rep long, part binary"))
     cells = dealt.groupBy("dims", "block", "cell").agg(F.ceil(F.count("*") / p.tile).cast("int").alias("of"))
     chunked = dealt.join(cells, ["dims", "block", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
     tiles = chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("of", "other")
-    keys = ["dims", "block", "cell", "i", "j"]
-    found = saved(tiles.repartition(partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(_compare(p), "rep long, links long, reached long"))
+    dealt_out = lambda df: df.repartition(partitions(spark), *TILE).sortWithinPartitions(*TILE)
+    near = saved(dealt_out(tiles).mapInArrow(_near(p), "dims int, block int, cell long, i int, j int, chunk int, own boolean, rep long"))
+    found = saved(dealt_out(near.join(classes, "rep")).mapInArrow(_compare(p), "rep long, links long, reached long"))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     reached = components(found.select(F.col("rep").alias("a"), F.col("reached").alias("b"))).withColumnRenamed("id", "rep")
     of_class = classes.join(links, "rep", "left").join(reached, "rep", "left").select("embedding", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component_id", "rep").alias("component_id"))
