@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import U64, WordHashes, components, mix, partitions, runs, saved, shingles
+from weir.llm.common import U64, WordHashes, components, every, mix, partitions, private, runs, saved, shingles
 
 
 @dataclass(frozen=True)
@@ -20,17 +20,21 @@ class NearCopies:
 
     A signature is `chunks` x `width` minima of 16 bits. A chunk may hold one position that differs: each of its
     `width` ways to leave one out is a key. Signatures that differ in fewer than 2 x chunks positions share a key by
-    the pigeonhole principle. At a similarity of 0.8, a pair shares none with a probability of about 1e-7.
-    most: positions that may differ in signatures of a pair that is confirmed (31 of 60 or more at a similarity of 0.8: 1e-7).
-    tile: shingles in one side of a tile, the unit of work in which sets are compared.
+    the pigeonhole principle. At a similarity of 0.8, a pair shares none with a probability of about 3e-6; at 0.3, nine pairs in ten do.
+    most: positions that may differ in signatures of a pair that is confirmed (more at a similarity of 0.8: 1e-8).
+    tile: documents of one side of a unit of work in which signatures are compared. deal: documents whose sets one
+    task compares with one other's. few: documents up to which a list of them is broadcast to find their texts
+    (8 bytes each); longer ones are joined, with the same result.
     """
 
     size: int = 5
     percent: int = 80
     chunks: int = 12
-    width: int = 5
-    most: int = 30
-    tile: int = 1_000_000
+    width: int = 6
+    most: int = 36
+    tile: int = 4096
+    deal: int = 128
+    few: int = 200_000
     seed: int = 7
 
 
@@ -41,20 +45,7 @@ def _minima(sets: np.ndarray, p: NearCopies) -> np.ndarray:
     low = np.full(n, np.iinfo(U64).max, U64)
     for k in range(0, len(sets), 8192):
         low = np.minimum(low, ((sets[k : k + 8192, None] ^ b) * a).min(axis=0))
-    return (mix(low) >> U64(48)).astype(np.uint16)
-
-
-def _keys(signature: np.ndarray, p: NearCopies) -> np.ndarray:
-    """For each chunk and each position left out, a hash of the rest."""
-    chunk = signature.astype(U64).reshape(p.chunks, p.width)
-    out = []
-    for left_out in range(p.width):
-        h = np.arange(p.chunks, dtype=U64) * U64(p.width) + U64(left_out)
-        for k in range(p.width):
-            if k != left_out:
-                h = mix(h * U64(0x9E3779B97F4A7C15) + chunk[:, k])
-        out.append(h)
-    return np.concatenate(out)
+    return (mix(low) >> U64(48)).astype("<u2")
 
 
 def _set_of(text: str | None, hashes: WordHashes, p: NearCopies) -> np.ndarray:
@@ -65,55 +56,111 @@ def _sign(p: NearCopies) -> Callable:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids, n, prints, keys = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            n, prints, signs = [], [], []
+            for text in batch.column("text"):
                 s = _set_of(text.as_py(), hashes, p)
-                ids.append(doc_id)
                 n.append(len(s))
                 prints.append(hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None)
-                keys.append(_keys(_minima(s, p), p).view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "keys"])
+                signs.append(_minima(s, p).tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())], ["doc_id", "n_shingles", "print", "sign"])
 
     return sign
 
 
+def _signatures(column: pa.Array, p: NearCopies) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1)
+
+
+def _keys(p: NearCopies) -> Callable:
+    """(rep, key): for each chunk of a signature and each position left out, a hash of the rest."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                some = batch.slice(a, 2000)
+                chunk = _signatures(some.column("sign"), p).astype(U64).reshape(some.num_rows, p.chunks, p.width)
+                out = []
+                for left_out in range(p.width):
+                    h = np.tile(np.arange(p.chunks, dtype=U64) * U64(p.width) + U64(left_out), (some.num_rows, 1))
+                    for k in range(p.width):
+                        if k != left_out:
+                            h = mix(h * U64(0x9E3779B97F4A7C15) + chunk[:, :, k])
+                    out.append(h)
+                key = np.concatenate(out, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some.column("rep").to_numpy(), key.shape[1])), pa.array(key.ravel().view(np.int64))], ["rep", "key"])
+
+    return keys
+
+
+def _within_distance(p: NearCopies) -> Callable:
+    """Pairs (a, b) whose signatures differ in `most` positions or fewer."""
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                apart = (_signatures(batch.column("sign"), p) != _signatures(batch.column("other"), p)).sum(axis=1)
+                yield batch.select(["a", "b"]).filter(pa.array(apart <= p.most))
+
+    return within
+
+
+def _tile_pairs(p: NearCopies) -> Callable:
+    """Pairs (a, b), a < b, of a tile whose signatures and sizes are near and that no links join so far."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, ["key", "i", "j"]):
+            t = t.combine_chunks()
+            rep, n, part, side = (t.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
+            signs = _signatures(t.column("sign").chunk(0), p)
+            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+            left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+            for x in left.tolist():
+                y = right[(part[right] != part[x]) & (100 * np.minimum(n[x], n[right]) >= p.percent * np.maximum(n[x], n[right]))]
+                y = y[rep[y] > rep[x]] if i == j else y
+                y = y[(signs[y] != signs[x]).sum(axis=1) <= p.most]
+                if len(y):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[x], rep[y])), pa.array(np.maximum(rep[x], rep[y]))], ["a", "b"])
+
+    return pairs
+
+
 def _confirm(p: NearCopies) -> Callable:
-    """Links of each tile, as (a, b) of its spanning forest."""
+    """Links (a, b), from rows (a, part, id, text) in this order: a's own row comes first, as a < b. One set is held at a time, beside a's."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, found = WordHashes(), []
-        for t in runs(batches, ["cluster", "i", "j"]):
-            if len(found) >= 10_000:
-                yield _links(found)
-                found = []
-            t = t.sort_by("doc_id")
-            docs, side = t.column("doc_id").to_pylist(), t.column("chunk").to_numpy()
-            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-            sets = [_set_of(x.as_py(), hashes, p) for x in t.column("text")]
-            size = np.array([len(s) for s in sets])
-            signs = np.stack([_minima(s, p) for s in sets])
-            part = np.arange(len(docs))  # each document's component so far; pairs within one need no comparison
-            for x in range(len(docs)):
-                others = np.flatnonzero((side[x + 1 :] != side[x]) if i != j else np.ones(len(docs) - x - 1, bool)) + x + 1
-                others = others[part[others] != part[x]]
-                others = others[100 * np.minimum(size[x], size[others]) >= p.percent * np.maximum(size[x], size[others])]
-                apart = (signs[others] != signs[x]).sum(axis=1)
-                order = np.argsort(apart, kind="stable")
-                others = others[order[apart[order] <= p.most]]
-                while len(others):
-                    y, others = int(others[0]), others[1:]
-                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                    if 100 * both >= p.percent * (len(sets[x]) + len(sets[y]) - both):
-                        part[part == part[y]] = part[x]
-                        others = others[part[others] != part[x]]
-                        found.append((docs[x], docs[y]))
-        yield _links(found)
+        hashes, last, centres = WordHashes(), None, []
+        for batch in batches:
+            found = []
+            for a, part, i, text in zip(*(batch.column(c).to_pylist() for c in ("a", "part", "id")), batch.column("text"), strict=True):
+                if (a, part) != last:
+                    last, centres = (a, part), []
+                own = _set_of(text.as_py(), hashes, p)
+                if i == a:
+                    centres.append(own)
+                    continue
+                for s in centres:  # one, unless rows repeat a doc_id
+                    if 100 * min(len(s), len(own)) >= p.percent * max(len(s), len(own)):
+                        both = len(np.intersect1d(s, own, assume_unique=True))
+                        if 100 * both >= p.percent * (len(s) + len(own) - both):
+                            found.append((a, i))
+                            break
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return confirm
 
 
-def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+def _links(docs: DataFrame, pairs: DataFrame, p: NearCopies) -> DataFrame:
+    """The pairs (a, b), a < b, whose whole sets are near. A text travels once for each `deal` of the documents that it is compared with."""
+    spark = docs.sparkSession
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / p.deal).cast("int").alias("of"))
+    dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("of")).cast("int"))
+    work = saved(dealt.select("a", "part", F.explode(F.array("a", "b")).alias("id")).distinct())
+    ids = work.select(F.col("id").alias("doc_id")).distinct()
+    texts = docs.where("text is not null")
+    if ids.limit(p.few + 1).count() <= p.few:
+        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    rows = work.join(texts, F.col("id") == F.col("doc_id")).select("a", "part", "id", "text")
+    return saved(rows.repartition(partitions(spark), "a", "part").sortWithinPartitions("a", "part", "id").mapInArrow(_confirm(p), "a long, b long"))
 
 
 def near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
@@ -122,25 +169,37 @@ def near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
     A document's set is its distinct shingles of `size` words, A-Z lower-cased; with fewer words the whole sequence is
     one. Two documents are linked if the sets' similarity is `percent` or more; component_id is the smallest doc_id
     that links reach. Documents with equal sets are one class from the start, so copies are never compared. Classes
-    that share a key form clusters; a cluster is compared in tiles of bounded size, within which pairs of one
-    component are skipped. Null and empty texts have no shingle and no link. A row whose doc_id is null links with
-    nothing; rows with one doc_id and text each get that document's component. Other columns are not read.
+    that share a key are a group. First each is compared with its group's smallest: signatures, then whole sets. What
+    these links join needs no more comparison; the other pairs of a group of three or more are compared in tiles, by
+    signature and then on whole sets. So a pair is compared only if it shares a key, however candidates are chained.
+    Null and empty texts have no shingle and no link. A row whose doc_id is null links with nothing; rows with one doc_id
+    each get that document's component. Other columns are not read.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    signed = saved(docs.mapInArrow(_sign(p), "doc_id long, n_shingles long, print binary, keys array<long>"))
-    classes = saved(signed.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")))
-    keyed = classes.select("rep", F.explode("keys").alias("key"))
-    first = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    clusters = saved(components(keyed.join(first, "key").where("rep > first").select(F.col("rep").alias("a"), F.col("first").alias("b"))))
-    sized = clusters.join(classes.select(F.col("rep").alias("id"), "n"), "id")
-    chunks = sized.groupBy("component_id").agg(F.ceil(F.sum("n") / p.tile).cast("int").alias("of"))
-    member = sized.join(chunks, "component_id").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("of")).cast("int"))
-    tiles = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).select(F.col("id").alias("doc_id"), F.col("component_id").alias("cluster"), "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    dealt = docs.join(tiles, "doc_id").repartition(partitions(spark), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = dealt.mapInArrow(_confirm(p), "a long, b long")
-    found = components(links).withColumnRenamed("id", "rep")
-    rows = signed.drop("keys").join(classes.select("print", "rep"), "print", "left").join(found, "rep", "left")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed = saved(docs.mapInArrow(_sign(p), "doc_id long, n_shingles long, print binary, sign binary"))
+    classes = signed.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sign").alias("sign"))
+    classes = saved(classes)
+    keyed = classes.select("rep", "sign").mapInArrow(_keys(p), "rep long, key long")
+    shared = saved(keyed.groupBy("key").agg(F.min("rep").alias("first"), F.count("*").alias("members")).where("members > 1"))  # a table, so that the join may split a key
+    grouped = saved(keyed.join(shared, "key"))
+    stars = grouped.where("rep > first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    sized = classes.select("rep", "n", "sign")
+    both = stars.join(sized.select(F.col("rep").alias("a"), F.col("n").alias("na"), "sign"), "a").join(sized.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sign").alias("other")), "b")
+    both = both.where(100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb"))
+    links = _links(docs, saved(both.mapInArrow(_within_distance(p), "a long, b long").distinct()), p)
+    found = saved(components(links))
+
+    more = grouped.where("members > 2").join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component_id", "rep")).select("key", "rep", "component")
+    apart = more.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / p.tile).cast("int").alias("of")).where("low < high").select("key", "of")
+    more = more.join(saved(apart), "key").join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+    tiles = more.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("of", "other")
+    tiles = tiles.repartition(partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rest = saved(tiles.mapInArrow(_tile_pairs(p), "a long, b long").distinct())
+    if not rest.isEmpty():
+        found = components(links.unionByName(_links(docs, rest, p)))
+
+    rows = signed.drop("sign").join(classes.select("print", "rep"), "print", "left").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
@@ -148,7 +207,8 @@ def near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
 def drop_near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
     """docs without the documents whose component has a smaller doc_id; rows without a doc_id stay.
 
-    Of rows that repeat a doc_id, all stay or go together.
+    Of rows that repeat a doc_id, all stay or go together. All columns stay, whatever their names.
     """
-    gone = near_copies(docs, p).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    (gone,) = private(docs.columns, "_gone")
+    ids = near_copies(docs, p).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(ids, docs["doc_id"] == F.col(gone), "left_anti").select(*every(docs))
