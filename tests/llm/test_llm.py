@@ -12,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from weir.llm import near_copies as N
 from weir.llm import personal_data as P
 from weir.llm import toxicity as T
 from weir.llm.backoff_scores import Backoff, backoff_scores
@@ -52,6 +53,10 @@ def words(rng, n, of=400):
     return " ".join(f"w{rng.randrange(of)}" for _ in range(n))
 
 
+def spelt(rng, n):
+    return words(rng, n, 9000).translate(str.maketrans("0123456789", "abcdefghij"))
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     """Nulls, empty and blank texts, one long text, ties, repeated rows, near copies, non-ASCII."""
@@ -87,7 +92,7 @@ def test_near_vectors(spark):
     vs += [(300 + k, vs[0][1]) for k in range(30)]
     vs += [(400, None), (401, []), (402, [0.0] * 24), (403, [float("nan")] * 24), (404, [float("inf")] + [1.0] * 23), (405, [None] + [1.0] * 23), (406, [1.0, 2.0]), (407, [2.0, 4.0])]
     df = spark.createDataFrame(vs, "vec_id long, embedding array<float>").withColumns({"rep": F.lit(1), "n": F.lit(2), "links": F.lit(3)})
-    for p in (NearVectors(), NearVectors(tile=40), NearVectors(block=5, grid=3)):
+    for p in (NearVectors(), NearVectors(tile=40), NearVectors(block=5)):
         assert got(near_vectors(df, p), "vec_id", "n_links", "component_id", "kept") == brute.near_vectors(vs)
     assert near_vectors(df.limit(0)).count() == 0
     null = spark.createDataFrame([(None, [1.0, 2.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")
@@ -109,6 +114,15 @@ def test_without_repeats(spark, odd):
     assert without_repeats(frame(spark, []), Passages()).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_rows_of_one_doc_id_lose_their_own_windows(spark, order):
+    passage = words(random.Random(9), 60, 9000)
+    rows = [(1, words(random.Random(1), 500, 9000) + " " + passage), (1, passage), (1, None), (None, "x " + passage), (None, words(random.Random(2), 90, 9000)), (2, "short")][::order]
+    out = without_repeats(frame(spark, rows)).collect()
+    found = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in out)
+    assert found == sorted((str(i), *((560, 60, t[: -len(passage) - 1]) if t and len(t) > 2000 else (61, 60, "x") if t and t[0] == "x" else (60, 60, "") if t == passage else (len(brute.words(t)), 0, " ".join(brute.words(t))))) for i, t in rows)
+
+
 def test_without_repeats_of_table(spark):
     assert got(QUERIES["op2_substring_dedup"](spark, DIR), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.without_repeats(texts(spark))
 
@@ -129,10 +143,10 @@ def test_base_counts(spark, odd):
 def test_common_lines_go_and_depleted_documents_too(spark):
     rng = random.Random(5)
     menu = "Home About Contact 12"
-    some = [(k, f"{menu[:-2]}{k}\n{words(rng, 80, 9000)}") for k in range(30)]
-    furniture = [f"item {words(rng, 8, 9000)}" for _ in range(9)]
-    some += [(100 + k, "\n".join([*furniture, words(rng, 20, 9000)])) for k in range(30)]
-    same = "\n".join(words(rng, 10, 9000) for _ in range(8))
+    some = [(k, f"{menu[:-2]}{k}\n{spelt(rng, 80)}") for k in range(30)]
+    furniture = [f"item {spelt(rng, 8)}" for _ in range(9)]
+    some += [(100 + k, "\n".join([*furniture, spelt(rng, 20)])) for k in range(30)]
+    same = "\n".join(spelt(rng, 10) for _ in range(8))
     some += [(200 + k, same) for k in range(60)]
     out = got(quality_rules(frame(spark, some), LineLimits(texts=20, share=0.0)), "doc_id", "n_removed", "kept")
     assert all(out[k] == (4, True) for k in range(30))
@@ -143,6 +157,41 @@ def test_common_lines_go_and_depleted_documents_too(spark):
     assert kept.where("doc_id = 3 and text not like '%Home%' and n_chars = length(text)").count() == 1
 
 
+def test_lines_of_any_length_are_judged(spark):
+    rng = random.Random(6)
+    notice = spelt(rng, 40)
+    some = [(k, f"{spelt(rng, 70)}\n{notice}") for k in range(30)] + [(100 + k, f"{spelt(rng, 45)}\n{notice}") for k in range(30)]
+    some.append((200, f"{spelt(rng, 60)}\n" + " " * 1_000_000 + "\n" + "\t \n" * 100_000))
+    out = got(quality_rules(frame(spark, some), LineLimits(share=0.0)), "doc_id", "n_removed", "kept")
+    assert all(out[k] == (40, True) and out[100 + k] == (40, False) for k in range(30)) and out[200] == (0, True)
+
+
+def test_a_host_of_furniture_loses_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(*DOCS.replace(" long", "").replace(" string", "").split(", "))
+    rng = random.Random(7)
+    furniture = "\n".join(spelt(rng, 9) for _ in range(9))
+    rows = [(10**6 + k, f"{spelt(rng, 30)}\n{furniture}", "en", "shop", 1) for k in range(60)]
+    kept = got(quality_rules(docs.unionByName(spark.createDataFrame(rows, DOCS))), "doc_id", "base_failed", "kept")
+    assert all(kept[10**6 + k] == (False, False) for k in range(60))
+    rest = [v for i, v in kept.items() if i < 10**6]
+    lost = sum(not failed and not k for failed, k in rest)
+    assert 0 < lost < 0.01 * len(rest)
+
+
+CLASHES = ["copy", "COPY_", "_copy", "_source", "_parts", "_cdf", "_key", "_order", "_n", "_drawn", "_id", "_doc", "_host", "_hash", "_gone", "_removed", "host", "held", "row", "line", "a b.c"]
+
+
+def test_clashing_names_stay(spark, odd, tmp_path):
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in odd], DOCS).withColumns({c: F.lit(7) for c in CLASHES})
+    out = mixed(df)
+    out.write.parquet(f"{tmp_path}/mixed")
+    assert sorted(out.columns) == sorted(df.columns) and mixed(df, number=None).columns == df.columns
+    for stage in (lambda d: apply_quality_rules(d), lambda d: drop_near_copies(d), lambda d: mixed(d, number=None), lambda d: P.redacted(d)):
+        out = stage(df)
+        assert out.columns == df.columns
+        assert all(set(r[5:]) == {7} for r in out.collect())
+
+
 # 4 language-model scores
 
 
@@ -150,42 +199,40 @@ def plain_scores(rows, p):
     from collections import Counter
 
     split = [(i, brute.words(t)) for i, t in rows]
-    all_words = Counter(w for _, ws in split for w in ws)
-    top = sorted(all_words, key=lambda w: (-all_words[w], w.encode()))[: p.vocabulary]
-    known = set(top)
-    ids = [(i, [w if w in known else None for w in ws]) for i, ws in split]
-    one, two = Counter(w for _, ws in ids for w in ws), Counter()
-    one["start"] = sum(bool(ws) for _, ws in ids)
-    for _, ws in ids:
-        two.update(zip(["start", *ws], ws, strict=False))
-    total = sum(all_words.values())
+    n = Counter()
+    for _, ws in split:
+        padded = ["<start>"] * p.order + ws
+        n.update(tuple(padded[p.order + k - o + 1 : p.order + k + 1]) for o in range(1, p.order + 1) for k in range(len(ws)))
+        n.update(("<start>",) * o for o in range(1, p.order) if ws)
+    total = sum(len(ws) for _, ws in split)
+
+    def s(gram):
+        if len(gram) == 1:
+            return n[gram] / total
+        return n[gram] / n[gram[:-1]] if n[gram] >= p.least else p.discount * s(gram[1:])
+
     out = {}
-    for i, ws in ids:
-        score = 0
-        for v, w in zip(["start", *ws], ws, strict=False):
-            s = two[v, w] / one[v] if two[v, w] >= p.least else p.discount * one[w] / total
-            score += int(np.rint(np.log(s) * 1_000_000))
+    for i, ws in split:
+        padded = ["<start>"] * (p.order - 1) + ws
+        score = sum(int(np.rint(np.log(s(tuple(padded[k : k + p.order]))) * 1_000_000)) for k in range(len(ws)))
         a, b = out.get(i, (0, 0))
         out[i] = (a + len(ws), b + score)
     return out
 
 
 def test_backoff_scores(spark, odd):
-    for p in (Backoff(vocabulary=50), Backoff()):
+    for p in (Backoff(), Backoff(chunk=500), Backoff(order=3, chunk=999), Backoff(order=1), Backoff(least=3)):
         assert got(backoff_scores(frame(spark, odd), p), "doc_id", "n_words", "score_micro") == plain_scores(odd, p)
     assert got(QUERIES["op4_lm_scores"](spark, DIR), "doc_id", "n_words", "score_micro") == plain_scores(texts(spark), Backoff())
     assert backoff_scores(frame(spark, [])).count() == 0
 
 
-def test_backoff_scores_join_counted_bigrams(spark, odd):
-    """A passage in all documents and one in a single long document: each document brings one row for a bigram."""
+def test_backoff_scores_join_counted_ngrams(spark, odd):
+    """A passage in all documents, one in a single long document, and more different words than a chunk."""
     rng = random.Random(8)
-    some = [*odd, *((5000 + k, "a b " * 40 + words(rng, 30)) for k in range(300)), (6000, "c d " * 20_000)]
-    out = backoff_scores(frame(spark, some))
-    assert got(out, "doc_id", "n_words", "score_micro") == plain_scores(some, Backoff())
-    assert "SortMergeJoin [gram" in out._jdf.queryExecution().toString()
-    every = Backoff(vocabulary=None)
-    assert got(backoff_scores(frame(spark, some), every), "doc_id", "n_words", "score_micro") == plain_scores(some, Backoff(vocabulary=1 << 40))
+    some = [*odd, *((5000 + k, "a b " * 40 + words(rng, 30)) for k in range(300)), (6000, "c d " * 20_000), (6001, words(rng, 30_000, 10**9))]
+    for p in (Backoff(), Backoff(chunk=7000)):
+        assert got(backoff_scores(frame(spark, some), p), "doc_id", "n_words", "score_micro") == plain_scores(some, p)
 
 
 # 5 mixing
@@ -250,7 +297,7 @@ def test_byte_bpe(spark, odd):
 def test_near_copies(spark, odd):
     rows = [(i, t) for i, t in odd if i is not None]
     distinct = list(dict.fromkeys(rows))
-    for p in (NearCopies(size=2), NearCopies(size=5), NearCopies(size=2, tile=500)):
+    for p in (NearCopies(size=2), NearCopies(size=5), NearCopies(size=2, tile=3, deal=2), NearCopies(size=2, few=0)):
         out = near_copies(frame(spark, odd), p)
         assert out.count() == len(odd)
         found = got(out, "doc_id", "n_shingles", "component_id", "kept")
@@ -261,6 +308,21 @@ def test_near_copies(spark, odd):
     assert near_copies(frame(spark, [])).count() == 0
 
 
+def test_chained_candidates_are_not_compared_all_with_all(spark, monkeypatch):
+    """Each text shares a third of its shingles with the next, and none with others: one chain of candidates, no links."""
+    parts = [words(random.Random(k), 60, 10**6) for k in range(401)]
+    rows = [(k, f"{parts[k]} {parts[k + 1]}") for k in range(400)]
+    pairs = []
+    monkeypatch.setattr(N, "_links", lambda docs, some, p, links=N._links: pairs.append(some.count()) or links(docs, some, p))
+    out = near_copies(frame(spark, rows), NearCopies(size=2))
+    assert out.where("kept").count() == 400 and sum(pairs) <= 400
+    # a large group of near copies: one pair for each, or a few
+    base = words(random.Random(5), 300, 10**6).split()
+    rows = [(k, " ".join([*base[: k % 250], f"x{k}", *base[k % 250 + 1 :]])) for k in range(600)]
+    pairs.clear()
+    assert near_copies(frame(spark, rows), NearCopies(size=2)).where("kept").count() == 1 and sum(pairs) <= 1800
+
+
 def test_near_copies_of_table(spark):
     assert got(QUERIES["op7_near_copies"](spark, DIR), "doc_id", "n_shingles", "component_id", "kept") == brute.near_copies(texts(spark))
 
@@ -280,7 +342,7 @@ def plain_rule(url):
 def test_url_filters(spark):
     urls = [None, "", "no scheme", "http://", "http://A.NET", "http://a.net/", "HTTP://Example.net/en/1?x=/q", "x://example.com/de", "x://www.example.com/de/2#a", "x://org/fr/z", "x://É.org/fr/9", "a://b.org?x://y", "x://h.test:80/a//b/", "x://notexample.net/en/3"]
     urls += [f"http://shop.test/{'ad' if k % 2 else 'doc'}/{k}" for k in range(40)]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({"host": F.lit(1), "path": F.lit(2), "rule": F.lit(3), "s0": F.lit(4)})
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({c: F.lit(1) for c in ("host", "path", "rule", "segments", "leaf", "stars", "template", "x")})
     rules = [*RULES, ("block", "shop.test/ad/1"), ("block", "shop.test/ad/3"), ("allow", "shop.test/doc/2")]
     out = {r.page_id: r for r in url_filters(pages, RULES).collect()}
     assert len(out) == len(urls)
@@ -295,6 +357,32 @@ def test_url_filters(spark):
     assert url_filters(pages.limit(0), RULES).count() == 0
 
 
+def verdicts(spark, urls, rules):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return {urls[r.page_id]: (r.verdict, r.template) for r in url_filters(pages, rules).collect()}
+
+
+def test_templates_hold_labels_of_their_own_only(spark):
+    of = lambda n, *parts: [f"http://h.test/{'/'.join(parts)}/{'abcdefgh'[k % 8]}{k}" for k in range(n)]
+    rules = [("block", "h.test/a/"), ("block", "h.test/b/"), ("block", "h.test/c/1/2/3/4/x"), ("allow", "h.test/d/"), ("block", "h.test/ads/a")]
+    for times in (1, 30):  # verdicts of other paths don't follow the number of ruled pages
+        urls = of(40 * times, "a") + of(40, "b") + of(40 * times, "d") + of(30, "e") + ["http://h.test/", "http://h.test/c/1/2/3/4/y", "http://h.test/a", "http://h.test/e/f/g/h/i"]
+        out = verdicts(spark, urls, rules)
+        assert all(out[u] == ("allow", "/e/*") for u in of(30, "e"))
+        assert out["http://h.test/"] == ("allow", "") and out["http://h.test/c/1/2/3/4/y"][0] == out["http://h.test/a"][0] == "allow"
+        assert out["http://h.test/e/f/g/h/i"] == ("allow", "/e/f/g/h/i")
+        # a and b block alike and become one branch; d, which doesn't, stays itself
+        assert len({out[u][1] for u in of(40, "a") + of(40, "b")}) == 1 and {out[u][1] for u in of(40, "d")} == {"/d/*"}
+    out = verdicts(spark, of(400, "ads"), rules)  # a ninth to an eighth are ruled, all blocked: the rest follow
+    assert {out[u] for u in of(400, "ads")} == {("block", "/ads/*")}
+
+
+def test_no_page_is_blocked_for_the_rule_of_another_path(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    out = url_filters(pages, RULES).where("rule is null")
+    assert out.count() > 1000 and not out.where("verdict = 'block' and (path like '/en/%' or path like '/fr/%')").count()
+
+
 # 9 toxicity
 
 

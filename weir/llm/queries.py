@@ -30,7 +30,7 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents"), Passages(window=35)).drop("kept_text")
+    return without_repeats(table(spark, sf_dir, "documents"), Passages(window=35), texts=False)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,19 +27,16 @@ OP3 = rf"""WITH {SPLIT},
   w AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS n FROM (SELECT doc_id, s, ws[s + 1:s + 3] AS g FROM (SELECT doc_id, ws, unnest(range(len(ws) - 2)) AS s FROM d WHERE len(ws) >= 3))),
   rep AS (SELECT doc_id, count(DISTINCT s + o) AS n_repeat_words FROM w, range(3) t(o) WHERE n > 1 GROUP BY doc_id),
   x AS (SELECT doc_id, host, text, trim(regexp_replace(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g')) AS line, len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT doc_id, host, text, unnest(lines) AS raw FROM b)),
-  s AS (SELECT * FROM x WHERE n <= {_L.words}),
-  common AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS holders FROM s GROUP BY 1, 2) JOIN (SELECT host, count(DISTINCT text) AS texts FROM b GROUP BY 1) USING (host) WHERE holders > {_L.texts} AND holders > {_L.share} * texts),
-  gone AS (SELECT doc_id, sum(n)::BIGINT AS n_removed FROM s JOIN common USING (host, line) GROUP BY doc_id),
+  common AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS holders FROM x GROUP BY 1, 2) JOIN (SELECT host, count(DISTINCT text) AS texts FROM b GROUP BY 1) USING (host) WHERE holders > {_L.texts} AND holders > {_L.share} * texts),
+  gone AS (SELECT doc_id, sum(n)::BIGINT AS n_removed FROM x JOIN common USING (host, line) GROUP BY doc_id),
   o AS (SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_removed, 0) AS n_removed FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id))
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_removed > 0 AND (n_words - n_removed < {_L.left} * n_words OR n_words - n_removed < {_L.least})) AS kept FROM o"""
 
 OP4 = f"""WITH {SPLIT}, t AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
-  v AS (SELECT w FROM (SELECT w, count(*) AS n FROM t GROUP BY w) ORDER BY n DESC, encode(w) LIMIT 50000),
-  k AS (SELECT doc_id, i, CASE WHEN v.w IS NULL THEN ' unknown' ELSE t.w END AS w FROM t LEFT JOIN v USING (w)),
-  g AS (SELECT doc_id, w, coalesce(lag(w) OVER (PARTITION BY doc_id ORDER BY i), ' start') AS before FROM k),
-  one AS (SELECT w, count(*) AS n FROM k GROUP BY w UNION ALL SELECT ' start', (SELECT count(DISTINCT doc_id) FROM k)), two AS (SELECT before, w, count(*) AS n FROM g GROUP BY 1, 2),
-  s AS (SELECT doc_id, CAST(round(1000000 * ln(CASE WHEN two.n >= 2 THEN two.n / b.n ELSE 0.4::DOUBLE * a.n / (SELECT count(*) FROM t) END)) AS BIGINT) AS micro
-    FROM g JOIN two USING (before, w) JOIN one a ON a.w = g.w JOIN one b ON b.w = g.before)
+  g AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM t), one AS (SELECT w, count(*) AS n FROM t GROUP BY w),
+  two AS (SELECT before, w, count(*) AS n FROM g GROUP BY 1, 2),
+  s AS (SELECT doc_id, CAST(round(1000000 * ln(CASE WHEN two.n >= 2 THEN two.n / coalesce(b.n, (SELECT count(DISTINCT doc_id) FROM t)) ELSE 0.4::DOUBLE * a.n / (SELECT count(*) FROM t) END)) AS BIGINT) AS micro
+    FROM g JOIN two ON g.before IS NOT DISTINCT FROM two.before AND g.w = two.w JOIN one a ON a.w = g.w LEFT JOIN one b ON b.w = g.before)
   SELECT doc_id, count(micro) AS n_words, coalesce(sum(micro), 0)::BIGINT AS score_micro FROM documents LEFT JOIN s USING (doc_id) GROUP BY doc_id"""
 
 _M = Mix()
@@ -66,25 +63,21 @@ def _op8(rules: list[tuple[str, str]], t: Templates) -> str:
 
     ordered = sorted(rules, key=lambda r: (-len(r[1]), r[1]))
     case = lambda k: "CASE " + " ".join(f"WHEN {fits(r[1])} THEN '{r[k]}'" for r in ordered) + " END"
-    names = [f"s{d}" for d in range(t.depth)]
     general = lambda s: f"CASE WHEN regexp_matches({s}, '[0-9]|%|.{{25,}}') THEN concat('*', regexp_extract({s}, '(\\.[A-Za-z]{{1,5}})$', 1)) ELSE {s} END"
-    # Split into at most `depth` segments: the last takes what is left.
-    cut = [f"coalesce(segments[{d + 1}], '')" if d < t.depth - 1 else f"array_to_string(segments[{d + 1}:], '/')" for d in range(t.depth)]
-    out = rf"""WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
-      v AS (SELECT *, {case(1)} AS rule, {case(0)} AS ruled, string_split(regexp_replace(regexp_replace(path, '^/+|/+$', '', 'g'), '/+', '/', 'g'), '/') AS segments FROM u),
-      rows AS (SELECT page_id, host, path, rule, ruled, {", ".join(f"{general(c)} AS {n}" for c, n in zip(cut, names, strict=True))} FROM v),
-      l0 AS (SELECT host, {", ".join(names)}, count(ruled) AS known, count(*) FILTER (ruled = 'block') AS blocked FROM rows GROUP BY ALL)"""
-    for d in range(t.depth):
-        above = ", ".join(["host", *(f"t{k}" for k in range(d))])
-        out += f""", b{d} AS (SELECT {above}, s{d}, sum(known) AS known, sum(blocked) AS blocked, sum(sum(known)) OVER (PARTITION BY {above}) AS ak, sum(sum(blocked)) OVER (PARTITION BY {above}) AS ab FROM l{d} GROUP BY {above}, s{d}),
-      o{d} AS (SELECT {above}, s{d}, TRUE AS own FROM b{d} WHERE CASE WHEN known > 0 AND ak - known > 0 THEN abs(blocked / known - (ab - blocked) / (ak - known)) > {t.z} * sqrt(ab / ak * (1 - ab / ak) * (1 / known + 1 / (ak - known))) ELSE FALSE END),
-      l{d + 1} AS (SELECT l.*, CASE WHEN s{d} = '' THEN '' WHEN own THEN s{d} ELSE '*' END AS t{d} FROM l{d} l LEFT JOIN o{d} USING ({above}, s{d}))"""
-    by = ", ".join(["host", *(f"t{d}" for d in range(t.depth))])
-    template = "concat(" + ", ".join(f"CASE WHEN t{d} = '' THEN '' ELSE concat('/', t{d}) END" for d in range(t.depth)) + ")"
-    return out + f""", p0 AS (SELECT CASE WHEN sum(known) > 0 THEN sum(blocked) / sum(known) ELSE 0 END AS p0 FROM l0), p1 AS (SELECT host, (sum(blocked) + {t.prior} * (SELECT p0 FROM p0)) / (sum(known) + {t.prior}) AS p1 FROM l0 GROUP BY host),
-      p2 AS (SELECT {by}, (sum(blocked) + {t.prior} * any_value(p1)) / (sum(known) + {t.prior}) AS purity FROM l{t.depth} JOIN p1 USING (host) GROUP BY {by}),
-      j AS (SELECT host, {", ".join(names)}, {template} AS template, purity FROM l{t.depth} JOIN p2 USING ({by}))
-      SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {t.purity} THEN 'block' ELSE 'allow' END) AS verdict, template, round(purity, 9) AS purity FROM rows JOIN j USING (host, {", ".join(names)})"""
+    return rf"""WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+      rows AS (SELECT *, {case(1)} AS rule, {case(0)} AS ruled, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: {general("s")}) AS segs FROM u),
+      l AS (SELECT host, segs, count(ruled) AS known, count(*) FILTER (ruled = 'block') AS blocked FROM rows GROUP BY ALL),
+      p AS (SELECT host, segs, known, blocked, segs[:d] AS above, segs[d + 1] AS seg, d FROM (SELECT *, unnest(range(len(segs))) AS d FROM l)),
+      b AS (SELECT host, above, seg, sum(known) AS known, sum(blocked) AS blocked FROM p GROUP BY ALL HAVING sum(known) >= {t.least}),
+      c AS (SELECT *, CAST(floor(blocked / known * {t.bins} + 0.5) AS BIGINT) AS bin FROM b),
+      n AS (SELECT host, above, bin, sum(known) AS known, sum(blocked) AS blocked, count(*) AS branches FROM c GROUP BY ALL),
+      w AS (SELECT *, lag(known) OVER o AS pk, lag(blocked) OVER o AS pb FROM n WINDOW o AS (PARTITION BY host, above ORDER BY bin)),
+      x AS (SELECT host, above, bin, branches, sum(CASE WHEN abs(blocked / known - pb / pk) <= {t.z} * sqrt((blocked + pb) / (known + pk) * (1 - (blocked + pb) / (known + pk)) * (1 / known + 1 / pk)) THEN 0 ELSE 1 END) OVER (PARTITION BY host, above ORDER BY bin)::BIGINT AS alike FROM w),
+      alike AS (SELECT host, above, seg, alike FROM (SELECT *, sum(branches) OVER (PARTITION BY host, above, alike) AS several FROM x) JOIN c USING (host, above, bin) WHERE several > 1),
+      stars AS (SELECT host, segs, map(list(d), list(alike)) AS stars FROM p JOIN alike USING (host, above, seg) GROUP BY ALL),
+      shaped AS (SELECT host, segs, known, blocked, array_to_string(list_transform(segs, lambda s, i: concat('/', CASE WHEN stars[i - 1] IS NULL THEN s ELSE concat('*', stars[i - 1]) END)), '') AS template FROM l LEFT JOIN stars USING (host, segs)),
+      nodes AS (SELECT host, template, (sum(blocked) + {t.prior * t.neutral}) / (sum(known) + {t.prior}) AS purity FROM shaped GROUP BY ALL)
+      SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {t.purity} THEN 'block' ELSE 'allow' END) AS verdict, coalesce(template, '') AS template, round(purity, 9) AS purity FROM rows JOIN shaped USING (host, segs) JOIN nodes USING (host, template)"""
 
 
 def sql(rules: list[tuple[str, str]]) -> dict[str, str]:
