@@ -39,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to their sources' target weights, in shuffled order."""
-    return mixed(docs, Mix()).drop("copy")
+    return mixed(docs, Mix(), number=None)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
