@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,23 +10,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import U64, WordHashes, mix, saved, words_of
+from weir.llm.common import U64, WordHashes, mix, partitions, words_of
 
 
 @dataclass(frozen=True)
 class Backoff:
     """order: words of the longest n-gram. An n-gram seen fewer than `least` times backs off to the one without its
-    first word, times `discount`; a single word never does. chunk: words of which a task explodes the n-grams together.
+    first word, times `discount`; a single word never does. chunk: characters of the texts whose n-grams are listed together.
     """
 
     order: int = 2
     least: int = 2
     discount: float = 0.4
-    chunk: int = 1_000_000
+    chunk: int = 12_000_000
 
 
 SCALE = 1_000_000  # scores are summed as whole millionths, so that sums do not hang on their order
 START = U64(0x5157)  # stands for the beginning of a text, as if it were a word
+WORDS = U64(0)  # the n-gram of no words, which each place holds: its count is that of all words
 
 
 def _hashes(words: np.ndarray, order: int) -> list[np.ndarray]:
@@ -41,108 +42,57 @@ def _hashes(words: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def _squeezed(x: np.ndarray) -> bytes:
-    """Numbers of 32 bits, byte by byte, compressed; their count stands before."""
-    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return len(x).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+def _of_texts(texts: pa.ChunkedArray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words of each text, and for each order the n-grams of those that have any, one text after the other."""
+    hashes = WordHashes()
+    words = [hashes.of(words_of(text.as_py())) for text in texts]
+    held = [_hashes(w, order) for w in words if len(w)]
+    return np.array([len(w) for w in words], np.int64), [np.concatenate([h[k] for h in held]) if held else np.empty(0, U64) for k in range(order)]
 
 
-def _opened(x: bytes) -> np.ndarray:
-    n = int.from_bytes(x[:4], "little")
-    planes = np.frombuffer(pa.decompress(x[4:], decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """Which n-grams of texts with so many words end at a word: all but each text's first."""
+    sizes = sizes[sizes > 0]
+    at = np.ones(int((sizes + 1).sum()), bool)
+    at[np.cumsum(np.concatenate([[0], sizes + 1]))[:-1]] = False
+    return at
 
 
-_EXPLODED = pa.schema([("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32())), ("n", pa.int32()), *((c, pa.binary()) for c in ("grams", "counts", "orders", "shorter", "before", "places"))])
-_EXPLODED_SQL = "doc_ids array<long>, ends array<int>, n int, grams binary, counts binary, orders binary, shorter binary, before binary, places binary"
+def _list(p: Backoff) -> Callable:
+    """(gram, chunk, n) of the different n-grams of a chunk of texts."""
 
+    def listed(t: pa.Table) -> pa.Table:
+        sizes, grams = _of_texts(t.column("text"), p.order)
+        # What stands before a first word is the history of one place, and no n-gram of the longest order.
+        every, n = np.unique(np.concatenate([*grams[:-1], grams[-1][_places(sizes)]]), return_counts=True)
+        every, n = np.append(every, WORDS), np.append(n, sizes.sum())
+        return pa.table({"gram": every.view(np.int64), "chunk": np.full(len(every), t.column("chunk")[0].as_py(), np.int32), "n": n.astype(np.int32)})
 
-def _chunk(ids: list[int | None], held: list[tuple[list[np.ndarray], bool]], order: int) -> pa.RecordBatch:
-    """A row for a chunk of texts: its different n-grams, the most frequent first, with counts, orders, and the numbers of
-    the n-gram without its first word and of the one without its last; and the n-gram of the longest order at each place.
-    """
-    sizes = np.array([len(h[0]) - 1 for h, _ in held])
-    ends = np.cumsum(sizes)
-    firsts = np.concatenate([[0], (ends + np.arange(1, len(ends) + 1))[:-1]])  # where each text begins, with the place before its first word
-    whole = [np.concatenate([h[k] for h, _ in held]) for k in range(order)]
-    at = np.ones(len(whole[0]), bool)
-    at[firsts] = False
-    # What stands before a text's first word counts once a text, and never as an n-gram of the longest order.
-    weight = np.ones(len(whole[0]))
-    weight[firsts] = [begins for _, begins in held]
-    every, number = np.unique(np.concatenate([*whole[:-1], whole[-1][at]]), return_inverse=True)
-    counts = np.bincount(number, np.concatenate([*[weight] * (order - 1), weight[at]])).astype(np.int64)
-    rank = np.argsort(-counts, kind="stable")
-    to = np.empty(len(rank), np.int64)
-    to[rank] = np.arange(len(rank))
-    number = to[number]
-    parts = [number[k * len(at) : (k + 1) * len(at)] for k in range(order - 1)]
-    top = number[(order - 1) * len(at) :]
-    orders, shorter, before = np.ones(len(every), np.uint8), np.zeros(len(every), np.int64), np.zeros(len(every), np.int64)
-    place = np.flatnonzero(at)
-    for k in range(1, order):
-        own = top if k == order - 1 else parts[k][place]
-        orders[own], shorter[own], before[own] = k + 1, parts[k - 1][place], parts[k - 1][place - 1]
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(
-        ([ids], [ends], [len(every)], [every[rank].astype("<u8").tobytes()], [_squeezed(counts[rank])], [pa.compress(orders.tobytes(), codec="zstd", asbytes=True)], [_squeezed(shorter)], [_squeezed(before)], [_squeezed(top)]), _EXPLODED, strict=True,
-    )], schema=_EXPLODED)
-
-
-def _explode(p: Backoff) -> Callable:
-    """Texts in chunks of so many words; a long text goes on in the next chunk, with the words before as its history."""
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, ids, size = WordHashes(), [], [], 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                words = hashes.of(words_of(text.as_py()))
-                for a in range(0, len(words), p.chunk):
-                    skip = min(a, p.order)
-                    grams = [x[skip:] for x in _hashes(words[a - skip : a + p.chunk], p.order)]
-                    held.append((grams, a == 0))
-                    ids.append(doc_id)
-                    size += len(grams[0])
-                    if size >= p.chunk:
-                        yield _chunk(ids, held, p.order)
-                        held, ids, size = [], [], 0
-        if held:
-            yield _chunk(ids, held, p.order)
-
-    return explode
-
-
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, chunk, number, n) of every n-gram of every chunk."""
-    for batch in batches:
-        for chunk, grams, counts in zip(*(batch.column(c) for c in ("chunk", "grams", "counts")), strict=True):
-            g, n = np.frombuffer(grams.as_py(), "<i8"), _opened(counts.as_py()).astype(np.int32)
-            for a in range(0, len(g), 100_000):
-                some = slice(a, a + 100_000)
-                k = len(g[some])
-                yield pa.RecordBatch.from_arrays([pa.array(g[some]), pa.array(np.full(k, chunk.as_py())), pa.array(np.arange(a, a + k, dtype=np.int32)), pa.array(n[some])], ["gram", "chunk", "number", "n"])
-
-
-def _score(p: Backoff, total: int) -> Callable:
-    """The sum of log scores of each text's places in a chunk, from the counts that were joined to its n-grams."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k] for c in batch.schema.names}
-                counts = np.ones(row["n"].as_py())
-                if row["counted"].is_valid:
-                    found = row["counted"].values
-                    counts[found.field("number").to_numpy()] = found.field("all").to_numpy()
-                orders = np.frombuffer(pa.decompress(row["orders"].as_py(), decompressed_size=len(counts), codec="zstd", asbytes=True), np.uint8)
-                shorter, before = _opened(row["shorter"].as_py()), _opened(row["before"].as_py())
-                value = counts / total
-                for o in range(2, p.order + 1):
-                    own = np.flatnonzero(orders == o)
-                    value[own] = np.where(counts[own] >= p.least, counts[own] / counts[before[own]], p.discount * value[shorter[own]])
-                whole = np.rint(np.log(value) * SCALE).astype(np.int64)[_opened(row["places"].as_py())]
-                ends = row["ends"].values.to_numpy()
-                sums = np.add.reduceat(whole, np.concatenate([[0], ends[:-1]]))
-                yield pa.RecordBatch.from_arrays([row["doc_ids"].values, pa.array(np.diff(ends, prepend=0).astype(np.int64)), pa.array(sums)], ["doc_id", "n", "micro"])
+    return listed
+
+
+def _score(p: Backoff) -> Callable:
+    """The sum of log scores of each text of a chunk, from the counts of its n-grams that the corpus has more than once."""
+
+    def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
+        sizes, grams = _of_texts(texts.column("text"), p.order)
+        known = np.append(counted.column("gram").to_numpy().view(U64), U64(np.iinfo(U64).max))
+        counts = np.append(counted.column("all").to_numpy().astype(float), 1.0)
+        rank = np.argsort(known)
+        known, counts = known[rank], counts[rank]
+
+        def count(g: np.ndarray) -> np.ndarray:
+            k = np.minimum(np.searchsorted(known, g), len(known) - 1)
+            return np.where(known[k] == g, counts[k], 1.0)
+
+        at = np.flatnonzero(_places(sizes))
+        n = [count(g) for g in grams]
+        value = n[0][at] / count(np.array([WORDS]))[0]
+        for k in range(1, p.order):
+            value = np.where(n[k][at] >= p.least, n[k][at] / n[k - 1][at - 1], p.discount * value)
+        sums = np.concatenate([[0], np.cumsum(np.rint(np.log(value) * SCALE).astype(np.int64))])
+        ends = np.cumsum(sizes)
+        return pa.table({"doc_id": texts.column("doc_id"), "n_words": sizes, "score_micro": sums[ends] - sums[ends - sizes]})
 
     return score
 
@@ -152,20 +102,20 @@ def backoff_scores(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:
 
     S(w | v) = count(v w) / count(v) if the corpus has `v w` at least `least` times, else discount * S(w | shorter v), and
     at last discount * count(w) / words. A first word's v is the text's start. Counts are of all words of all texts.
-    N-grams go by 64-bit hashes. Tasks list the different n-grams of each chunk of texts with their counts there; an
-    aggregation makes of them the table of counts, partitioned by the n-gram's hash; it is joined to the chunks'
-    n-grams, a chunk's counts return to it, and the scores of its texts are summed by document. No vocabulary is cut
-    and nothing but one sum reaches the driver. Null and empty texts have 0 words and a score of 0.
-    Rows with one doc_id are scored as one document. Other columns are not read.
+    N-grams go by 64-bit hashes. Texts are dealt into chunks by hash; a chunk lists each of its different n-grams once, so
+    that none has more rows than there are chunks. Their sums are the table of counts, partitioned by the n-gram's hash,
+    as the chunks' n-grams are that it is joined to; a chunk's counts return to it, and scores are summed by document.
+    Texts are shuffled once and n-grams once, each read twice. Nothing but one sum reaches the driver.
+    Null and empty texts have 0 words and a score of 0. Each row is scored by itself, and counts as often as it occurs.
+    Other columns are not read.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks = docs.mapInArrow(_explode(p), _EXPLODED_SQL)
-    chunks = saved(chunks.withColumn("chunk", F.monotonically_increasing_id()))  # written once, so that the numbers stay
-    listed = chunks.select("chunk", "grams", "counts").mapInArrow(_listed, "gram long, chunk long, number int, n int")
-    counts = listed.groupBy("gram").agg(F.sum("n").alias("all")).where("all > 1")
-    counts = saved(counts)  # a table, so that the join may split a frequent n-gram; those that occur once need no lookup
-    total = chunks.select(F.element_at("ends", -1).cast("long").alias("words")).agg(F.sum("words")).first()[0] or 1
-    found = listed.drop("n").join(counts.hint("merge"), "gram").groupBy("chunk").agg(F.collect_list(F.struct("number", "all")).alias("counted"))
-    scored = chunks.drop("grams", "counts").join(found, "chunk", "left").mapInArrow(_score(p, total), "doc_id long, n long, micro long")
-    none = docs.select("doc_id", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("micro"))
-    return scored.unionByName(none).groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("micro").alias("score_micro"))
+    chunks = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // p.chunk + 1
+    n = partitions(spark)
+    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(n, "chunk")
+    listed = dealt.groupBy("chunk").applyInArrow(_list(p), "gram long, chunk int, n int").repartition(n, "gram")
+    # Both sides of the join ask for the same columns: so Spark shuffles the n-grams once and reads them twice.
+    counts = listed.groupBy("gram").agg(F.sum("n").alias("sum"), F.count("chunk").alias("chunks")).where("sum > 1 or chunks > 1")
+    counted = listed.join(counts.hint("merge"), "gram").select("gram", "chunk", F.greatest("sum", "n").alias("all"))
+    return dealt.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(_score(p), "doc_id long, n_words long, score_micro long")
