@@ -16,13 +16,15 @@ from weir.llm.common import U64, WordHashes, mix, partitions, words_of
 @dataclass(frozen=True)
 class Backoff:
     """order: words of the longest n-gram. An n-gram seen fewer than `least` times backs off to the one without its
-    first word, times `discount`; a single word never does. chunk: characters of the texts whose n-grams are listed together.
+    first word, times `discount`; a single word never does. chunk: characters of the texts whose n-grams are listed together,
+    bucket: of those whose n-grams a bucket of the table of counts holds on average.
     """
 
     order: int = 2
     least: int = 2
     discount: float = 0.4
     chunk: int = 12_000_000
+    bucket: int = 6_000_000
 
 
 SCALE = 1_000_000  # scores are summed as whole millionths, so that sums do not hang on their order
@@ -58,38 +60,64 @@ def _places(sizes: np.ndarray) -> np.ndarray:
     return at
 
 
-def _list(p: Backoff) -> Callable:
-    """(gram, chunk, n) of the different n-grams of a chunk of texts."""
+def _chunk_grams(t: pa.Table, order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Words of each text of a chunk, n-grams at their places, the different n-grams in order, and how often they occur."""
+    sizes, grams = _of_texts(t.column("text"), order)
+    # What stands before a first word is the history of one place, and no n-gram of the longest order.
+    every, n = np.unique(np.concatenate([*grams[:-1], grams[-1][_places(sizes)], [WORDS]]), return_counts=True)
+    n[np.searchsorted(every, WORDS)] = sizes.sum()
+    return sizes, grams, every, n
+
+
+def _list(p: Backoff, bits: int) -> Callable:
+    """A row for each bucket of a chunk: its n-grams, in order, and their counts. A bucket is what the first bits of the hash say."""
 
     def listed(t: pa.Table) -> pa.Table:
-        sizes, grams = _of_texts(t.column("text"), p.order)
-        # What stands before a first word is the history of one place, and no n-gram of the longest order.
-        every, n = np.unique(np.concatenate([*grams[:-1], grams[-1][_places(sizes)]]), return_counts=True)
-        every, n = np.append(every, WORDS), np.append(n, sizes.sum())
-        return pa.table({"gram": every.view(np.int64), "chunk": np.full(len(every), t.column("chunk")[0].as_py(), np.int32), "n": n.astype(np.int32)})
+        _, _, every, n = _chunk_grams(t, p.order)
+        bucket = (every >> U64(64 - bits)).astype(np.int32)
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        offsets = pa.array(np.append(first, len(every)), pa.int32())
+        lists = (pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (every.view(np.int64), n.astype(np.int32)))
+        return pa.table([pa.array(bucket[first]), pa.array(np.full(len(first), t.column("chunk")[0].as_py(), np.int32)), *lists], ["bucket", "chunk", "grams", "n"])
 
     return listed
 
 
-def _score(p: Backoff) -> Callable:
-    """The sum of log scores of each text of a chunk, from the counts of its n-grams that the corpus has more than once."""
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *(c.flatten().to_numpy() for c in lists.chunks)])
 
-    def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
-        sizes, grams = _of_texts(texts.column("text"), p.order)
-        known = np.append(counted.column("gram").to_numpy().view(U64), U64(np.iinfo(U64).max))
-        counts = np.append(counted.column("all").to_numpy().astype(float), 1.0)
-        rank = np.argsort(known)
-        known, counts = known[rank], counts[rank]
 
-        def count(g: np.ndarray) -> np.ndarray:
-            k = np.minimum(np.searchsorted(known, g), len(known) - 1)
-            return np.where(known[k] == g, counts[k], 1.0)
+def _count(t: pa.Table) -> pa.Table:
+    """The table of counts of one bucket: its n-grams that the corpus has more than once."""
+    every, at = np.unique(_flat(t.column("grams")), return_inverse=True)
+    n = np.bincount(at, _flat(t.column("n"))).astype(np.int64)
+    every, n = every[n > 1], n[n > 1]
+    return pa.table([pa.array([t.column("bucket")[0].as_py()], pa.int32()), pa.array([every], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64()))], ["bucket", "grams", "counts"])
+
 
+def _join(listed: pa.Table, counts: pa.Table) -> pa.Table:
+    """For each chunk of a bucket the counts of its n-grams, in their order; 1 where the table has none."""
+    known, n = np.append(_flat(counts.column("grams")), 0), np.append(_flat(counts.column("counts")), 1)
+    grams = _flat(listed.column("grams"))
+    at = np.searchsorted(known[:-1], grams)
+    found = np.where((at < len(known) - 1) & (known[at] == grams), n[at], 1)
+    offsets = np.cumsum([0, *(k for c in listed.column("grams").chunks for k in c.value_lengths().to_pylist())], dtype=np.int32)
+    return pa.table([listed.column("chunk"), listed.column("bucket"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))], ["chunk", "bucket", "counts"])
+
+
+def _score(p: Backoff) -> Callable:
+    """The sum of log scores of each text of a chunk, from the counts of its n-grams."""
+
+    def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
+        sizes, grams, every, _ = _chunk_grams(texts, p.order)
+        counts = _flat(counted.sort_by("bucket").column("counts")).astype(float)
+        n = [counts[np.searchsorted(every, g)] if k < p.order - 1 else None for k, g in enumerate(grams)]
         at = np.flatnonzero(_places(sizes))
-        n = [count(g) for g in grams]
-        value = n[0][at] / count(np.array([WORDS]))[0]
+        top = counts[np.searchsorted(every, grams[-1][at])]
+        value = (top if p.order == 1 else n[0][at]) / counts[np.searchsorted(every, WORDS)]
         for k in range(1, p.order):
-            value = np.where(n[k][at] >= p.least, n[k][at] / n[k - 1][at - 1], p.discount * value)
+            own = top if k == p.order - 1 else n[k][at]
+            value = np.where(own >= p.least, own / n[k - 1][at - 1], p.discount * value)
         sums = np.concatenate([[0], np.cumsum(np.rint(np.log(value) * SCALE).astype(np.int64))])
         ends = np.cumsum(sizes)
         return pa.table({"doc_id": texts.column("doc_id"), "n_words": sizes, "score_micro": sums[ends] - sums[ends - sizes]})
@@ -103,19 +131,19 @@ def backoff_scores(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:
     S(w | v) = count(v w) / count(v) if the corpus has `v w` at least `least` times, else discount * S(w | shorter v), and
     at last discount * count(w) / words. A first word's v is the text's start. Counts are of all words of all texts.
     N-grams go by 64-bit hashes. Texts are dealt into chunks by hash; a chunk lists each of its different n-grams once, so
-    that none has more rows than there are chunks. Their sums are the table of counts, partitioned by the n-gram's hash,
-    as the chunks' n-grams are that it is joined to; a chunk's counts return to it, and scores are summed by document.
-    Texts are shuffled once and n-grams once, each read twice. Nothing but one sum reaches the driver.
+    that none has more places than there are chunks. Dealt by the hash's first bits into buckets of bounded size, they are
+    summed to the table of counts; each bucket of it is joined to the chunks' n-grams there, a chunk's counts return to it, and
+    scores are summed by document. Texts are shuffled once and n-grams once, each read twice; one sum reaches the driver.
     Null and empty texts have 0 words and a score of 0. Each row is scored by itself, and counts as often as it occurs.
     Other columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chunks = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // p.chunk + 1
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     n = partitions(spark)
-    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(n, "chunk")
-    listed = dealt.groupBy("chunk").applyInArrow(_list(p), "gram long, chunk int, n int").repartition(n, "gram")
-    # Both sides of the join ask for the same columns: so Spark shuffles the n-grams once and reads them twice.
-    counts = listed.groupBy("gram").agg(F.sum("n").alias("sum"), F.count("chunk").alias("chunks")).where("sum > 1 or chunks > 1")
-    counted = listed.join(counts.hint("merge"), "gram").select("gram", "chunk", F.greatest("sum", "n").alias("all"))
-    return dealt.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(_score(p), "doc_id long, n_words long, score_micro long")
+    bits = max(8 * n, size // p.bucket).bit_length()
+    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // p.chunk + 1)).cast("int")).repartition(n, "chunk")
+    listed = dealt.groupBy("chunk").applyInArrow(_list(p, bits), "bucket int, chunk int, grams array<long>, n array<int>").repartition(n, "bucket")
+    counts = listed.groupBy("bucket").applyInArrow(_count, "bucket int, grams array<long>, counts array<long>")
+    joined = listed.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_join, "chunk int, bucket int, counts array<long>")
+    return dealt.groupBy("chunk").cogroup(joined.groupBy("chunk")).applyInArrow(_score(p), "doc_id long, n_words long, score_micro long")
