@@ -16,7 +16,7 @@ from weir.llm.common import U64, WordHashes, mix, partitions, words_of
 @dataclass(frozen=True)
 class Backoff:
     """order: words of the longest n-gram. An n-gram seen fewer than `least` times backs off to the one without its
-    first word, times `discount`; a single word never does. chunk: characters of the texts whose n-grams are listed together,
+    first word, times `discount`; a single word never does. chunk: characters, at most on average, of the texts whose n-grams are listed together,
     bucket: of those whose n-grams a bucket of the table of counts holds on average.
     """
 
@@ -95,14 +95,25 @@ def _count(t: pa.Table) -> pa.Table:
     return pa.table([pa.array([t.column("bucket")[0].as_py()], pa.int32()), pa.array([every], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64()))], ["bucket", "grams", "counts"])
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Counts, first the lowest bytes of all, then the next, compressed."""
+    return pa.compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _opened(x: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(x, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
+
+
 def _join(listed: pa.Table, counts: pa.Table) -> pa.Table:
     """For each chunk of a bucket the counts of its n-grams, in their order; 1 where the table has none."""
     known, n = np.append(_flat(counts.column("grams")), 0), np.append(_flat(counts.column("counts")), 1)
     grams = _flat(listed.column("grams"))
     at = np.searchsorted(known[:-1], grams)
     found = np.where((at < len(known) - 1) & (known[at] == grams), n[at], 1)
-    offsets = np.cumsum([0, *(k for c in listed.column("grams").chunks for k in c.value_lengths().to_pylist())], dtype=np.int32)
-    return pa.table([listed.column("chunk"), listed.column("bucket"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))], ["chunk", "bucket", "counts"])
+    sizes = [k for c in listed.column("grams").chunks for k in c.value_lengths().to_pylist()]
+    packed = [_squeezed(x) for x in np.split(found, np.cumsum(sizes)[:-1])]
+    return pa.table([listed.column("chunk"), listed.column("bucket"), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], ["chunk", "bucket", "size", "counts"])
 
 
 def _score(p: Backoff) -> Callable:
@@ -110,7 +121,8 @@ def _score(p: Backoff) -> Callable:
 
     def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
         sizes, grams, every, _ = _chunk_grams(texts, p.order)
-        counts = _flat(counted.sort_by("bucket").column("counts")).astype(float)
+        parts = counted.sort_by("bucket")
+        counts = np.concatenate([_opened(x.as_py(), n) for x, n in zip(parts.column("counts"), parts.column("size").to_pylist(), strict=True)]).astype(float)
         n = [counts[np.searchsorted(every, g)] if k < p.order - 1 else None for k, g in enumerate(grams)]
         at = np.flatnonzero(_places(sizes))
         top = counts[np.searchsorted(every, grams[-1][at])]
@@ -142,8 +154,8 @@ def backoff_scores(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     n = partitions(spark)
     bits = max(8 * n, size // p.bucket).bit_length()
-    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // p.chunk + 1)).cast("int")).repartition(n, "chunk")
+    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(size // p.chunk + 1, n))).cast("int")).repartition(n, "chunk")
     listed = dealt.groupBy("chunk").applyInArrow(_list(p, bits), "bucket int, chunk int, grams array<long>, n array<int>").repartition(n, "bucket")
     counts = listed.groupBy("bucket").applyInArrow(_count, "bucket int, grams array<long>, counts array<long>")
-    joined = listed.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_join, "chunk int, bucket int, counts array<long>")
+    joined = listed.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(_join, "chunk int, bucket int, size int, counts binary")
     return dealt.groupBy("chunk").cogroup(joined.groupBy("chunk")).applyInArrow(_score(p), "doc_id long, n_words long, score_micro long")
