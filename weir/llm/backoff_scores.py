@@ -153,7 +153,7 @@ def backoff_scores(docs: DataFrame, p: Backoff = Backoff()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     n = partitions(spark)
-    bits = max(8 * n, size // p.bucket).bit_length()
+    bits = max(2 * n, size // p.bucket).bit_length()
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(size // p.chunk + 1, n))).cast("int")).repartition(n, "chunk")
     listed = dealt.groupBy("chunk").applyInArrow(_list(p, bits), "bucket int, chunk int, grams array<long>, n array<int>").repartition(n, "bucket")
     counts = listed.groupBy("bucket").applyInArrow(_count, "bucket int, grams array<long>, counts array<long>")
