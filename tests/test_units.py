@@ -302,3 +302,49 @@ def test_stream_restart_adds_nothing(spark, tmp_path):
     for _ in range(2):
         jobs.append_to(jobs.clean(jobs.json_stream(spark, source, "event_id string, payload string, at long"), ["event_id"]), target, state).awaitTermination()
         assert spark.read.parquet(target).count() == 1
+
+
+def test_update_and_insert_refuse_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (3, "w"), (None, "n"), (None, "m")], "k int, v string")
+    for f in (M.update, M.insert_new, M.upsert):
+        with pytest.raises(M.MergeError):
+            f(target, twice, ["k"])
+    p = M.policy_for("DELTA", "update", keys=["k"], latest_by="v", soft_delete="gone")
+    assert p.soft_delete == "gone"
+    out = M.apply_policy(target.withColumn("gone", F.lit(None).cast("timestamp")), twice.withColumn("gone", F.lit(None).cast("timestamp")), M.Policy("update", ["k"], latest_by="v"))
+    assert {(r.k, r.v) for r in out.collect()} == {(1, "y"), (2, "b")}
+    with pytest.raises(M.MergeError):
+        M.policy_for("FULL_REFRESH", soft_delete="gone")
+
+
+def test_publishing_that_breaks_off_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}"
+    S.publish(S.stage_and_verify(spark.range(3), folder), folder)
+
+    def breaks(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "_rename_over", breaks)
+        with pytest.raises(OSError):
+            S.publish(S.stage_and_verify(spark.range(5), folder), folder)
+    assert S.current(spark, folder).count() == 3
+    S.publish(S.stage_and_verify(spark.range(7), folder), folder)
+    assert S.current(spark, folder).count() == 7
+
+
+def test_json_is_judged_by_all_rows(spark):
+    df = spark.range(3000).select(F.when(F.col("id") == 2500, "plain").otherwise('{"a": 1}').alias("late"), F.lit('{"a": 1}').alias("a b.c"), F.lit("").alias("blank"), F.lit("{a").alias("broken"))
+    out = C.parse_json(df)
+    assert [t for _, t in out.dtypes] == ["string", "struct<a:bigint>", "string", "string"]
+    assert out.where("late = 'plain'").count() == 1
+
+
+def test_late_rows_of_a_stream_don_t_replace_newer_ones(spark, tmp_path):
+    source, folder, state = (f"{tmp_path}/{x}" for x in ("in", "out", "state"))
+    for rows in ([(1, "new", 9)], [(1, "old", 3), (2, "b", 1), (2, "c", 2)], [(2, "a", 0)]):
+        spark.createDataFrame(rows, "k int, v string, at int").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k int, v string, at int").parquet(source)
+        jobs.upsert_into(stream, folder, ["k"], "at", state).awaitTermination()
+    assert {tuple(r) for r in S.current(spark, folder).collect()} == {(1, "new", 9), (2, "c", 2)}

@@ -35,29 +35,34 @@ def flatten(df: DataFrame, depth: int = 0) -> DataFrame:
     return df
 
 
-def parse_json(df: DataFrame, columns: list[str] | None = None, look: int = 1000) -> DataFrame:
+def parse_json(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """String columns of JSON objects or arrays become structs, arrays or maps of an inferred schema; "", {}, [] and null become null.
 
-    Without names, a column is taken for JSON if the first `look` rows hold values and each begins with { or [. The
-    schema is inferred over all rows in one aggregation.
+    Without names, a column is taken for JSON if it has values, and each of them in all rows parses as an object or an
+    array; other columns stay as they are. The schemas are inferred in the same aggregation.
     """
-    if columns is None:
-        names = _strings(df)
-        tests = [F.coalesce(F.bool_and(F.ltrim(c).rlike(r"^[{\[]")), F.lit(False)).alias(c) for c in names]
-        first = df.select(*names).limit(look).agg(*tests).first() if names else None
-        columns = [c for c in names if first[c]]
-    if not columns:
+    names = _strings(df) if columns is None else columns
+    if not names:
         return df
-    empty = {c: F.when(~F.trim(c).isin("", "{}", "[]", "null"), F.col(c)) for c in columns}
-    schemas = df.agg(*(F.expr(f"schema_of_variant_agg(try_parse_json(`{c}`))").alias(c) for c in columns)).first()
+    facts = []
+    for c in names:
+        text = F.col(quoted(c))
+        blank = text.isNull() | (F.trim(text) == "")
+        parsed = F.ltrim(text).rlike(r"^[{\[]") & F.try_parse_json(text).isNotNull()
+        facts += [F.coalesce(F.bool_and(blank | F.coalesce(parsed, F.lit(False))) & F.bool_or(~blank), F.lit(False)), F.expr(f"schema_of_variant_agg(try_parse_json({quoted(c)}))")]
+    found = df.agg(*(f.alias(f"f{k}") for k, f in enumerate(facts))).first()
     out = {}
-    for c in columns:
-        kind = re.sub(r"\bOBJECT<", "STRUCT<", schemas[c] or "VOID")
-        if kind not in ("VOID", "VARIANT"):
-            out[c] = F.from_json(empty[c], kind)
+    for k, c in enumerate(names):
+        kind = re.sub(r"\bOBJECT<", "STRUCT<", found[2 * k + 1] or "VOID")
+        if (columns is not None or found[2 * k]) and kind not in ("VOID", "VARIANT"):
+            out[c] = F.from_json(F.when(~F.trim(quoted(c)).isin("", "{}", "[]", "null"), F.col(quoted(c))), kind)
     return df.withColumns(out)
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def sanitize(df: DataFrame) -> DataFrame:
     """Binary as text, NULs cut from both ends of texts, dates and times as yyyy-MM-dd HH:mm:ss."""
     out = {}
@@ -84,40 +89,35 @@ def repair_json(c: Column) -> Column:
     return F.regexp_replace(c, r",\s*([\]}])", "$1")
 
 
-def _parts(name: str) -> list[str]:
-    spaced = re.sub(r"[^0-9A-Za-z]+", " ", name)
-    spaced = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1 \2", spaced)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", spaced).split()
+#: What a name is made of: capitals before a capitalised word, a word with its first capitals, capitals alone.
+PIECE = re.compile(r"[A-Z]+(?=[A-Z][a-z])|[A-Z]*[a-z0-9]+|[A-Z]+")
+CASES = {"lower": str.lower, "upper": str.upper, "caps": lambda p: p[:1].upper() + p[1:], "title": str.title, "none": str}
+JOINTS = {"snake": "_", "kebab": "-", "camel": ""}
 
 
 def styled_name(name: str, style: str = "snake", case: str = "lower") -> str:
     """A name in a style (snake, kebab, camel, none) and case (lower, upper, caps, title, none); a leading _ keeps it as it is."""
     if style == "camel" and case not in ("caps", "none"):
         raise ValueError("camel goes with caps or none")
-    if name.startswith("_"):
+    if name[:1] == "_":
         return name
-    parts = _parts(name) or [name]
-    if style == "none":
-        whole = name
-        return {"lower": whole.lower(), "upper": whole.upper(), "caps": whole[:1].upper() + whole[1:], "title": whole.title(), "none": whole}[case]
+    pieces = [name] if style == "none" else PIECE.findall(name) or [name]
     if style == "camel":
-        low = [p.lower().capitalize() for p in parts]
-        return "".join(low) if case == "caps" else low[0].lower() + "".join(low[1:])
-    cased = {"lower": str.lower, "upper": str.upper, "caps": lambda p: p[:1].upper() + p[1:], "title": str.title, "none": str}[case]
-    return {"snake": "_", "kebab": "-"}[style].join(map(cased, parts))
+        pieces = [CASES["title" if k or case == "caps" else "lower"](p.lower()) for k, p in enumerate(pieces)]
+        case = "none"
+    return JOINTS.get(style, "").join(CASES[case](p) for p in pieces)
 
 
 def renamed(names: list[str], style: str = "snake", case: str = "lower") -> list[str]:
     """Styled names; one that is taken gets _1, _2, ..."""
-    out: list[str] = []
+    taken: dict[str, int] = {}  # each name given out, and the number that a next one of the same style would try
     for n in names:
-        new = base = styled_name(n, style, case)
-        k = 0
-        while new in out:
-            k += 1
-            new = f"{base}_{k}"
-        out.append(new)
-    return out
+        base = new = styled_name(n, style, case)
+        while new in taken:
+            taken[base] += 1
+            new = f"{base}_{taken[base]}"
+        taken[new] = 0
+    return list(taken)
 
 
 def rename_columns(df: DataFrame, style: str = "snake", case: str = "lower") -> DataFrame:

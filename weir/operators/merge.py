@@ -19,13 +19,14 @@ def require_columns(target: DataFrame, staging: DataFrame) -> None:
         raise MergeError(f"staging lacks columns of the target: {', '.join(missing)}")
 
 
-def _like(target: DataFrame, staging: DataFrame) -> DataFrame:
+def like(target: DataFrame, staging: DataFrame) -> DataFrame:
+    """Staging with the target's columns and types."""
     require_columns(target, staging)
     return staging.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema))
 
 
 def full_refresh(target: DataFrame, staging: DataFrame) -> DataFrame:
-    return _like(target, staging)
+    return like(target, staging)
 
 
 def delete_insert(target: DataFrame, staging: DataFrame, key: Column | str) -> DataFrame:
@@ -33,7 +34,7 @@ def delete_insert(target: DataFrame, staging: DataFrame, key: Column | str) -> D
     k = F.col(key) if isinstance(key, str) else key
     values = staging.select(k.alias("__key")).where("__key is not null").distinct()
     kept = target.withColumn("__key", k).join(values, "__key", "left_anti").select(target.columns)
-    return kept.unionByName(_like(target, staging))
+    return kept.unionByName(like(target, staging))
 
 
 def unique(staging: DataFrame, keys: list[str], latest_by: str | None = None) -> DataFrame:
@@ -54,17 +55,21 @@ def require_unique(staging: DataFrame, keys: list[str]) -> None:
         raise MergeError(f"staging has several rows for one ({', '.join(keys)})")
 
 
-def update(target: DataFrame, staging: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched target rows take all other columns from staging, nulls too."""
-    staging = _like(target, staging)
+def update(target: DataFrame, staging: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
+    """Matched target rows take all other columns from staging, nulls too. Several staging rows for a key are an error."""
+    if check:
+        require_unique(staging, keys)
+    staging = like(target, staging)
     s = staging.select(*keys, F.struct(*(c for c in target.columns if c not in keys), F.lit(True).alias("__is")).alias("__new"))
     joined = target.join(s, keys, "left")
     return joined.select(*(F.col(c) if c in keys else F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in target.columns))
 
 
-def insert_new(target: DataFrame, staging: DataFrame, keys: list[str]) -> DataFrame:
-    """Staging rows whose key the target lacks are added; a key with a null never matches, so its row is added."""
-    return target.unionByName(_like(target, staging).join(target.select(*keys), keys, "left_anti").select(target.columns))
+def insert_new(target: DataFrame, staging: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
+    """Staging rows whose key the target lacks are added; a key with a null never matches, so its row is added. Several rows for a key are an error."""
+    if check:
+        require_unique(staging, keys)
+    return target.unionByName(like(target, staging).join(target.select(*keys), keys, "left_anti").select(target.columns))
 
 
 def upsert(target: DataFrame, staging: DataFrame, keys: list[str], latest_by: str | None = None, check: bool = True) -> DataFrame:
@@ -72,7 +77,7 @@ def upsert(target: DataFrame, staging: DataFrame, keys: list[str], latest_by: st
     staging = unique(staging, keys, latest_by)
     if check and latest_by is None:
         require_unique(staging, keys)
-    return target.join(staging.select(*keys), keys, "left_anti").select(target.columns).unionByName(_like(target, staging))
+    return target.join(staging.select(*keys), keys, "left_anti").select(target.columns).unionByName(like(target, staging))
 
 
 def soft_delete(target: DataFrame, staging: DataFrame, keys: list[str], at: Column, column: str = "_is_deleted", scope: Column | None = None) -> DataFrame:
@@ -103,7 +108,7 @@ def dml_insert(df: DataFrame, rows: DataFrame | list[dict]) -> DataFrame:
     """With the rows of a query, or literal records whose absent columns are null."""
     if isinstance(rows, list):
         rows = df.sparkSession.createDataFrame([tuple(r.get(c) for c in df.columns) for r in rows], df.schema)
-    return df.unionByName(_like(df, rows))
+    return df.unionByName(like(df, rows))
 
 
 @dataclass(frozen=True)
@@ -121,8 +126,11 @@ LOADS = {"FULL_REFRESH": "full_refresh", "SNAPSHOT": "delete_insert", "CDC": "up
 DELTAS = {"delete_insert": "delete_insert", "update_insert": "upsert", "update": "update"}
 
 
-def policy_for(load: str, merge: str | None = None, keys: list[str] | None = None, update_key: str | None = None, latest_by: str | None = None) -> Policy:
-    """The policy of a load type: FULL_REFRESH, SNAPSHOT, CDC, or DELTA with a merge of its own."""
+def policy_for(load: str, merge: str | None = None, keys: list[str] | None = None, update_key: str | None = None, latest_by: str | None = None, soft_delete: str | None = None) -> Policy:
+    """The policy of a load type: FULL_REFRESH, SNAPSHOT, CDC, or DELTA with a merge of its own.
+
+    soft_delete: a column in which target rows that staging lacks get a time of deletion; it needs keys.
+    """
     load = load.upper()
     mode = DELTAS.get(merge or "") if load == "DELTA" else LOADS.get(load)
     if mode is None:
@@ -131,7 +139,9 @@ def policy_for(load: str, merge: str | None = None, keys: list[str] | None = Non
         raise MergeError(f"{load} needs an update key")
     if mode in ("upsert", "update") and not keys:
         raise MergeError(f"{load} needs a primary key")
-    return Policy(mode, keys, update_key, latest_by)
+    if soft_delete and not keys:
+        raise MergeError(f"{load} needs a primary key to mark what is gone")
+    return Policy(mode, keys, update_key, latest_by, soft_delete)
 
 
 def apply_policy(target: DataFrame, staging: DataFrame, p: Policy, deleted_at: Column | None = None, scope: Column | None = None) -> DataFrame:
@@ -143,9 +153,9 @@ def apply_policy(target: DataFrame, staging: DataFrame, p: Policy, deleted_at: C
     if p.mode == "delete_insert":
         return delete_insert(target, staging, p.update_key)
     if p.mode == "update":
-        return update(target, unique(staging, p.keys, p.latest_by), p.keys)
+        return update(target, unique(staging, p.keys, p.latest_by), p.keys, p.latest_by is None)
     if p.mode == "insert":
-        return insert_new(target, staging, p.keys)
+        return insert_new(target, unique(staging, p.keys, p.latest_by), p.keys, p.latest_by is None)
     return upsert(target, staging, p.keys, p.latest_by)
 
 

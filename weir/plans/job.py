@@ -11,6 +11,7 @@ from weir.functions.types import apply_contract, override_types
 from weir.operators.merge import Policy, apply_policy, evolve, verify
 from weir.plans.transform import Step, run_steps
 from weir.sources import files
+from weir.sources.scratch import scratch
 
 
 @dataclass(frozen=True)
@@ -44,12 +45,15 @@ def prepare(spark: SparkSession, source: DataFrame, job: Job, run_id: str, loade
 
 
 def run_job(spark: SparkSession, source: DataFrame, target: DataFrame, job: Job, run_id: str, loaded_at: Column | None = None, label: Column | None = None) -> DataFrame:
-    """The merged and verified table. Without staging rows the target comes back as it is."""
-    staging = prepare(spark, source, job, run_id, loaded_at, label)
+    """The merged and verified table. Without staging rows the target comes back as it is.
+
+    Staging and result are written once, to scratch folders: what is verified is what comes back.
+    """
+    staging = files.stage_and_verify(prepare(spark, source, job, run_id, loaded_at, label), scratch(spark))
     if staging.isEmpty():
         return target
     target, staging, _ = evolve(target, staging, job.add_new_columns)
-    merged = apply_policy(target, staging, job.policy)
+    merged = files.stage_and_verify(apply_policy(target, staging, job.policy), scratch(spark))
     verify(merged, staging, job.policy)
     return merged
 

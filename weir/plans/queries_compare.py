@@ -85,6 +85,10 @@ def audit_rules(spark, d):
     return C.audit(table(spark, d, "lineitem"), rules, ["l_orderkey"], 1000, 0.01)
 
 
-@query()
+@query("SELECT least(count(*), 10) AS rows, least(count(*), 10) AS different, least(count(*), 10) AS known FROM orders")
 def sample_n(spark, d):
-    return C.sample_rows(table(spark, d, "orders"), 10)
+    """Ten rows, whichever: how many, how many different ones, and how many that the table has."""
+    o = table(spark, d, "orders")
+    s = C.sample_rows(o, 10).select("o_orderkey", F.lit(True).alias("drawn"))
+    known = s.join(o.select("o_orderkey", F.lit(True).alias("there")), "o_orderkey", "left")
+    return known.agg(F.count("drawn").alias("rows"), F.count_distinct("o_orderkey").alias("different"), F.count("there").alias("known"))

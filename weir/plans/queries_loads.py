@@ -8,6 +8,7 @@ from weir.operators import incremental as W
 from weir.operators import merge as M
 from weir.plans.job import Job, run_job
 from weir.plans.registry import query, table
+from weir.sources import files as S
 from weir.sources.scratch import scratch
 
 _COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
@@ -97,13 +98,19 @@ def schema_evolve(spark, d):
     return M.upsert(t, s, _KEYS)
 
 
-@query("""SELECT 'run-2' AS run_id, 'orders' AS target_table, 'ADD_COLUMN' AS action, c AS column_name, k AS data_type, TIMESTAMP '2024-03-01' AS executed_at, 'loader' AS executed_by
-  FROM (VALUES ('_run_id', 'string'), ('grade', 'int')) v(c, k) WHERE (SELECT count(*) FROM orders) > 0""")
+@query(f"""WITH {_SQL} SELECT 'run-2' AS run_id, 'orders' AS target_table, 'ADD_COLUMN' AS action, c AS column_name, k AS data_type, TIMESTAMP '2024-03-01' AS executed_at, 'loader' AS executed_by, n AS filled
+  FROM (SELECT '_run_id' AS c, 'string' AS k, count(*) AS n FROM s UNION ALL SELECT 'grade', 'int', count(*) FILTER (o_totalprice > 100000) FROM s)""")
 def schema_change_log(spark, d):
-    t = _orders(spark, d)
-    _, _, e = M.evolve(t, _staging(spark, d).withColumns({"_run_id": F.lit("run-2"), "grade": F.lit(1)}), add_new=True)
+    """A written table takes in staging with two more columns; the log says which, and how many rows of the new version fill them."""
+    folder = scratch(spark)
+    S.publish(S.stage_and_verify(_orders(spark, d), folder), folder)
+    s = _staging(spark, d).withColumns({"_run_id": F.lit("run-2"), "grade": F.when(F.col("o_totalprice") > 100_000, 1)})
+    t, s, e = M.evolve(S.current(spark, folder), s, add_new=True)
+    S.publish(S.stage_and_verify(M.upsert(t, s, _KEYS), folder), folder)
     log = M.evolution_log(t, e, "run-2", "orders", F.expr("timestamp_ntz'2024-03-01'"), "loader")
-    return log.where(F.to_date("executed_at") == F.lit("2024-03-01").cast("date"))
+    new = S.current(spark, folder)
+    filled = new.agg(*(F.count(c).alias(c) for c, _ in e.added)).unpivot([], [c for c, _ in e.added], "column_name", "filled")
+    return log.join(filled, "column_name").where(F.to_date("executed_at") == F.lit("2024-03-01").cast("date"))
 
 
 @query("SELECT DISTINCT CAST(l_shipdate AS DATE) AS partition_key FROM lineitem")
@@ -217,8 +224,24 @@ def manifest_scan(spark, d):
     return A.read_manifests(spark, path, "job1", "2024-01-01").groupBy("job_id").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT length(whole)::BIGINT AS size, md5(whole) AS md5 FROM (SELECT concat(string_agg(n_name, chr(10) ORDER BY n_nationkey), chr(10)) AS whole FROM nation)")
 def file_checksums(spark, d):
-    return A.file_checksums(spark, f"{d}/nation.parquet")
+    path = scratch(spark)
+    table(spark, d, "nation").orderBy("n_nationkey").coalesce(1).select("n_name").write.text(path)
+    return A.file_checksums(spark, path, "*.txt").select("size", "md5")
+
+
+@query("SELECT event_id, strftime((CAST(ts AS DATE) + INTERVAL 1 MONTH) - INTERVAL 2 DAY, '%Y/%m/%d') AS run_date FROM events")
+def resolve_date(spark, d):
+    return table(spark, d, "events").select("event_id", W.resolve_date(F.col("ts"), months=1, days=-2, pattern="yyyy/MM/dd").alias("run_date"))
+
+
+@query("SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-09')")
+def incr_paths(spark, d):
+    """Files whose path holds one of the dates, and that changed after a time."""
+    path = scratch(spark)
+    table(spark, d, "events").select("event_id", F.to_date("ts").alias("day")).repartition("day").write.partitionBy("day").parquet(path)
+    found = spark.read.parquet(path).where(W.path_predicate(F.col("_metadata.file_path"), "day={YYYY}-{MM}-{DD}", ["2024-01-03", "2024-01-09"]))
+    return found.where(W.modified_predicate("_metadata.file_modification_time", 0.0)).select("event_id", "day")
 
 

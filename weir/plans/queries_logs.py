@@ -81,9 +81,11 @@ def slot_id(spark, d):
     return table(spark, d, "events").select("event_id", L.slot_id([F.col("user_id"), F.col("event_type")], F.col("ts")).alias("slot_id"))
 
 
-@query(f"WITH {_SLOTS} SELECT job_id, slot, lead(slot) OVER (PARTITION BY job_id ORDER BY slot) AS next_slot, coalesce(lead(slot) OVER (PARTITION BY job_id ORDER BY slot) <= TIMESTAMP '2024-01-15 12:00:00', FALSE) AS expired FROM p WHERE (SELECT count(*) FROM events) > 0")
+@query("""WITH p AS (SELECT DISTINCT concat('user-', user_id) AS job_id, date_trunc('hour', ts) AS slot FROM events)
+  SELECT job_id, slot, lead(slot) OVER w AS next_slot, coalesce(lead(slot) OVER w <= TIMESTAMP '2024-01-15 12:00:00', FALSE) AS expired FROM p WINDOW w AS (PARTITION BY job_id ORDER BY slot)""")
 def expired_slots(spark, d):
-    used = _planned(spark).join(F.broadcast(table(spark, d, "events").agg(F.count("*").alias("n"))), F.col("n") > 0).drop("n")  # one row
+    """The hours in which each user had events are the slots of a job."""
+    used = table(spark, d, "events").select(F.concat(F.lit("user-"), "user_id").alias("job_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot")).distinct()
     return L.expired_slots(used, "job_id", F.expr("timestamp_ntz'2024-01-15 12:00:00'"))
 
 

@@ -1,9 +1,17 @@
 """Registered queries of sources, sinks and streams. Tables are written to a shared scratch folder in a format and read from it."""
 
+import io
+import uuid
+import zipfile
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from weir.operators import tables
+
 from weir.plans.registry import query, table
 from weir.sources import files as S
+from weir.sources import jdbc
 from weir.sources.scratch import scratch
 from weir.streaming import jobs
 
@@ -146,13 +154,13 @@ def stream_incremental(spark, d):
     source = scratch(spark)
     events = table(spark, d, "events").select("event_id", "value")
 
-    def each(batch, _):
-        batch.write.mode("append").parquet(target)
+    def each(batch, n):  # a batch that runs again writes its own folder anew
+        batch.write.mode("overwrite").parquet(f"{target}/batch={n}")
 
     for part in (0, 1):
         events.where(f"event_id % 2 = {part}").write.mode("append").parquet(source)
         jobs.pick_up(spark, source, "parquet", "event_id long, value double", state, each).awaitTermination()
-    return S.read_parquet(spark, target)
+    return S.read_parquet(spark, target).drop("batch")
 
 
 @query("SELECT user_id, event_id, ts, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
@@ -160,7 +168,7 @@ def stream_upsert(spark, d):
     source, folder, state = scratch(spark), scratch(spark), scratch(spark)
     events = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
     half = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
-    for part in (f"event_id <= {half}", f"event_id > {half}"):
+    for part in (f"event_id > {half}", f"event_id <= {half}"):  # the older rows come late
         events.where(part).write.mode("append").parquet(source)
         stream = spark.readStream.schema(events.schema).parquet(source)
         jobs.upsert_into(stream, folder, ["user_id"], "event_id", state).awaitTermination()
@@ -175,10 +183,77 @@ def stream_state(spark, d):
     stream = spark.readStream.schema(events.schema).parquet(source)
     out = scratch(spark)
 
-    def each(batch, _):
-        batch.write.mode("append").parquet(out)
+    def each(batch, n):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
 
     folded = jobs.fold_states(stream, "user_id", "ts", "status", ["purchase"])
     folded.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     last = S.read_parquet(spark, out).where("status = 'purchase'").groupBy("user_id").agg(F.max("ts").cast("timestamp_ntz").alias("last_purchase"))
     return last
+
+
+def _zips(key, t):
+    """An archive of two CSV files and a note for each key."""
+    rows = t.sort_by("c_custkey").to_pylist()
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for part in (0, 1):
+            z.writestr(f"part_{part}.csv", "c_custkey,c_name\n" + "".join(f"{r['c_custkey']},{r['c_name']}\n" for r in rows if r["c_custkey"] % 2 == part))
+        z.writestr("readme.md", "no rows")
+    return pa.table({"path": [f"nation_{key[0].as_py()}.zip"], "content": [held.getvalue()]})
+
+
+@query("SELECT concat('nation_', c_nationkey, '.zip') AS archive, concat('part_', c_custkey % 2, '.csv') AS member, c_custkey, c_name FROM customer")
+def scan_archive(spark, d):
+    path = scratch(spark)
+    table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name").groupBy("c_nationkey").applyInArrow(_zips, "path string, content binary").write.parquet(path)
+    return S.member_rows(S.members_of(spark.read.parquet(path), "*.csv"), "c_custkey long, c_name string")
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def jdbc_round_trip(spark, d):
+    """Into a database and back in four shards; the database that Spark brings lives in one JVM, so this is for one machine."""
+    url, names = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    supplier = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    upper = supplier.toDF(*map(str.upper, supplier.columns))
+    jdbc.write_table(upper.limit(0), url, "SUPPLIER", "overwrite", properties=names)
+    jdbc.write_table(upper, url, "SUPPLIER", "append", properties=names, expected=supplier.count())
+    return jdbc.read_sharded(spark, url, "SUPPLIER", "S_SUPPKEY", 4, names).toDF(*supplier.columns)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 7 <> 0")
+def repair_csv(spark, d):
+    """A CSV with a byte order mark, of which every seventh row has too many fields or a wrong type."""
+    path = scratch(spark)
+    c = table(spark, d, "customer").repartition(4)
+    line = F.concat_ws(",", "c_custkey", "c_name")
+    bad = F.when(F.col("c_custkey") % 2 == 0, F.concat(line, F.lit(",more"))).otherwise(F.concat(F.lit("x"), line))
+    c.select(F.when(F.col("c_custkey") % 7 == 0, bad).otherwise(line).alias("value")).write.text(path)
+    return S.read_csv(spark, path, "c_custkey long, c_name string", header=False, skip_bad=True)
+
+
+@query("SELECT 'orders.parquet' AS name, NULL AS problem UNION ALL SELECT 'absent.parquet', 'missing' UNION ALL SELECT 'part.parquet', 'too large' FROM part HAVING count(*) > 0")
+def file_check(spark, d):
+    found = S.check_paths(spark, [f"{d}/orders.parquet", f"{d}/absent.parquet"]).unionByName(S.check_paths(spark, [f"{d}/part.parquet"], 10))
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "problem")
+
+
+@query("SELECT s_suppkey, s_name, NULL::INT AS grade, 0::BIGINT AS rows_of_like FROM supplier")
+def like_table(spark, d):
+    """A table of the catalog, one like it without rows, a clone with rows and a column more."""
+    names = [f"weir_{k}_{uuid.uuid4().hex}" for k in ("own", "like", "clone")]
+    own, empty, clone = names
+    path = scratch(spark)
+    try:
+        tables.create_table(spark, own, {"s_suppkey": "integer", "s_name": "string"})
+        supplier = table(spark, d, "supplier")
+        supplier.select(*(supplier[f.name].cast(f.dataType).alias(f.name) for f in spark.table(own).schema)).write.insertInto(own)
+        tables.like_table(spark, own, empty)
+        tables.clone_table(spark, own, clone)
+        tables.add_columns(spark, clone, {"grade": "integer"})
+        rows = spark.table(clone).join(F.broadcast(spark.table(empty).agg(F.count("*").alias("rows_of_like"))), F.lit(True))  # one row
+        rows.withColumns({"s_suppkey": F.col("s_suppkey").cast("long"), "grade": F.col("grade").cast("int")}).write.parquet(path)
+    finally:
+        for n in names:
+            tables.drop_table(spark, n)
+    return S.read_parquet(spark, path)

@@ -178,9 +178,13 @@ def _members(pattern: str):
 
 
 def archive_members(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """archive, member, size, content of the members of zip and tar archives whose inner name fits; a task for each archive."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.mapInArrow(_members(pattern), "archive string, member string, size long, content binary")
+    """archive, member, size, content of the members of zip and tar archives below a path whose inner name fits."""
+    return members_of(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path), pattern)
+
+
+def members_of(archives: DataFrame, pattern: str = "*") -> DataFrame:
+    """The same of archives(path, content). Each is read in one task from one value, which holds 2 GB at most: Spark refuses larger files."""
+    return archives.select("path", "content").mapInArrow(_members(pattern), "archive string, member string, size long, content binary")
 
 
 def member_rows(members: DataFrame, schema: str, kind: str = "csv", header: bool = True) -> DataFrame:
@@ -238,16 +242,22 @@ def stage_and_verify(df: DataFrame, folder: str, expected: int | None = None) ->
 
 
 def publish(staged: DataFrame, folder: str) -> None:
-    """Makes a staged version the current one: a pointer file is written beside it and moved into place."""
+    """Makes a staged version the current one: a pointer file is written beside the old one and renamed over it in one step."""
     spark = staged.sparkSession
-    fs, pointer = _fs(spark, f"{folder}/CURRENT")
-    _, new = _fs(spark, f"{folder}/NEXT-{uuid.uuid4().hex}")
+    fs, new = _fs(spark, f"{folder}/NEXT-{uuid.uuid4().hex}")
     out = fs.create(new)
     out.write(bytearray(staged._weir_path.rpartition("/")[2].encode()))
     out.close()
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(new, pointer)
+    _rename_over(spark, new, f"{folder}/CURRENT")
+
+
+def _rename_over(spark: SparkSession, new, target: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(new, hadoop.Path(target), how)
 
 
 def current(spark: SparkSession, folder: str) -> DataFrame:

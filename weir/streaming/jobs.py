@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from weir.operators.merge import upsert
+from weir.operators.merge import like, unique
 from weir.sources import files
 
 
@@ -37,14 +37,15 @@ def pick_up(spark: SparkSession, path: str, kind: str, schema: str, checkpoint:
 def upsert_into(stream: DataFrame, folder: str, keys: list[str], latest_by: str, checkpoint: str) -> StreamingQuery:
     """Merges each micro-batch into a versioned table: a new version is staged, verified and published.
 
-    Of several rows for a key the latest wins, so that a batch that runs again after a failure gives the same table.
+    Of all rows for a key, those of the table included, the latest wins: a late row never replaces a newer one, and a
+    batch that runs again after a failure gives the same table. Rows with a null in the key are added as they come.
     """
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
         target = files.current(spark, folder) if files.exists(spark, f"{folder}/CURRENT") else batch.limit(0)
-        files.publish(files.stage_and_verify(upsert(target, batch, keys, latest_by), folder), folder)
+        files.publish(files.stage_and_verify(unique(target.unionByName(like(target, batch)), keys, latest_by), folder), folder)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -60,9 +61,11 @@ def fold_states(stream: DataFrame, key: str, at: str, status: str, terminal: lis
         best = state.get if state.exists else None
         new = best
         for part in parts:
-            for t, s in zip(part[at], part[status], strict=True):
-                row = (s in final, int(pd.Timestamp(t).value // 1000), s)
-                new = row if new is None or row[:2] > tuple(new[:2]) else new
+            if part.empty:
+                continue
+            top = part.assign(final=part[status].isin(final)).sort_values(["final", at], kind="stable", ascending=False).iloc[0]
+            row = (bool(top["final"]), int(pd.Timestamp(top[at]).value // 1000), top[status])
+            new = row if new is None or row[:2] > tuple(new[:2]) else new
         if new is not None and new != best:
             state.update(new)
             yield pd.DataFrame({key: [k[0]], at: [pd.Timestamp(new[1] * 1000)], status: [new[2]]})
