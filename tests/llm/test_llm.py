@@ -496,6 +496,16 @@ def test_personal_data(spark, odd):
     assert clean.where("doc_id = 400 and text like '%<EMAIL>%<IP>%<PHONE>%' and n_chars = length(text)").count() == 1
 
 
+def test_overlaps_are_found_whatever_spans_nest():
+    rng = random.Random(11)
+    assert P._overlaps(P._covered({"card": [(0, 50)], "ip": [(10, 12)]}), 20, 30)
+    for _ in range(2000):
+        spans = {k: [(a, a + rng.randrange(1, 9)) for a in (rng.randrange(40) for _ in range(rng.randrange(4)))] for k in P.KINDS}
+        a = rng.randrange(40)
+        b = a + rng.randrange(1, 9)
+        assert P._overlaps(P._covered(spans), a, b) == any(x < b and a < y for own in spans.values() for x, y in own)
+
+
 def test_trees_accept_what_the_formats_miss(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     model = P.train(docs)
