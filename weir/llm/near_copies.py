@@ -21,7 +21,7 @@ class NearCopies:
     A signature is `chunks` x `width` minima of 16 bits. A chunk may hold one position that differs: each of its
     `width` ways to leave one out is a key. Signatures that differ in fewer than 2 x chunks positions share a key by
     the pigeonhole principle. At a similarity of 0.8, a pair shares none with a probability of about 3e-6; at 0.3, nine pairs in ten do.
-    most: positions that may differ in signatures of a pair that is confirmed (more at a similarity of 0.8: 1e-8).
+    most: positions that may differ in signatures of a pair that is confirmed (more at a similarity of 0.8: about 1e-6).
     tile: documents of one side of a unit of work in which signatures are compared. deal: documents whose sets one
     task compares with one other's. few: documents up to which a list of them is broadcast to find their texts
     (8 bytes each); longer ones are joined, with the same result.
@@ -31,7 +31,7 @@ class NearCopies:
     percent: int = 80
     chunks: int = 12
     width: int = 6
-    most: int = 36
+    most: int = 32
     tile: int = 4096
     deal: int = 128
     few: int = 200_000
@@ -104,20 +104,50 @@ def _within_distance(p: NearCopies) -> Callable:
     return within
 
 
-def _tile_pairs(p: NearCopies) -> Callable:
-    """Pairs (a, b), a < b, of a tile whose signatures and sizes are near and that no links join so far."""
+def _tiles(batches: Iterator[pa.RecordBatch], p: NearCopies) -> Iterator[tuple]:
+    """Of each tile: the documents, and for each of one side those of the other that signatures and sizes bring near and no links join so far, with the distances."""
+    for t in runs(batches, ["key", "i", "j"]):
+        t = t.combine_chunks()
+        rep, n, part, side = (t.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
+        signs = _signatures(t.column("sign").chunk(0), p)
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+
+        def near(x: int) -> tuple[np.ndarray, np.ndarray]:
+            y = right[(part[right] != part[x]) & (100 * np.minimum(n[x], n[right]) >= p.percent * np.maximum(n[x], n[right]))]  # noqa: B023
+            y = y[rep[y] > rep[x]] if i == j else y  # noqa: B023
+            apart = (signs[y] != signs[x]).sum(axis=1)  # noqa: B023
+            return y[apart <= p.most], apart[apart <= p.most]
+
+        yield rep, ((x, *near(x)) for x in left.tolist())
+
+
+def _nearest(p: NearCopies) -> Callable:
+    """(own, apart, other): for each document of a tile the one of the least distance."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rep, found in _tiles(batches, p):
+            least, who = np.full(len(rep), np.iinfo(np.int64).max), np.full(len(rep), -1)
+            for x, y, apart in found:
+                if len(y):
+                    k = apart.argmin()
+                    if apart[k] < least[x]:
+                        least[x], who[x] = apart[k], y[k]
+                    closer = apart < least[y]
+                    least[y[closer]], who[y[closer]] = apart[closer], x
+            has = np.flatnonzero(who >= 0)
+            if len(has):
+                yield pa.RecordBatch.from_arrays([pa.array(rep[has]), pa.array(least[has]), pa.array(rep[who[has]])], ["own", "apart", "other"])
+
+    return nearest
+
+
+def _all_near(p: NearCopies) -> Callable:
+    """Pairs (a, b), a < b."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(batches, ["key", "i", "j"]):
-            t = t.combine_chunks()
-            rep, n, part, side = (t.column(c).to_numpy() for c in ("rep", "n", "component", "chunk"))
-            signs = _signatures(t.column("sign").chunk(0), p)
-            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-            left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-            for x in left.tolist():
-                y = right[(part[right] != part[x]) & (100 * np.minimum(n[x], n[right]) >= p.percent * np.maximum(n[x], n[right]))]
-                y = y[rep[y] > rep[x]] if i == j else y
-                y = y[(signs[y] != signs[x]).sum(axis=1) <= p.most]
+        for rep, found in _tiles(batches, p):
+            for x, y, _ in found:
                 if len(y):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[x], rep[y])), pa.array(np.maximum(rep[x], rep[y]))], ["a", "b"])
 
@@ -170,8 +200,9 @@ def near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
     one. Two documents are linked if the sets' similarity is `percent` or more; component_id is the smallest doc_id
     that links reach. Documents with equal sets are one class from the start, so copies are never compared. Classes
     that share a key are a group. First each is compared with its group's smallest: signatures, then whole sets. What
-    these links join needs no more comparison; the other pairs of a group of three or more are compared in tiles, by
-    signature and then on whole sets. So a pair is compared only if it shares a key, however candidates are chained.
+    these links join needs no more comparison. Of groups of three or more that they leave apart, each document is compared
+    with the nearest by signature, and then all pairs that are still apart, in tiles, by signature and then on whole sets.
+    So a pair is compared only if it shares a key, however candidates are chained.
     Null and empty texts have no shingle and no link. A row whose doc_id is null links with nothing; rows with one doc_id
     each get that document's component. Other columns are not read.
     """
@@ -190,14 +221,22 @@ def near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
     links = _links(docs, saved(both.mapInArrow(_within_distance(p), "a long, b long").distinct()), p)
     found = saved(components(links))
 
-    more = grouped.where("members > 2").join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component_id", "rep")).select("key", "rep", "component")
-    apart = more.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / p.tile).cast("int").alias("of")).where("low < high").select("key", "of")
-    more = more.join(saved(apart), "key").join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
-    tiles = more.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("of", "other")
-    tiles = tiles.repartition(partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    rest = saved(tiles.mapInArrow(_tile_pairs(p), "a long, b long").distinct())
-    if not rest.isEmpty():
-        found = components(links.unionByName(_links(docs, rest, p)))
+    def tiles(found: DataFrame) -> DataFrame:
+        """The groups that links leave in several components, dealt into tiles."""
+        more = grouped.where("members > 2").join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component_id", "rep")).select("key", "rep", "component")
+        apart = more.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / p.tile).cast("int").alias("of")).where("low < high").select("key", "of")
+        more = more.join(saved(apart), "key").join(sized, "rep").withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+        out = more.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("of", "other")
+        return out.repartition(partitions(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    nearest = tiles(found).mapInArrow(_nearest(p), "own long, apart long, other long").groupBy("own").agg(F.min(F.struct("apart", "other")).alias("x"))
+    nearest = saved(nearest.select(F.least("own", "x.other").alias("a"), F.greatest("own", "x.other").alias("b")).distinct())
+    if not nearest.isEmpty():
+        links = links.unionByName(_links(docs, nearest, p))
+        found = saved(components(links))
+        rest = saved(tiles(found).mapInArrow(_all_near(p), "a long, b long").distinct().join(nearest, ["a", "b"], "left_anti"))
+        if not rest.isEmpty():
+            found = components(links.unionByName(_links(docs, rest, p)))
 
     rows = signed.drop("sign").join(classes.select("print", "rep"), "print", "left").join(found.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep", "doc_id"))
