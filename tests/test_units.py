@@ -348,3 +348,29 @@ def test_late_rows_of_a_stream_don_t_replace_newer_ones(spark, tmp_path):
         stream = spark.readStream.schema("k int, v string, at int").parquet(source)
         jobs.upsert_into(stream, folder, ["k"], "at", state).awaitTermination()
     assert {tuple(r) for r in S.current(spark, folder).collect()} == {(1, "new", 9), (2, "c", 2)}
+
+
+def test_exact_percentile_of_large_small_and_tied_groups(spark):
+    large = spark.range(25_000).select(F.lit("large").alias("step"), (F.col("id") * 7919 % 25_000 / 3).alias("x"))
+    tied = spark.range(12_000).select(F.lit("tied"), F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double")))
+    few = spark.createDataFrame([("one", 4.0), ("two", 1.0), ("two", 2.0), ("none", None), (None, 3.0), (None, None)], "step string, x double")
+    log = large.union(tied).union(few)
+    got = {r.step: r for r in logs.p95_duration(log, "step", "x", F.lit(True), 9000.0, 60.0).collect()}
+    assert {k: r.samples for k, r in got.items()} == {"large": 25_000, "tied": 12_000, "one": 1, "two": 2, "none": 1, None: 2}
+    for r in log.groupBy("step").agg(F.percentile("x", 0.95).alias("p95")).collect():
+        assert got[r.step].p95 == (None if r.p95 is None else pytest.approx(r.p95, rel=1e-12)), r
+    assert got["one"].time_limit == 60.0 and got["large"].time_limit == 9000.0
+
+
+def test_slots_of_several_schedules(spark):
+    spine = logs.minutes(spark.range(1), F.expr("timestamp_ntz'2024-01-01'"), 31).select("tick")
+    got = logs.slots(spine, [("either", "0 0 1 * 1"), ("both", "30 6 * 1 0"), ("never", "0 0 31 2 *")])
+    days = {(r.job_id, r.slot.day, r.slot.hour, r.slot.minute) for r in got.where("slot < '2024-02-01'").collect()}
+    assert days == {("either", d, 0, 0) for d in (1, 8, 15, 22, 29)} | {("both", d, 6, 30) for d in (7, 14, 21, 28)}
+
+
+def test_samples_of_each_kind(spark):
+    a = spark.range(100).select("id", F.lit(1).alias("v"))
+    b = spark.range(50, 130).select("id", F.when(F.col("id") < 80, 2).otherwise(1).alias("v"))
+    got = [(r.kind, r.id) for r in compare.compare_samples(a, b, ["id"], mismatched=3, missing=2).collect()]
+    assert sorted(got) == [("mismatched", 50), ("mismatched", 51), ("mismatched", 52), ("missing_in_a", 100), ("missing_in_a", 101), ("missing_in_b", 0), ("missing_in_b", 1)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.operators.query import except_common
@@ -95,12 +95,15 @@ def compare_columns(a: DataFrame, b: DataFrame, approximate: bool = False) -> Da
 
 
 def compare_samples(a: DataFrame, b: DataFrame, keys: list[str], exclude: list[str] | None = None, mismatched: int = 10, missing: int = 5) -> DataFrame:
-    """The first differing rows by key, at most so many of each kind: kind, keys, both sides as JSON."""
+    """The first differing rows by key, at most so many of each kind: kind, keys, both sides as JSON.
+
+    One join for all kinds; each partition ranks its own rows and hands on no more than the limit, so that a kind with most rows is never in one task.
+    """
     m = _matched(a, b, keys, _columns(a, b, keys, exclude)).where("not (in_a and in_b and same)")
     kind = F.when(~F.col("in_b"), "missing_in_b").when(~F.col("in_a"), "missing_in_a").otherwise("mismatched")
-    m = m.select(kind.alias("kind"), *keys, F.to_json(F.col("a").dropFields("__is")).alias("row_a"), F.to_json(F.col("b").dropFields("__is")).alias("row_b"))
-    parts = [m.where(F.col("kind") == k).orderBy(*keys).limit(n) for k, n in (("mismatched", mismatched), ("missing_in_a", missing), ("missing_in_b", missing))]
-    return reduce(DataFrame.unionByName, parts)
+    first = m.withColumn("__kind", kind).withColumn("__rank", F.row_number().over(Window.partitionBy("__kind").orderBy(*keys))).where(F.col("__rank") <= max(mismatched, missing))
+    some = first.where(F.col("__rank") <= F.when(F.col("__kind") == "mismatched", mismatched).otherwise(missing))
+    return some.select(F.col("__kind").alias("kind"), *keys, F.to_json(F.col("a").dropFields("__is")).alias("row_a"), F.to_json(F.col("b").dropFields("__is")).alias("row_b"))
 
 
 def compare_summary(reports: dict[str, DataFrame]) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,18 +42,21 @@ def cron_values(expression: str) -> tuple[list[list[int]], bool, bool]:
     return out, fields[2] != "*", fields[4] != "*"
 
 
-def fires(expression: str, at: Column) -> Column:
-    """Whether a recurrence fires in the minute of a time. If both day and weekday are restricted, either may fit."""
-    (minute, hour, dom, month, dow), by_day, by_weekday = cron_values(expression)
-    day, weekday = F.dayofmonth(at).isin(dom), (F.dayofweek(at) - 1).isin(dow)
-    days = (day | weekday) if by_day and by_weekday else day & weekday
-    return F.minute(at).isin(minute) & F.hour(at).isin(hour) & F.month(at).isin(month) & days
-
-
 def slots(spine: DataFrame, schedules: list[tuple[str, str]]) -> DataFrame:
-    """(job_id, slot): the ticks of spine(tick) at which each (job_id, recurrence) fires."""
-    parts = [spine.where(fires(expression, F.col("tick"))).select(F.lit(job).alias("job_id"), F.col("tick").alias("slot")) for job, expression in schedules]
-    return reduce(DataFrame.unionByName, parts)
+    """(job_id, slot): the ticks of spine(tick) at which each (job_id, recurrence) fires.
+
+    One join on minute and hour for all schedules, of which each is at most 1440 rows; days are tested on what it finds.
+    """
+    rows = []
+    for job, expression in schedules:
+        (minute, hour, dom, month, dow), by_day, by_weekday = cron_values(expression)
+        rows.append((job, minute, hour, dom, month, dow, by_day and by_weekday))
+    table = spine.sparkSession.createDataFrame(rows, "job_id string, minutes array<int>, hours array<int>, days array<int>, months array<int>, weekdays array<int>, either boolean")
+    table = table.withColumn("minute", F.explode("minutes")).withColumn("hour", F.explode("hours")).drop("minutes", "hours")
+    ticks = spine.select("tick", F.minute("tick").alias("minute"), F.hour("tick").alias("hour"))
+    day, weekday = F.array_contains("days", F.dayofmonth("tick")), F.array_contains("weekdays", F.dayofweek("tick") - 1)
+    fits = F.array_contains("months", F.month("tick")) & F.when(F.col("either"), day | weekday).otherwise(day & weekday)
+    return ticks.join(table, ["minute", "hour"]).where(fits).select("job_id", F.col("tick").alias("slot"))
 
 
 def minutes(df: DataFrame, start: Column, days: int = 1) -> DataFrame:
@@ -93,10 +94,26 @@ def error_rollup(log: DataFrame, keys: list[str], at: str, status: str, detail:
 
 
 def p95_duration(log: DataFrame, step: str, duration: str, where: Column, cap: float, default: float, factor: float = 1.5, enough: int = 10, approximate: bool = False) -> DataFrame:
-    """For each step: samples, p95, and a limit: p95 * factor up to the cap, the default for few samples."""
-    some = log.where(where).groupBy(step)
-    exact = F.percentile(F.col(duration), 0.95)
-    out = some.agg(F.count("*").alias("samples"), (F.percentile_approx(duration, 0.95, 10_000) if approximate else exact).alias("p95"))
+    """For each step: samples, p95, and a limit: p95 * factor up to the cap, the default for few samples.
+
+    The exact percentile lies between two estimates, on all sides of small groups: durations below them are counted,
+    only those between them are ordered. Samples without a duration count, but don't enter the percentile.
+    """
+    some = log.where(where).select(F.col(step).alias("step"), F.col(duration).cast("double").alias("x"))
+    if approximate:
+        out = some.groupBy("step").agg(F.count("*").alias("samples"), F.percentile_approx("x", 0.95, 10_000).alias("p95"))
+    else:
+        n = F.count("x")
+        e = F.percentile_approx("x", [0.0, 0.949, 0.951, 1.0], 10_000)  # at most n / 10,000 places off
+        range_ = some.groupBy("step").agg(F.count("*").alias("samples"), (0.95 * (n - 1)).alias("place"), F.when(n < 10_000, e[0]).otherwise(e[1]).alias("low"), F.when(n < 10_000, e[3]).otherwise(e[2]).alias("high"))
+        inside = some.alias("s").join(range_.alias("r"), F.col("s.step").eqNullSafe(F.col("r.step"))).where("x <= high")
+        counts = inside.groupBy("r.step", "place", F.when(F.col("x") >= F.col("low"), F.col("x")).alias("x")).agg(F.count("*").alias("n"))  # null: all below
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("step").orderBy(F.asc_nulls_first("x"))))
+        at = [F.min(F.when(F.col("upto") > edge, F.col("x"))) for edge in (F.floor("place"), F.ceil("place"))]
+        part = F.max(F.col("place") - F.floor("place"))
+        found = upto.groupBy("step").agg(((1 - part) * at[0] + part * at[1]).alias("p95"))
+        out = range_.alias("r").join(found.alias("f"), F.col("r.step").eqNullSafe(F.col("f.step")), "left").select("r.step", "samples", "p95")
+    out = out.withColumnRenamed("step", step)
     return out.withColumn("time_limit", F.when(F.col("samples") > enough, F.least(F.col("p95") * factor, F.lit(cap))).otherwise(F.lit(default)))
 
 

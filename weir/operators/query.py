@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import product
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,21 +83,25 @@ def not_in(df: DataFrame, other: DataFrame, columns: list[str]) -> DataFrame:
     """NOT IN over a subquery, null-aware: a row stays only if no row of other is equal or unknown to it.
 
     Two rows are unknown to each other if a comparison has a null and no other column differs. Rows are taken by which
-    columns are null, on either side (2 ** columns ways at most), so that each case is an anti join on what both know.
+    columns are null, on either side, so that each case that there is becomes an anti join on what both know: one
+    where no column holds a null.
     """
     def has(nulls: tuple[bool, ...]) -> Column:
         return reduce(Column.__and__, (F.col(c).isNull() if n else F.col(c).isNotNull() for c, n in zip(columns, nulls, strict=True)))
 
+    def cases(rows: DataFrame) -> list[tuple[bool, ...]]:
+        return sorted(tuple(r) for r in rows.select(*(F.col(c).isNull().alias(c) for c in columns)).distinct().collect())
+
     other = other.select(*columns)
-    there = [tuple(r) for r in other.select(*(F.col(c).isNull().alias(c) for c in columns)).distinct().collect()]
-    parts = []
-    for nulls in product((False, True), repeat=len(columns)):
+    there = cases(other)
+    parts = [df.limit(0)]
+    for nulls in cases(df) if there else []:
         part = df.where(has(nulls))
         for theirs in there:
             known = [c for c, a, b in zip(columns, nulls, theirs, strict=True) if not a and not b]
             part = part.join(other.where(has(theirs)).select(*known).distinct(), known, "left_anti") if known else part.limit(0)
         parts.append(part.select(df.columns))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts) if there else df
 
 
 def join_any(df: DataFrame, other: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
