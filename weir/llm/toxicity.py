@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.boosting import logistic, sigmoid
-from weir.llm.common import partitions, saved, smallest
+from weir.llm.common import U64, mix, partitions, saved, smallest
 
 
 @dataclass(frozen=True)
@@ -53,12 +53,83 @@ def _shortened(word: str, errors: int) -> set[str]:
     return out
 
 
+BASE = U64(0x9E3779B97F4A7C15)
+
+
+def _hashes(codes: np.ndarray, errors: int) -> list[np.ndarray]:
+    """For words of one length, rows of code points: polynomial hashes of the word, then of it without one letter, without two."""
+    m, n = codes.shape
+    power = np.full(n + 1, BASE, U64)  # BASE ** k
+    power[0] = U64(1)
+    power = np.cumprod(power, dtype=U64)
+    value = mix(codes.astype(U64) + U64(1))
+    begin, end = np.zeros((m, n + 1), U64), np.zeros((m, n + 1), U64)  # of the first k letters, of those from k on
+    for k in range(n):
+        begin[:, k + 1] = begin[:, k] * BASE + value[:, k]
+        end[:, n - 1 - k] = end[:, n - k] + value[:, n - 1 - k] * power[k]
+    out = [begin[:, n:]]
+    if errors > 0 and n > 0:
+        one = begin[:, :n] * power[n - 1 :: -1][:n] + end[:, 1:]
+        out.append(one)
+        if errors > 1 and n > 1:
+            gone = (begin[:, : n - 1] - begin[:, 1:n]) * power[: n - 1][::-1]
+            i, j = np.triu_indices(n, 1)
+            out.append(gone[:, i] + one[:, j])
+    return out
+
+
+class Neighbours:
+    """The strings that terms leave after as many deletions as they allow errors, as hashes behind a table of their first bits."""
+
+    BITS = U64(40)
+
+    def __init__(self, terms: dict[str, int]) -> None:
+        self.longest = max((len(t) + e for t, e in terms.items()), default=-1)
+        self.shortest = [min((len(t) - e for t, e in terms.items() if e >= k), default=1 << 30) for k in range(3)]
+        self.known, self.table = [], []
+        for k in range(3):  # what a word without k letters may be
+            left = {x for t, e in terms.items() if e >= k for x in _shortened(t, e)}
+            known = np.unique(np.concatenate([np.zeros(0, U64), *(_hashes(_codes(g, n), 0)[0].ravel() for n, g in _by_length(left))]))
+            table = np.zeros(1 << 24, bool)
+            table[known >> self.BITS] = True
+            self.known.append(known)
+            self.table.append(table)
+
+    def of(self, words: Iterable[str]) -> set[str]:
+        """Those of the words that share a string with a term after as many deletions as it allows errors, or, rarely, its hash."""
+        out: set[str] = set()
+        for n, group in _by_length(words):
+            if n > self.longest:
+                continue
+            errors = max((k for k in (1, 2) if n >= self.shortest[k]), default=0)
+            for at in range(0, len(group), 8192):
+                part = group[at : at + 8192]
+                for k, h in enumerate(_hashes(_codes(part, n), errors)):
+                    row, column = np.nonzero(self.table[k][h >> self.BITS])
+                    there, known = h[row, column], self.known[k]
+                    same = known[np.minimum(np.searchsorted(known, there), max(len(known) - 1, 0))] == there if len(known) else np.zeros(0, int)
+                    out.update(part[r] for r in row[same].tolist())
+        return out
+
+
+def _by_length(words: Iterable[str]) -> list[tuple[int, list[str]]]:
+    out: dict[int, list[str]] = {}
+    for w in words:
+        out.setdefault(len(w), []).append(w)
+    return sorted(out.items())
+
+
+def _codes(words: list[str], n: int) -> np.ndarray:
+    """Code points of words of n letters."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), n)
+
+
 class Automaton:
     """The lexicon's trie walked by all Levenshtein automata at once; sets of states are numbered as they are met.
 
     A state is (node, errors). Whole terms of five letters or more allow one error, of nine or more two; stems allow
     none and accept any ending. The walk grows with the lexicon: words that share no string with a term after as many
-    deletions as it allows errors are not within its errors, and skip it.
+    deletions as it allows errors are not within its errors, and skip it (Neighbours).
     """
 
     BOUND = 200_000
@@ -83,16 +154,11 @@ class Automaton:
                 if stem or not self.end[node]:
                     self.end[node] = (weight, stem)
                     self.most[node] = errors
-        self.errors_of = {t: 0 if len(t) < 5 else 1 if len(t) < 9 else 2 for t in words}
-        self.near = [{x for t, most in self.errors_of.items() if most == e for x in _shortened(t, e)} for e in range(3)]
-        self.longest = max(map(len, words), default=0) + 2
+        self.near = Neighbours({t: 0 if len(t) < 5 else 1 if len(t) < 9 else 2 for t in words})
         self.stems = stems
         self.lengths = sorted({len(x) for x in stems})
         self._reset()
 
-    def _is_near(self, word: str) -> bool:
-        return len(word) <= self.longest and any(near and not near.isdisjoint(_shortened(word, e)) for e, near in enumerate(self.near))
-
     def _reset(self) -> None:
         self.sets: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
@@ -108,7 +174,8 @@ class Automaton:
             if e > self.allow[node] or best.get(node, 9) <= e:
                 continue
             best[node] = e
-            todo += [(n, e + 1) for n in self.next[node].values()]
+            if e < self.allow[node]:
+                todo += [(n, e + 1) for n in self.next[node].values() if e < self.allow[n]]
         return frozenset(best.items())
 
     def _id(self, states: frozenset) -> int:
@@ -121,18 +188,28 @@ class Automaton:
     def _step(self, at: int, c: str) -> int:
         out = set()
         for node, e in self.sets[at]:
-            for letter, n in self.next[node].items():
-                out.add((n, e if letter == c else e + 1))
-            out.add((node, e + 1))  # a letter too many
+            if (n := self.next[node].get(c)) is not None:
+                out.add((n, e))
+            if e < self.allow[node]:  # no node allows more errors than one on the way to it
+                out.update((n, e + 1) for n in self.next[node].values() if e < self.allow[n])
+                out.add((node, e + 1))  # a letter too many
         to = self.moves[at][c] = self._id(self._closed(out))
         return to
 
+    def match_all(self, words: set[str]) -> dict[str, tuple[float, int] | None]:
+        """For each word weight and kind (0 exact, 1 with errors, 2 stem) of the best term that accepts it."""
+        near = self.near.of(words)
+        return {w: self._walk(w) if w in near else self._stem(w) for w in words}
+
     def match(self, word: str) -> tuple[float, int] | None:
-        """Weight and kind (0 exact, 1 with errors, 2 stem) of the best term that accepts the word."""
+        return self.match_all({word})[word]
+
+    def _stem(self, word: str) -> tuple[float, int] | None:
+        return next(((self.stems[word[:n]], 2) for n in self.lengths if word[:n] in self.stems), None)
+
+    def _walk(self, word: str) -> tuple[float, int] | None:
         if len(self.sets) > self.BOUND:
             self._reset()
-        if not self._is_near(word):
-            return next(((self.stems[word[:n]], 2) for n in self.lengths if word[:n] in self.stems), None)
         at, stem = self.start, None
         for c in word:
             to = self.moves[at].get(c)
@@ -153,21 +230,47 @@ class Automaton:
 class Matches(dict):
     """What the automaton says of a raw word, remembered up to a bound."""
 
+    BOUND = 300_000
+
     def __init__(self, automaton: Automaton) -> None:
         super().__init__()
         self.automaton = automaton
 
-    def __missing__(self, raw: str) -> tuple[float, int] | None:
-        if len(self) > 300_000:
+    def learn(self, raw: set[str]) -> None:
+        """Matches the words that are not known, all at once."""
+        if len(self) > self.BOUND:
             self.clear()
-        self[raw] = m = self.automaton.match(plain(raw))
-        return m
+        new = {w: plain(w) for w in raw if w not in self}
+        found = self.automaton.match_all(set(new.values()))
+        self.update((w, found[x]) for w, x in new.items())
+
+    def __missing__(self, raw: str) -> tuple[float, int] | None:
+        self.learn({raw})
+        return self[raw]
 
 
 SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 N_FEATURES = 9
 
 
+def all_features(texts: Iterable[str], matches: Matches, p: Toxicity, some: int = 1_000_000) -> Iterator[list[float]]:
+    """The features of each text; the words of so many characters of texts are matched at once."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= some:
+            yield from _features_of(held, matches, p)
+            held, size = [], 0
+    yield from _features_of(held, matches, p)
+
+
+def _features_of(texts: list[str], matches: Matches, p: Toxicity) -> Iterator[list[float]]:
+    matches.learn({w for t in texts for w in SPLIT.split(t)})
+    return (features(t, matches, p) for t in texts)
+
+
 def features(text: str, matches: Matches, p: Toxicity) -> list[float]:
     words = SPLIT.split(text)
     found = [(k, m) for k, m in enumerate(map(matches.__getitem__, words)) if m]
@@ -248,7 +351,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = Matches(Automaton(model.words, model.stems))
         for batch in batches:
-            f = [features(t.as_py() or "", matches, p) for t in batch.column("text")]
+            f = list(all_features((t.as_py() or "" for t in batch.column("text")), matches, p))
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.list_(pa.float64())), batch.column("toxic")], ["f", "toxic"])
 
     rows = sorted(texts.mapInArrow(rows_of, "f array<double>, toxic int").collect())  # `sample` rows of numbers at most
@@ -261,7 +364,7 @@ def _score(model, p: Toxicity) -> Callable:
         m = model.value
         matches = Matches(Automaton(m.words, m.stems))
         for batch in batches:
-            x = np.array([features(t.as_py() or "", matches, p) for t in batch.column("text")]).reshape(-1, N_FEATURES)
+            x = np.array(list(all_features((t.as_py() or "" for t in batch.column("text")), matches, p))).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(m.weights[0] + x @ m.weights[1:]))], ["doc_id", "score"])
 
     return score
