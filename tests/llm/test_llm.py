@@ -557,3 +557,15 @@ def test_stages_take_odd_rows(spark, odd):
         docs = spark.createDataFrame(some, DOCS)
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, DIR).count() >= 0
+
+
+def test_toxicity_neighbours_are_those_that_share_a_string_after_deletions():
+    rng = np.random.default_rng(3)
+    letters = list("abcß𝔞")
+    make = lambda low, high, n: {"".join(rng.choice(letters, rng.integers(low, high))) for _ in range(n)}
+    terms = {t: 0 if len(t) < 5 else 1 if len(t) < 9 else 2 for t in make(1, 14, 40)}
+    words = make(0, 16, 2000) | {""} | set(terms)
+    left = [{x for t, e in terms.items() if e == k for x in T._shortened(t, e)} for k in range(3)]
+    want = {w for w in words if any(left[k] & T._shortened(w, k) for k in range(3))}
+    assert len(want) > len(terms) and T.Neighbours(terms).of(words) == want
+    assert T.Neighbours({}).of(words) == set()
