@@ -1,9 +1,13 @@
 """Edge cases of operators, with rows written by hand."""
 
+import gzip
 import io
+import subprocess
+import sys
 import tarfile
 import zipfile
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,6 +222,39 @@ def test_json_and_xml(spark, tmp_path):
     assert fixed == '{"items": [1, 2], "meta": "test"}'
 
 
+def test_json_shape_is_read_from_the_first_file(spark, tmp_path):
+    whole, lines = '\ufeff \n[{"a": 1},\n {"a": 2}]', '{"a": 1}\n{"a": 2}\n'
+    for name, data, array in (("w.json", whole, True), ("l.json", lines, False), ("l.jsonl", whole, False), ("e.json", "", False), ("b.json", " \n", False)):
+        (tmp_path / name).write_text(data, encoding="utf-8")
+        assert S.is_array(spark, f"{tmp_path}/{name}") is array, name
+    (tmp_path / "z.json.gz").write_bytes(gzip.compress(whole.encode()))
+    (tmp_path / "many").mkdir()
+    (tmp_path / "many" / "_note").write_text("{")
+    (tmp_path / "many" / "a.json").write_text("")
+    (tmp_path / "many" / "b.json").write_text('[{"a": 1}, {"a": 2}]')
+    for name in ("w.json", "l.json", "z.json.gz", "many", "many/*.json"):
+        assert rows(S.read_any(spark, f"{tmp_path}/{name}", "json", schema="a int")) == [(1,), (2,)], name
+    assert S.detect_format(spark, f"{tmp_path}/many") == S.detect_format(spark, f"{tmp_path}/man*") == "json"
+
+
+def test_peek_has_both_ends(spark):
+    df = spark.range(100).repartition(4)
+    assert [r.id for r in Q.peek(spark, df, "SELECT id FROM self ORDER BY id", 2).collect()] == [0, 1]
+    assert [r.id for r in Q.peek(spark, df, "SELECT id FROM self ORDER BY id", 2, tail=True).collect()] == [98, 99]
+    assert Q.peek(spark, df.limit(0), rows=2, tail=True).columns == ["id"]
+
+
+def test_entry_point_goes_without_the_corpus_operators():
+    code = """
+import sys
+sys.modules[sys.argv[1]] = None
+import __spark_entry__ as e
+assert "job_end_to_end" in e.queries() and not any(q.startswith("op1") or q == "pipeline" for q in e.queries() | e.oracle_sql())
+"""
+    for absent in ("weir.llm", "public_tokenizers", "tiktoken", "corpus_pipeline"):
+        subprocess.run([sys.executable, "-W", "ignore", "-c", code, absent], check=True, cwd=Path(__file__).parents[1])
+
+
 def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "p.zip", "w") as z:
         z.writestr("a/part_0.csv", "id,v\n1,x\n")

@@ -212,10 +212,11 @@ def run(spark: SparkSession, query: Query | Block, tables: dict[str, DataFrame])
     return out
 
 
-def peek(spark: SparkSession, df: DataFrame, sql: str = "SELECT * FROM self", rows: int = 20) -> DataFrame:
-    """Ad-hoc SQL over a table named self."""
+def peek(spark: SparkSession, df: DataFrame, sql: str = "SELECT * FROM self", rows: int = 20, tail: bool = False) -> DataFrame:
+    """The first rows of ad-hoc SQL over a table named self, or (tail) the last ones; those come to the driver, so many at most."""
     df.createOrReplaceTempView("self")
-    return spark.sql(sql).limit(rows)
+    out = spark.sql(sql)
+    return spark.createDataFrame(out.tail(rows), out.schema) if tail else out.limit(rows)
 
 
 def except_common(a: DataFrame, b: DataFrame, exclude: list[str] | None = None, bag: bool = False) -> DataFrame:

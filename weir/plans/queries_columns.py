@@ -79,6 +79,19 @@ def scalar_funcs(spark, d):
     return table(spark, d, "orders").select("o_orderkey", t("cast_to_date", c("o_orderdate")).alias("d"), t("cast_to_string", c("o_custkey")).alias("s"), t("md5", c("o_orderkey"), c("o_orderstatus")).alias("m"), t("coalesce", F.nullif(c("o_orderstatus"), F.lit("F")), c("o_orderpriority")).alias("c"))
 
 
+@query("SELECT o_orderstatus, count(*) AS rows, count(DISTINCT (o_orderkey, o_custkey)) AS hashes, TRUE AS same, FALSE AS same_without_one FROM orders GROUP BY 1")
+def hash_templates(spark, d):
+    """Hashes tell rows apart; a group's hash is the same whatever the order of rows, and another without one of them."""
+    o = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_custkey")
+    whole = C.template("hash_agg", F.col("o_orderkey"), F.col("o_custkey"))
+    last = o.groupBy("o_orderstatus").agg(F.max("o_orderkey").alias("last"))
+    left = o.join(last, "o_orderstatus").where("o_orderkey <> last").groupBy("o_orderstatus").agg(whole.alias("less"))
+    again = o.repartition(7, "o_orderkey").groupBy("o_orderstatus").agg(whole.alias("again"))
+    facts = o.groupBy("o_orderstatus").agg(F.count("*").alias("rows"), F.count_distinct(C.template("hash", F.col("o_orderkey"), F.col("o_custkey"))).alias("hashes"), whole.alias("whole"))
+    joined = facts.join(again, "o_orderstatus").join(left, "o_orderstatus")
+    return joined.select("o_orderstatus", "rows", "hashes", (F.col("whole") == F.col("again")).alias("same"), (F.col("whole") == F.col("less")).alias("same_without_one"))
+
+
 @query("""SELECT event_id, lower(concat(event_type, '-', user_id)) AS label, substring(event_type, 1, 3) AS short, lower(md5(event_type)) AS digest,
   strftime(ts, '%Y%m%d') AS day, date_trunc('day', ts) + INTERVAL 1 DAY AS next_day, date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) AS days,
   ts + INTERVAL 90 MINUTE AS later, CASE WHEN value > 50 THEN 'high' WHEN value > 10 THEN 'mid' ELSE 'low' END AS level, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")

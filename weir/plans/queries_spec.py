@@ -151,6 +151,11 @@ def peek_sql(spark, d):
     return peek(spark, table(spark, d, "part"), "SELECT p_brand, count(*) AS n, round(avg(p_retailprice), 4) AS mean FROM self GROUP BY p_brand ORDER BY p_brand", 1000)
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 25")
+def peek_tail(spark, d):
+    return peek(spark, table(spark, d, "orders"), "SELECT o_orderkey, o_totalprice FROM self ORDER BY o_orderkey", 25, tail=True)
+
+
 @query("SELECT o_orderkey AS id, o_orderstatus AS state, FALSE AS planned FROM orders UNION ALL SELECT l_orderkey, l_linestatus, TRUE FROM lineitem WHERE l_shipdate > TIMESTAMP '1998-06-01'")
 def set_union_all(spark, d):
     log = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("state"), F.lit(False).alias("planned"))

@@ -30,22 +30,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _data_files(spark: SparkSession, path: str) -> Iterator:
+    """The status of each file at a path, a glob or below a folder, but for hidden ones."""
+    fs, p = _fs(spark, path)
+    for found in fs.globStatus(p) or []:
+        files = fs.listFiles(found.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                yield f
+
+
 def detect_format(spark: SparkSession, path: str) -> str:
     """delta for a folder with _delta_log, iceberg for one with metadata/, else what the suffix of a file or a folder's first file says."""
     if exists(spark, f"{path}/_delta_log"):
         return "delta"
     if exists(spark, f"{path}/metadata"):
         return "iceberg"
-    fs, p = _fs(spark, path)
-    names = [p.getName()]
-    if fs.exists(p) and fs.getFileStatus(p).isDirectory():
-        files = fs.listFiles(p, True)
-        while files.hasNext():
-            name = files.next().getPath().getName()
-            if not name.startswith(("_", ".")):
-                names = [name]
-                break
-    for part in reversed(names[0].lower().removesuffix(".gz").split(".")):
+    name = next((f.getPath().getName() for f in _data_files(spark, path)), path.rpartition("/")[2])
+    for part in reversed(name.lower().removesuffix(".gz").split(".")):
         if part in SUFFIXES:
             return SUFFIXES[part]
     raise ValueError(f"unknown format: {path}")
@@ -61,8 +64,33 @@ def read_csv(spark: SparkSession, path: str | list[str], schema=None, header: bo
     return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema=None, array: bool = False) -> DataFrame:
-    """One object a line, or (array) a file that is one array of objects."""
+def is_array(spark: SparkSession, path: str) -> bool:
+    """Whether JSON files hold an array each, and not an object a line: by the suffix of the first file that isn't empty, else by its first sign."""
+    for f in _data_files(spark, path):
+        if f.getLen() == 0:
+            continue
+        where = f.getPath()
+        if where.getName().lower().removesuffix(".gz").endswith((".ndjson", ".jsonl")):
+            return False
+        conf = spark._jsc.hadoopConfiguration()
+        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+        stream = where.getFileSystem(conf).open(where)
+        stream = stream if codec is None else codec.createInputStream(stream)
+        try:
+            first = stream.read()
+            while first >= 0 and first in b" \t\r\n\xef\xbb\xbf":  # blanks and a byte order mark
+                first = stream.read()
+        finally:
+            stream.close()
+        if first >= 0:
+            return first != ord("{")
+    return False
+
+
+def read_json(spark: SparkSession, path: str | list[str], schema=None, array: bool | None = None) -> DataFrame:
+    """One object a line, or (array) a file that is one array of objects; what the first file says if neither is asked for."""
+    if array is None:
+        array = is_array(spark, path if isinstance(path, str) else path[0])
     r = spark.read.option("multiLine", array).option("recursiveFileLookup", True)
     return (r.schema(schema) if schema else r).json(path)
 
