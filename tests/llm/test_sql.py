@@ -11,7 +11,7 @@ DIR = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     return con
 

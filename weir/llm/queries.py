@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weir.llm.backoff_scores import Backoff, backoff_scores
 from weir.llm.byte_bpe import byte_bpe_digest
 from weir.llm.common import table
+from weir.llm.lexical_search import LexicalSearch, lexical_search
 from weir.llm.mixing import Mix, mixed
 from weir.llm.near_copies import NearCopies, near_copies
 from weir.llm.near_vectors import NearVectors, near_vectors
@@ -20,6 +21,7 @@ from weir.llm.repeated_passages import Passages, without_repeats
 from weir.llm.sql import sql
 from weir.llm.toxicity import Toxicity, toxicity
 from weir.llm.url_filters import Templates, url_filters
+from weir.llm.vector_codes import VectorCodes, vector_codes
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -65,7 +67,15 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"), Redaction())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_vectors, op2_substring_dedup, op3_quality_rules, op4_lm_scores, op5_mixing, op6_byte_bpe, op7_near_copies, op8_url_filters, op9_toxicity, op10_personal_data)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), LexicalSearch(top=10))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"), VectorCodes(parts=16, entries=64, rounds=2))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_vectors, op2_substring_dedup, op3_quality_rules, op4_lm_scores, op5_mixing, op6_byte_bpe, op7_near_copies, op8_url_filters, op9_toxicity, op10_personal_data, op11_lexical_search, op13_vector_codes)}
 
 #: The others hold trained models or a tokenizer; tests check them against brute force and held-out rows.
 SQL: dict[str, str] = sql(RULES)

@@ -3,6 +3,7 @@
 from weir.llm.mixing import Mix
 from weir.llm.quality_rules import LineLimits
 from weir.llm.url_filters import Templates
+from weir.llm.vector_codes import VectorCodes
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 SPLIT = f"d AS (SELECT doc_id, text, source, {WORDS} AS ws FROM documents)"
@@ -80,5 +81,34 @@ def _op8(rules: list[tuple[str, str]], t: Templates) -> str:
       SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {t.purity} THEN 'block' ELSE 'allow' END) AS verdict, coalesce(template, '') AS template, round(purity, 9) AS purity FROM rows JOIN shaped USING (host, segs) JOIN nodes USING (host, template)"""
 
 
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11 = f"""WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents), n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY 1), g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM n),
+  q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY 1, 2),
+  f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+  w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, g GROUP BY term, docs),
+  s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // length))))::BIGINT AS score FROM q JOIN f USING (term) JOIN w USING (term) JOIN n USING (doc_id), g GROUP BY 1, 2)
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 10"""
+
+
+def _op13(p: VectorCodes) -> str:
+    ctes = [
+        f"v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({p.scale} * x) AS BIGINT)) AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"x AS (SELECT vec_id, part, e[part * (len(e) // {p.parts}) + 1:(part + 1) * (len(e) // {p.parts})] AS e FROM v, range({p.parts}) t(part))",
+        f"b0 AS (SELECT part, entry, e FROM (SELECT part, e, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM x) WHERE entry < {p.entries})",
+    ]
+    for k in range(p.rounds + 1):
+        ctes.append(f"a{k} AS (SELECT vec_id, part, x.e AS e, min({{'gap': CAST(list_sum(list_transform(list_zip(x.e, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), 'entry': entry}}) AS near FROM x JOIN b{k} b USING (part) GROUP BY vec_id, part, x.e)")
+        if k < p.rounds:
+            ctes.append(f"u{k} AS (SELECT part, near.entry AS entry, place, sum(value) AS s, count(*) AS n FROM (SELECT part, near, unnest(e) AS value, unnest(range(len(e))) AS place FROM a{k}) GROUP BY ALL)")
+            ctes.append(f"m{k} AS (SELECT part, entry, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY place) AS e FROM u{k} GROUP BY ALL)")
+            ctes.append(f"b{k + 1} AS (SELECT part, entry, coalesce(m.e, b.e) AS e FROM b{k} b LEFT JOIN m{k} m USING (part, entry))")
+    last = f"a{p.rounds}"
+    ctes += [
+        f"c AS (SELECT vec_id, string_agg(printf('%02x', near.entry), '' ORDER BY part) AS code, CAST(sum(near.gap) AS BIGINT) AS error FROM {last} GROUP BY vec_id)",
+        f"h AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{p.rounds})",
+    ]
+    return f"WITH {', '.join(ctes)} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c JOIN v USING (vec_id), h"
+
+
 def sql(rules: list[tuple[str, str]]) -> dict[str, str]:
-    return {"op1_near_vectors": OP1, "op2_substring_dedup": OP2, "op3_quality_rules": OP3, "op4_lm_scores": OP4, "op5_mixing": OP5, "op7_near_copies": OP7, "op8_url_filters": _op8(rules, Templates())}
+    return {"op1_near_vectors": OP1, "op2_substring_dedup": OP2, "op3_quality_rules": OP3, "op4_lm_scores": OP4, "op5_mixing": OP5, "op7_near_copies": OP7, "op8_url_filters": _op8(rules, Templates()), "op11_lexical_search": OP11, "op13_vector_codes": _op13(VectorCodes())}
