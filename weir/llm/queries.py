@@ -22,6 +22,7 @@ from weir.llm.sql import sql
 from weir.llm.toxicity import Toxicity, toxicity
 from weir.llm.url_filters import Templates, url_filters
 from weir.llm.vector_codes import VectorCodes, vector_codes
+from weir.llm.warc import Archives, warc_round_trip
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -71,11 +72,15 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), LexicalSearch(top=10))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"), Archives(least=0))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings"), VectorCodes(parts=16, entries=64, rounds=2))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_vectors, op2_substring_dedup, op3_quality_rules, op4_lm_scores, op5_mixing, op6_byte_bpe, op7_near_copies, op8_url_filters, op9_toxicity, op10_personal_data, op11_lexical_search, op13_vector_codes)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_near_vectors, op2_substring_dedup, op3_quality_rules, op4_lm_scores, op5_mixing, op6_byte_bpe, op7_near_copies, op8_url_filters, op9_toxicity, op10_personal_data, op11_lexical_search, op12_warc, op13_vector_codes)}
 
 #: The others hold trained models or a tokenizer; tests check them against brute force and held-out rows.
 SQL: dict[str, str] = sql(RULES)

@@ -90,6 +90,13 @@ OP11 = f"""WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents), n
   SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 10"""
 
 
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP12 = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+  d AS (SELECT *, strlen(html) AS payload_bytes, array_to_string(list_transform(range(32), lambda k: substr('{_DIGITS}', CAST((CAST(concat('0x', substr(hex, CAST(k // 4 AS INT) * 5 + 1, 5)) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+    min(page_id) OVER (PARTITION BY html) AS first FROM p)
+  SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d"""
+
+
 def _op13(p: VectorCodes) -> str:
     ctes = [
         f"v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({p.scale} * x) AS BIGINT)) AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
@@ -111,4 +118,4 @@ def _op13(p: VectorCodes) -> str:
 
 
 def sql(rules: list[tuple[str, str]]) -> dict[str, str]:
-    return {"op1_near_vectors": OP1, "op2_substring_dedup": OP2, "op3_quality_rules": OP3, "op4_lm_scores": OP4, "op5_mixing": OP5, "op7_near_copies": OP7, "op8_url_filters": _op8(rules, Templates()), "op11_lexical_search": OP11, "op13_vector_codes": _op13(VectorCodes())}
+    return {"op1_near_vectors": OP1, "op2_substring_dedup": OP2, "op3_quality_rules": OP3, "op4_lm_scores": OP4, "op5_mixing": OP5, "op7_near_copies": OP7, "op8_url_filters": _op8(rules, Templates()), "op11_lexical_search": OP11, "op12_warc": OP12, "op13_vector_codes": _op13(VectorCodes())}
