@@ -225,7 +225,7 @@ def test_streams_become_members_that_open_alone(spark):
     members = [zlib.decompress(data[x["offset"] : x["offset"] + x["length"]], 31) for x in index]
     assert b"".join(members) == gzip.decompress(data) and all(m.startswith(b"WARC/1.1\r\n") and m.endswith(b"\r\n\r\n") for m in members)
     texts = {r.page_id: r.payload for r in read_records(out).where("record_type = 'response' and page_id is not null").collect()}
-    assert texts == {i: (h or "").encode() for i, _, h in PAGES if i in {x[0] for x in plain_warc(PAGES) if x[3] == "response"}}
+    assert texts == {i: (h or "").encode() for i, _, h in PAGES if i is not None and i in {x[0] for x in plain_warc(PAGES) if x[3] == "response"}}
     urls = {r.page_id: r.url for r in read_records(out).collect()}
     assert urls[2] == "http://a.example/%C3%A9%20%C3%BC%0D%0AX:%20y" and urls[3] is None
 

@@ -37,14 +37,27 @@ class LexicalSearch:
 
 
 class Automaton:
-    """Terms between blanks, and which items hold each how often: terms[k] is in items of[at[k]:at[k + 1]], times[...] times."""
+    """Terms between blanks, and which items hold each how often: terms[k] is in items of[at[k]:at[k + 1]], times[...] times.
+
+    Of a term over DEEP bytes the automaton holds the first ones; what follows a match of them is compared.
+    """
+
+    DEEP = 200
 
     def __init__(self, rows: list[tuple[int, str, int]]):
         """rows: (item, term, times)."""
         self.terms = {t: k for k, t in enumerate(sorted({t for _, t, _ in rows}))}
         self.search = ahocorasick.Automaton()
+        self.long: list[list[tuple[str, int]]] = []  # by the first bytes
         for t, k in self.terms.items():
-            self.search.add_word(f" {t.encode().decode('latin-1')} ", k)  # a character a byte
+            key = f" {t.encode().decode('latin-1')} "  # a character a byte
+            if len(key) <= self.DEEP:
+                self.search.add_word(key, k)
+            elif (group := self.search.get(start := key[: self.DEEP], None)) is None:
+                self.long.append([(key, k)])
+                self.search.add_word(start, -len(self.long))
+            else:
+                self.long[-group - 1].append((key, k))
         if self.terms:
             self.search.make_automaton()
         entries = np.array([(self.terms[t], item, times) for item, t, times in rows], np.int64).reshape(-1, 3)
@@ -53,6 +66,10 @@ class Automaton:
         self.of, self.times = entries[:, 1].copy(), entries[:, 2].copy()
         self.items = int(entries[:, 1].max()) + 1 if len(entries) else 0
 
+    def _whole(self, part: str, end: int, k: int) -> list[int]:
+        """The terms that a match stands for."""
+        return [k] if k >= 0 else [term for key, term in self.long[-k - 1] if part.startswith(key, end + 1 - self.DEEP)]
+
     def count(self, text: bytes, span: int) -> tuple[int, Counter]:
         """The number of terms of a text, with repeats, and how often each term of the items occurs.
 
@@ -65,7 +82,11 @@ class Automaton:
             if b <= a:  # one term longer than a span, or a blank at its start
                 b = text.find(b" ", a + 1)
                 b = len(text) if b < 0 else b
-            found.update(map(itemgetter(1), self.search.iter(f" {text[a:b].decode('latin-1')} ")))
+            part = f" {text[a:b].decode('latin-1')} "
+            if self.long:
+                found.update(k for end, k in self.search.iter(part) for k in self._whole(part, end, k))
+            else:
+                found.update(map(itemgetter(1), self.search.iter(part)))
             a = b
         return n, found
 
