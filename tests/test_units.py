@@ -24,6 +24,7 @@ from weir.plans.job import Job, run_and_publish
 from weir.plans.transform import Step, run_steps
 from weir.sources import files as S
 from weir.sources import jdbc
+from weir.sources import versions as V
 from weir.streaming import jobs
 
 
@@ -384,7 +385,7 @@ def test_late_rows_of_a_stream_don_t_replace_newer_ones(spark, tmp_path):
         spark.createDataFrame(rows, "k int, v string, at int").write.mode("append").parquet(source)
         stream = spark.readStream.schema("k int, v string, at int").parquet(source)
         jobs.upsert_into(stream, folder, ["k"], "at", state).awaitTermination()
-    assert {tuple(r) for r in S.current(spark, folder).collect()} == {(1, "new", 9), (2, "c", 2)}
+    assert {tuple(r) for r in V.read(spark, folder).collect()} == {(1, "new", 9), (2, "c", 2)}
 
 
 def test_exact_percentile_of_large_small_and_tied_groups(spark):

@@ -159,10 +159,11 @@ def apply_policy(target: DataFrame, staging: DataFrame, p: Policy, deleted_at: C
     return upsert(target, staging, p.keys, p.latest_by)
 
 
-def verification(merged: DataFrame, staging: DataFrame, p: Policy, deleted: str | None = None) -> DataFrame:
+def verification(merged: DataFrame, staging: DataFrame, p: Policy, deleted: str | None = None, target: DataFrame | None = None) -> DataFrame:
     """One row: expected and found rows, ok.
 
-    full_refresh: all rows. delete_insert: live rows with staging's key values. Else: staged keys found in the result.
+    full_refresh: all rows. delete_insert: live rows with staging's key values. Else: staged keys found in the result; of
+    an update only those that the target had, which is needed for that.
     """
     if p.mode == "full_refresh":
         expected, found = staging.agg(F.count("*").alias("expected")), merged.agg(F.count("*").alias("found"))
@@ -174,13 +175,17 @@ def verification(merged: DataFrame, staging: DataFrame, p: Policy, deleted: str
     else:
         whole = reduce(Column.__and__, (F.col(k).isNotNull() for k in p.keys))
         staged = staging.where(whole).select(*p.keys).distinct()
+        if p.mode == "update":
+            if target is None:
+                raise MergeError("an update is verified against the target as it was")
+            staged = staged.join(target.select(*p.keys), p.keys, "left_semi")
         expected = staged.agg(F.count("*").alias("expected"))
         found = staged.join(merged.select(*p.keys), p.keys, "left_semi").agg(F.count("*").alias("found"))
     return expected.join(F.broadcast(found), F.lit(True)).withColumn("ok", F.col("expected") == F.col("found"))  # one row each
 
 
-def verify(merged: DataFrame, staging: DataFrame, p: Policy, deleted: str | None = None) -> None:
-    r = verification(merged, staging, p, deleted).first()
+def verify(merged: DataFrame, staging: DataFrame, p: Policy, deleted: str | None = None, target: DataFrame | None = None) -> None:
+    r = verification(merged, staging, p, deleted, target).first()
     if not r.ok:
         raise MergeError(f"{p.mode}: expected {r.expected} rows, found {r.found}")
 

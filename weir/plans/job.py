@@ -10,7 +10,7 @@ from weir.functions.columns import add_metadata, flatten, null_if, rename_column
 from weir.functions.types import apply_contract, override_types
 from weir.operators.merge import Policy, apply_policy, evolve, verify
 from weir.plans.transform import Step, run_steps
-from weir.sources import files
+from weir.sources import files, versions
 from weir.sources.scratch import scratch
 
 
@@ -54,21 +54,20 @@ def run_job(spark: SparkSession, source: DataFrame, target: DataFrame, job: Job,
         return target
     target, staging, _ = evolve(target, staging, job.add_new_columns)
     merged = files.stage_and_verify(apply_policy(target, staging, job.policy), scratch(spark))
-    verify(merged, staging, job.policy)
+    verify(merged, staging, job.policy, target=target)
     return merged
 
 
 def run_and_publish(spark: SparkSession, source: DataFrame, folder: str, job: Job, run_id: str) -> DataFrame:
-    """run_job over a versioned table: staging is written once, the merge becomes a new version, then the current one."""
-    staging = files.stage_and_verify(prepare(spark, source, job, run_id), f"{folder}/_staging")
-    have = files.exists(spark, f"{folder}/CURRENT")
-    target = files.current(spark, folder) if have else staging.limit(0)
-    if have and staging.isEmpty():
-        return target
-    target, staging, _ = evolve(target, staging, job.add_new_columns)
-    merged = files.stage_and_verify(apply_policy(target, staging, job.policy), folder)
-    verify(merged, staging, job.policy)
-    files.publish(merged, folder)
-    return files.current(spark, folder)
-
+    """run_job over a table of versions: staging is written once, files that it touches are merged, the rest stays.
 
+    A writer that finds another's version merges again into that. Without staging rows the table stays as it is.
+    """
+    staging = files.stage_and_verify(prepare(spark, source, job, run_id), scratch(spark))
+    base = versions.latest(spark, folder)
+    if base and staging.isEmpty():
+        return versions.read(spark, folder)
+    if base:
+        _, staging, _ = evolve(versions.read(spark, folder), staging, job.add_new_columns)
+    versions.merge(spark, folder, staging, job.policy, add_columns=True)
+    return versions.read(spark, folder)

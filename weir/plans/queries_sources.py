@@ -12,6 +12,7 @@ from weir.operators import tables
 from weir.plans.registry import query, table
 from weir.sources import files as S
 from weir.sources import jdbc
+from weir.sources import versions as V
 from weir.sources.scratch import scratch
 from weir.streaming import jobs
 
@@ -172,7 +173,7 @@ def stream_upsert(spark, d):
         events.where(part).write.mode("append").parquet(source)
         stream = spark.readStream.schema(events.schema).parquet(source)
         jobs.upsert_into(stream, folder, ["user_id"], "event_id", state).awaitTermination()
-    return S.current(spark, folder)
+    return V.read(spark, folder)
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS user_id, max(ts) FILTER (event_type = 'purchase') AS last_purchase FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > 0")

@@ -11,7 +11,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weir.functions.columns import strip_control
@@ -20,19 +20,20 @@ from weir.functions.types import union_relaxed
 SUFFIXES = {"csv": "csv", "tsv": "csv", "txt": "csv", "json": "json", "ndjson": "json", "jsonl": "json", "parquet": "parquet", "pq": "parquet", "xml": "xml", "orc": "orc", "avro": "avro"}
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Hadoop has them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
 def _data_files(spark: SparkSession, path: str) -> Iterator:
     """The status of each file at a path, a glob or below a folder, but for hidden ones."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     for found in fs.globStatus(p) or []:
         files = fs.listFiles(found.getPath(), True)
         while files.hasNext():
@@ -173,7 +174,7 @@ def list_files(spark: SparkSession, path: str, where: str | None = None, pattern
 def check_paths(spark: SparkSession, paths: list[str], largest: int = 5 * 1024**3) -> DataFrame:
     """path, size, problem (missing, empty, too large or null) of named files. Listings lack empty files, which Spark passes over."""
     def size(path: str) -> int | None:
-        fs, p = _fs(spark, path)
+        fs, p = file_system(spark, path)
         return fs.getFileStatus(p).getLen() if fs.exists(p) else None
 
     listing = spark.createDataFrame([(p, size(p)) for p in paths], "path string, size long")
@@ -258,13 +259,20 @@ def convert(spark: SparkSession, source: str, target: str, kind: str = "parquet"
     df.write.mode("overwrite").format(kind).partitionBy(*(partition_by or [])).save(target)
 
 
+def written(df: DataFrame, path: str) -> int:
+    """Writes df and returns its rows, counted on their way in: no second scan of source or result."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return seen.get.get("rows") or 0
+
+
 def stage_and_verify(df: DataFrame, folder: str, expected: int | None = None) -> DataFrame:
-    """Writes a new version folder and reads it back; an unexpected count is an error and the version is not for use."""
+    """Writes a new version folder and reads it back; an unexpected count, taken in the write, is an error and the version is not for use."""
     path = f"{folder}/version={uuid.uuid4().hex}"
-    df.write.parquet(path)
-    staged = df.sparkSession.read.schema(df.schema).parquet(path)
-    if expected is not None and (n := staged.count()) != expected:
+    n = written(df, path)
+    if expected is not None and n != expected:
         raise ValueError(f"staged {n} rows, expected {expected}")
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
     staged._weir_path = path
     return staged
 
@@ -272,7 +280,7 @@ def stage_and_verify(df: DataFrame, folder: str, expected: int | None = None) ->
 def publish(staged: DataFrame, folder: str) -> None:
     """Makes a staged version the current one: a pointer file is written beside the old one and renamed over it in one step."""
     spark = staged.sparkSession
-    fs, new = _fs(spark, f"{folder}/NEXT-{uuid.uuid4().hex}")
+    fs, new = file_system(spark, f"{folder}/NEXT-{uuid.uuid4().hex}")
     out = fs.create(new)
     out.write(bytearray(staged._weir_path.rpartition("/")[2].encode()))
     out.close()

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from weir.operators.merge import like, unique
-from weir.sources import files
+from weir.operators.merge import Policy
+from weir.sources import versions
 
 
 def json_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
@@ -35,17 +35,17 @@ def pick_up(spark: SparkSession, path: str, kind: str, schema: str, checkpoint:
 
 
 def upsert_into(stream: DataFrame, folder: str, keys: list[str], latest_by: str, checkpoint: str) -> StreamingQuery:
-    """Merges each micro-batch into a versioned table: a new version is staged, verified and published.
+    """Merges each micro-batch into a table of versions; files that hold none of its keys stay as they are.
 
-    Of all rows for a key, those of the table included, the latest wins: a late row never replaces a newer one, and a
-    batch that runs again after a failure gives the same table. Rows with a null in the key are added as they come.
+    Of all rows for a key, those of the table included, the latest wins: a late row never replaces a newer one. A version
+    notes the batch that it holds, so that a batch which runs again after a failure changes nothing; thus rows with a
+    null in the key, which are added as they come, are added once.
     """
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        target = files.current(spark, folder) if files.exists(spark, f"{folder}/CURRENT") else batch.limit(0)
-        files.publish(files.stage_and_verify(unique(target.unionByName(like(target, batch)), keys, latest_by), folder), folder)
+    policy = Policy("upsert", keys, latest_by=latest_by)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            versions.merge(batch.sparkSession, folder, batch, policy, late=True, batch=(checkpoint, number))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
