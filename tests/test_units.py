@@ -98,6 +98,17 @@ def test_verify(spark, target, staging):
     M.verify(M.apply_policy(target, staging, p), staging, p)
     with pytest.raises(M.MergeError):
         M.verify(target, staging, p)
+    p = M.policy_for("DELTA", "update", keys=["k"])  # the target lacks key 4
+    M.verify(M.apply_policy(target, staging, p), staging, p, target=target)
+    assert tuple(M.verification(target.where("k <> 2"), staging, p, target=target).first()) == (2, 1, False)
+    with pytest.raises(M.MergeError):
+        M.verification(target, staging, p)
+
+
+def test_a_day_of_several_sources_has_one(spark, target):
+    sources = spark.createDataFrame([(date(2024, 1, 1), "b"), (date(2024, 1, 1), "a")], "partition_date date, source string")
+    out = C.add_metadata(target, {"source": True}, partition_date=F.lit("2024-01-01").cast("date"), source=sources)
+    assert out.count() == target.count() and {r._source for r in out.collect()} == {"a"}
 
 
 def test_not_in_with_nulls(spark):
@@ -223,11 +234,11 @@ def test_json_and_xml(spark, tmp_path):
     assert fixed == '{"items": [1, 2], "meta": "test"}'
 
 
-def test_json_shape_is_read_from_the_first_file(spark, tmp_path):
+def test_json_shape_is_read_from_each_file(spark, tmp_path):
     whole, lines = '\ufeff \n[{"a": 1},\n {"a": 2}]', '{"a": 1}\n{"a": 2}\n'
     for name, data, array in (("w.json", whole, True), ("l.json", lines, False), ("l.jsonl", whole, False), ("e.json", "", False), ("b.json", " \n", False)):
         (tmp_path / name).write_text(data, encoding="utf-8")
-        assert S.is_array(spark, f"{tmp_path}/{name}") is array, name
+        assert [r.is_array for r in S.json_shapes(spark, f"{tmp_path}/{name}").collect()] == ([array] if data else []), name
     (tmp_path / "z.json.gz").write_bytes(gzip.compress(whole.encode()))
     (tmp_path / "many").mkdir()
     (tmp_path / "many" / "_note").write_text("{")
@@ -235,6 +246,9 @@ def test_json_shape_is_read_from_the_first_file(spark, tmp_path):
     (tmp_path / "many" / "b.json").write_text('[{"a": 1}, {"a": 2}]')
     for name in ("w.json", "l.json", "z.json.gz", "many", "many/*.json"):
         assert rows(S.read_any(spark, f"{tmp_path}/{name}", "json", schema="a int")) == [(1,), (2,)], name
+    (tmp_path / "many" / "c [1].json").write_text('{"b": 3}')
+    (tmp_path / "many" / "d.json").write_text('[{"a": 4,\n "b": "x"}]')
+    assert rows(S.read_json(spark, f"{tmp_path}/many")) == sorted([(1, None), (2, None), (4, "x"), (None, "3")], key=str)
     assert S.detect_format(spark, f"{tmp_path}/many") == S.detect_format(spark, f"{tmp_path}/man*") == "json"
 
 

@@ -130,7 +130,7 @@ META = {"run_id": "_run_id", "partition_date": "_partition_date", "source": "_so
 def add_metadata(df: DataFrame, wanted: dict[str, bool | str], *, run_id: str = "", partition_date: Column | None = None, source: Column | DataFrame | None = None, loaded_at: Column | None = None) -> DataFrame:
     """Adds the wanted columns: True for the usual name, a string for another. Columns that exist are left alone.
 
-    source: a column, or a table (partition_date, source) that is joined; `deleted` is a null timestamp, live rows.
+    source: a column, or a table (partition_date, source) that is joined, of several rows for a day the least; `deleted` is a null timestamp, live rows.
     """
     names = {k: META[k] if v is True else v for k, v in wanted.items() if v}
     new = {k: n for k, n in names.items() if n not in df.columns}
@@ -138,7 +138,7 @@ def add_metadata(df: DataFrame, wanted: dict[str, bool | str], *, run_id: str =
     values = {"run_id": F.lit(run_id), "partition_date": day, "loaded_at": loaded_at if loaded_at is not None else F.current_timestamp(), "deleted": F.lit(None).cast("timestamp_ntz")}
     if "source" in new:
         if isinstance(source, DataFrame):
-            of = source.select(F.col("partition_date").alias("__day"), F.col("source").alias(new["source"]))
+            of = source.groupBy(F.col("partition_date").alias("__day")).agg(F.min("source").alias(new["source"]))
             df = df.withColumn("__day", day).join(of, "__day", "left").drop("__day")
         else:
             df = df.withColumn(new["source"], source if source is not None else F.lit(None).cast("string"))

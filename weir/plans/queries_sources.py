@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weir.operators import tables
 
 from weir.plans.registry import query, table
+from weir.sources import csv_by_name as N
 from weir.sources import files as S
 from weir.sources import jdbc
 from weir.sources import versions as V
@@ -222,21 +223,51 @@ def jdbc_round_trip(spark, d):
     return jdbc.read_sharded(spark, url, "SUPPLIER", "S_SUPPKEY", 4, names).toDF(*supplier.columns)
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 7 <> 0")
+def _texts(lines, mark, header):
+    """CSV files of a few thousand lines(k, line), each a value that holds a whole file with a mark before its header."""
+    whole = lines.groupBy(F.floor(F.col("k") / 5000).alias("file")).agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    return whole.select("file", F.concat(F.lit(f"{mark}{header}\n"), F.array_join("lines", "\n")).alias("value"))
+
+
+@query("SELECT c_custkey, concat(c_name, ' é') AS c_name FROM customer WHERE c_custkey % 7 <> 0")
 def repair_csv(spark, d):
-    """A CSV with a byte order mark, of which every seventh row has too many fields or a wrong type."""
-    path = scratch(spark)
-    c = table(spark, d, "customer").repartition(4)
+    """CSV files with a byte order mark, or in another encoding and order, of which every seventh row has too many fields or a
+    wrong type; read from their repaired copy."""
+    path, fixed, bad = scratch(spark), scratch(spark), scratch(spark)
+    c = table(spark, d, "customer").select("c_custkey", F.concat("c_name", F.lit(" é")).alias("c_name"))
     line = F.concat_ws(",", "c_custkey", "c_name")
-    bad = F.when(F.col("c_custkey") % 2 == 0, F.concat(line, F.lit(",more"))).otherwise(F.concat(F.lit("x"), line))
-    c.select(F.when(F.col("c_custkey") % 7 == 0, bad).otherwise(line).alias("value")).write.text(path)
-    return S.read_csv(spark, path, "c_custkey long, c_name string", header=False, skip_bad=True)
+    broken = F.when(F.col("c_custkey") % 2 == 0, F.concat(line, F.lit(",more"))).otherwise(F.concat(F.lit("x"), line))
+    lines = c.where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 7 == 0, broken).otherwise(line).alias("line"))
+    _texts(lines, "\ufeff", "c_custkey,c_name").write.partitionBy("file").text(f"{path}/marked")
+    c.where("c_custkey % 3 = 0").select("c_name", F.when(F.col("c_custkey") % 7 == 0, "none").otherwise(F.col("c_custkey").cast("string")).alias("C_CustKey")).write.option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/latin")
+    N.repair_csv(spark, path, fixed, "c_custkey long, c_name string", bad=bad)
+    return S.read_csv(spark, fixed, "c_custkey long, c_name string")
+
+
+@query("""SELECT CASE WHEN o_orderkey % 5 = 1 AND o_orderkey % 50 = 1 THEN NULL ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 5 = 1 AND o_orderkey % 50 = 1 THEN o_orderkey END AS bad_key, o_custkey,
+  CASE o_orderkey % 5 WHEN 4 THEN concat(o_orderstatus, 'é') ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 = 2 THEN NULL ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderkey % 5 = 3 THEN 'extra' END AS note FROM orders""")
+def scan_csv_by_name(spark, d):
+    """Orders in files of five kinds: as they are, in another order, without prices, with a column more and a byte order mark, in latin-1."""
+    path = scratch(spark)
+    o = _orders(spark, d).drop("o_orderdate")
+    part = lambda k: o.where(F.col("o_orderkey") % 5 == k)
+    key = F.when(F.col("o_orderkey") % 50 == 1, F.concat(F.lit("x"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string")).alias("O_OrderKey")
+    kinds = [part(0), part(1).select("o_totalprice", "o_orderstatus", key, "o_custkey"), part(2).drop("o_totalprice"), part(3).select(F.col("o_custkey").alias("\ufeffo_custkey"), "o_orderkey", F.lit("extra").alias("note"), "o_totalprice", "o_orderstatus"), part(4).withColumn("o_orderstatus", F.concat("o_orderstatus", F.lit("é")))]
+    for k, df in enumerate(kinds):
+        df.write.option("header", True).option("encoding", "ISO-8859-1" if k == 4 else "UTF-8").csv(f"{path}/{k}")
+    df = N.read_csv_by_name(spark, path, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double")
+    return df.withColumn("bad_key", F.regexp_extract("_corrupt_record", "x([0-9]+)", 1).cast("long")).drop("_corrupt_record")
 
 
-@query("SELECT 'orders.parquet' AS name, NULL AS problem UNION ALL SELECT 'absent.parquet', 'missing' UNION ALL SELECT 'part.parquet', 'too large' FROM part HAVING count(*) > 0")
+@query("SELECT NULL AS problem, count(*) AS rows FROM orders UNION ALL SELECT 'missing', count(DISTINCT o_orderstatus) FROM orders")
 def file_check(spark, d):
-    found = S.check_paths(spark, [f"{d}/orders.parquet", f"{d}/absent.parquet"]).unionByName(S.check_paths(spark, [f"{d}/part.parquet"], 10))
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "problem")
+    """The files that a version of orders lists, and for each status one that isn't there."""
+    folder = scratch(spark)
+    v = V.replace(spark, folder, _orders(spark, d), ["o_orderkey"], 8)
+    listed = V.files_of(spark, folder, v).select(F.concat(F.lit(f"{folder}/"), "file").alias("path"), "rows")
+    gone = _orders(spark, d).select("o_orderstatus").distinct().select(F.concat(F.lit(f"{folder}/data/gone-"), "o_orderstatus").alias("path"), F.lit(1).cast("long").alias("rows"))
+    named = listed.unionByName(gone)
+    return S.check_paths(spark, named).join(named, "path").groupBy("problem").agg(F.sum("rows").alias("rows"))
 
 
 @query("SELECT s_suppkey, s_name, NULL::INT AS grade, 0::BIGINT AS rows_of_like FROM supplier")

@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from weir.plans import queries_columns, queries_compare, queries_loads, queries_logs, queries_sources, queries_spec  # noqa: F401, PLC0415
+    from weir.plans import queries_columns, queries_compare, queries_loads, queries_logs, queries_sources, queries_spec, queries_versions  # noqa: F401, PLC0415
 
 
 def queries() -> dict[str, Query]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import gzip
 import io
 import re
 import tarfile
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.columns import strip_control
 from weir.functions.types import union_relaxed
+from weir.sources.ranged import open_file, size_of
 
 SUFFIXES = {"csv": "csv", "tsv": "csv", "txt": "csv", "json": "json", "ndjson": "json", "jsonl": "json", "parquet": "parquet", "pq": "parquet", "xml": "xml", "orc": "orc", "avro": "avro"}
 
@@ -65,35 +67,49 @@ def read_csv(spark: SparkSession, path: str | list[str], schema=None, header: bo
     return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
 
 
-def is_array(spark: SparkSession, path: str) -> bool:
-    """Whether JSON files hold an array each, and not an object a line: by the suffix of the first file that isn't empty, else by its first sign."""
-    for f in _data_files(spark, path):
-        if f.getLen() == 0:
-            continue
-        where = f.getPath()
-        if where.getName().lower().removesuffix(".gz").endswith((".ndjson", ".jsonl")):
+def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def array(path: str) -> bool:
+        name = path.lower().removesuffix(".gz")
+        if name.endswith((".ndjson", ".jsonl")):
             return False
-        conf = spark._jsc.hadoopConfiguration()
-        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
-        stream = where.getFileSystem(conf).open(where)
-        stream = stream if codec is None else codec.createInputStream(stream)
-        try:
-            first = stream.read()
-            while first >= 0 and first in b" \t\r\n\xef\xbb\xbf":  # blanks and a byte order mark
-                first = stream.read()
-        finally:
-            stream.close()
-        if first >= 0:
-            return first != ord("{")
-    return False
+        with open_file(path) as whole:
+            stream = gzip.GzipFile(fileobj=whole) if path.lower().endswith(".gz") else whole
+            while chunk := stream.read(4096):
+                if text := chunk.lstrip(b" \t\r\n\xef\xbb\xbf"):  # blanks and a byte order mark
+                    return text[:1] != b"{"
+        return False
+
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([array(p) for p in batch.column("path").to_pylist()], pa.bool_())], ["path", "is_array"])
+
+
+def json_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, is_array) of JSON files: whether each holds an array, and not an object a line, by its suffix, else by its first sign.
+
+    Tasks read the starts of the files only.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path").mapInArrow(_shapes, "path string, is_array boolean")
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema=None, array: bool | None = None) -> DataFrame:
-    """One object a line, or (array) a file that is one array of objects; what the first file says if neither is asked for."""
-    if array is None:
-        array = is_array(spark, path if isinstance(path, str) else path[0])
-    r = spark.read.option("multiLine", array).option("recursiveFileLookup", True)
-    return (r.schema(schema) if schema else r).json(path)
+    """One object a line, or (array) files that are one array of objects each; what each file says if neither is asked for.
+
+    Files of both kinds are one scan a kind; without a schema their columns and types are the relaxed union of both.
+    """
+
+    def read(path: str | list[str], array: bool) -> DataFrame:
+        r = spark.read.option("multiLine", array).option("recursiveFileLookup", True)
+        return (r.schema(schema) if schema else r).json(path)
+
+    if array is not None:
+        return read(path, array)
+    by: dict[bool, list[str]] = {}
+    for r in json_shapes(spark, path).orderBy("path").collect():  # as in any listing of Spark, the driver holds the files' names
+        by.setdefault(r.is_array, []).append(re.sub(r"([\\\[\]{}*?])", r"\\\1", r.path))
+    if len(by) < 2:
+        return read(path, True in by)
+    return union_relaxed([read(paths, array) for array, paths in by.items()])
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], pattern: str | None = None, base: str | None = None) -> DataFrame:
@@ -171,14 +187,21 @@ def list_files(spark: SparkSession, path: str, where: str | None = None, pattern
     return df.where(where) if where else df
 
 
-def check_paths(spark: SparkSession, paths: list[str], largest: int = 5 * 1024**3) -> DataFrame:
-    """path, size, problem (missing, empty, too large or null) of named files. Listings lack empty files, which Spark passes over."""
-    def size(path: str) -> int | None:
-        fs, p = file_system(spark, path)
-        return fs.getFileStatus(p).getLen() if fs.exists(p) else None
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([size_of(p) for p in batch.column("path").to_pylist()], pa.int64())], ["path", "size"])
+
+
+def named_files(paths: DataFrame) -> DataFrame:
+    """(path, size) of the files that paths(path) names; the size of one that isn't there is null. Tasks ask for each file,
+    for listings lack empty files, which Spark passes over, and can't show that one is missing."""
+    return paths.select(F.col("path").cast("string").alias("path")).mapInArrow(_sizes, "path string, size long")
+
 
-    listing = spark.createDataFrame([(p, size(p)) for p in paths], "path string, size long")
-    return check_files(listing, largest)
+def check_paths(spark: SparkSession, paths: DataFrame | list[str], largest: int = 5 * 1024**3) -> DataFrame:
+    """path, size, problem (missing, empty, too large or null) of named files."""
+    named = spark.createDataFrame([(p,) for p in paths], "path string") if isinstance(paths, list) else paths
+    return check_files(named_files(named), largest)
 
 
 def check_files(listing: DataFrame, largest: int = 5 * 1024**3) -> DataFrame:

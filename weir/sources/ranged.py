@@ -14,10 +14,23 @@ def location(path: str) -> str:
     return re.sub(r"^file:/(?!/)", "file:///", path) if path.startswith("file:") else path
 
 
+def _found(path: str) -> tuple[fs.FileSystem, str]:
+    uri = location(path)
+    if uri.startswith(("file://", "/")):  # without percent-decoding
+        return fs.LocalFileSystem(), uri.removeprefix("file://")
+    return fs.FileSystem.from_uri(uri)
+
+
 def open_file(path: str) -> BinaryIO:
     """Opens a file for reading at any place; only what is read is fetched."""
-    uri = location(path)
-    if uri.startswith("file://"):  # without percent-decoding
-        return fs.LocalFileSystem().open_input_file(uri[7:])
-    system, name = fs.FileSystem.from_uri(uri)
+    system, name = _found(path)
     return system.open_input_file(name)
+
+
+def size_of(path: str | None) -> int | None:
+    """A file's bytes, or None where there is none."""
+    if path is None:
+        return None
+    system, name = _found(path)
+    info = system.get_file_info(name)
+    return info.size if info.type == fs.FileType.File else None
