@@ -7,8 +7,9 @@ import tarfile
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
+from weir.operators import archive as A
+from weir.sources import archives as R
 from weir.sources import csv_by_name as N
 
 
@@ -55,3 +56,78 @@ def test_csv_is_repaired(spark, tmp_path):
     text = b"".join(p.read_bytes() for p in (tmp_path / "out").glob("*.csv"))
     assert b"\xef\xbb\xbf" not in text and rows(spark.read.csv(str(tmp_path / "out"), header=True)) == [("1", "é"), ("2", "é")]
     assert rows(spark.read.text(str(tmp_path / "bad"))) == [("x,bad",)]
+
+
+def index_of(spark, path, pattern="*"):
+    return R.archive_index(spark, str(path), pattern)
+
+
+def test_members_are_read_by_their_own_ranges(spark, tmp_path):
+    long = b"".join(b"%d,\xc3\xa9\r\n" % k for k in range(300_000))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("d/", b"")
+        z.writestr("d/long.csv", b"\xef\xbb\xbfid,v\n" + long, zipfile.ZIP_DEFLATED)
+        z.writestr("d/stored.csv", b"id,v\n1,x", zipfile.ZIP_STORED)
+        z.writestr("d/bz.csv", b"id,v\n2,y\n", zipfile.ZIP_BZIP2)
+        z.writestr("d/empty.csv", b"")
+        z.writestr("note.md", b"no")
+    for name, mode in (("b.tar", "w"), ("c.tgz", "w:gz"), ("d.tar.xz", "w:xz")):
+        with tarfile.open(tmp_path / name, mode) as t:
+            for member, data in (("d/1.csv", b"id,v\n3,z\n"), ("d/2.csv", long), ("note.md", b"no")):
+                info = tarfile.TarInfo(member)
+                info.size = len(data)
+                t.addfile(info, io.BytesIO(data))
+    index = index_of(spark, tmp_path, "d/*.csv")
+    assert sorted((r.kind, r.member) for r in index.collect() if r.kind != "stream") == [("tar", "d/1.csv"), ("tar", "d/2.csv"), *(("zip", f"d/{n}.csv") for n in ("bz", "empty", "long", "stored"))]
+    parts = {}
+    for r in R.member_parts(index, "d/*.csv", part=1 << 20).orderBy("archive", "member", "part").collect():
+        at = (r.archive.rpartition("/")[2], r.member)
+        assert len(r.content) <= 1 << 20 and r.part == len(parts.setdefault(at, []))
+        parts[at].append(bytes(r.content))
+    whole = {k: b"".join(v) for k, v in parts.items()}
+    assert whole["a.zip", "d/long.csv"] == b"\xef\xbb\xbfid,v\n" + long and whole["a.zip", "d/empty.csv"] == b"" and len(whole) == 10
+    assert all(whole[n, "d/2.csv"] == long and whole[n, "d/1.csv"] == b"id,v\n3,z\n" for n in ("b.tar", "c.tgz", "d.tar.xz"))
+    lines = R.member_lines(index, "d/*.csv")
+    assert rows(R.member_rows(lines.where("member rlike 'stored|bz|1'"), "id long, v string").select("id", "v")) == [(1, "x"), (2, "y"), (3, "z"), (3, "z"), (3, "z")]
+    assert R.member_rows(lines.where("member = 'd/long.csv'"), "id long, v string").where("v = 'é'").count() == 300_000
+
+
+def test_one_member_of_an_archive_of_more_than_two_gigabytes(spark, tmp_path):
+    with (tmp_path / "large.zip").open("wb") as f:
+        f.seek(5 << 29)  # a hole, which takes no disk
+        with zipfile.ZipFile(f, "w") as z:
+            z.writestr("x.csv", "id\n7\n")
+    with (tmp_path / "large.tar").open("wb") as f:
+        info = tarfile.TarInfo("hole.bin")
+        info.size = 5 << 29
+        f.write(info.tobuf())
+        f.seek(info.size, 1)
+        with tarfile.open(fileobj=f, mode="w|") as t:
+            info = tarfile.TarInfo("x.csv")
+            info.size = 5
+            t.addfile(info, io.BytesIO(b"id\n8\n"))
+    index = index_of(spark, tmp_path)
+    assert index.where("size > 2000000000").count() == 1
+    assert rows(R.member_rows(R.member_lines(index.where("member = 'x.csv'")), "id long").select("id")) == [(7,), (8,)]
+
+
+def test_damaged_and_locked_members_are_errors(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x", b"content")
+    data = bytearray((tmp_path / "a.zip").read_bytes())
+    data[data.index(b"content")] ^= 1
+    (tmp_path / "a.zip").write_bytes(data)
+    with pytest.raises(Exception, match="check sum"):
+        R.member_parts(index_of(spark, tmp_path)).collect()
+
+
+def test_checksums_by_file_and_by_block(spark, tmp_path):
+    data = bytes(range(256)) * 40
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a b.bin").write_bytes(data)
+    (tmp_path / "in" / "c.bin").write_bytes(data[:1000])
+    got = {r.path.rpartition("/")[2]: (r.size, r.md5) for r in A.file_checksums(spark, str(tmp_path / "in"), "*.bin").collect()}
+    assert got == {"a b.bin": (len(data), hashlib.md5(data).hexdigest()), "c.bin": (1000, hashlib.md5(data[:1000]).hexdigest())}
+    tree = lambda d: hashlib.md5(b"".join(hashlib.md5(d[k : k + 1000]).digest() for k in range(0, len(d), 1000))).hexdigest()
+    got = {r.path.rpartition("/")[2]: (r.blocks, r.checksum) for r in A.block_checksums(spark, str(tmp_path / "in"), block=1000).collect()}
+    assert got == {"a b.bin": (11, f"{tree(data)}-11"), "c.bin": (1, f"{tree(data[:1000])}-1")}

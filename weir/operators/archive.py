@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weir.sources.ranged import open_file
+
 
 def dedupe_content(df: DataFrame, key: str, content: str) -> tuple[DataFrame, DataFrame]:
     """The store (content_hash, content, first key, references), each content once, and the manifest (key, content_hash)."""
@@ -44,7 +50,54 @@ def retention(partitions: DataFrame, day: str, today: Column, days: int = 2555)
     return partitions.withColumns({"expires": expires, "expired": expires < today})
 
 
-def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """path, size, md5 of the written files below a folder."""
+def _listing(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return r.load(path).select("path", F.col("length").alias("size"), F.md5("content").alias("md5"))
+    return r.load(path).select("path", F.col("length").alias("size"))
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """md5 of the range [start, start + length) of each file, read a little at a time."""
+
+    def digest(path: str, start: int, left: int) -> str:
+        md5 = hashlib.md5()
+        with open_file(path) as f:
+            f.seek(start)
+            while left:
+                if not (data := f.read(min(left, 1 << 20))):
+                    raise EOFError(f"{path} is shorter than its listing says")
+                md5.update(data)
+                left -= len(data)
+        return md5.hexdigest()
+
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("path", "start", "length")), strict=True)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([digest(*r) for r in rows], pa.string())], [*batch.schema.names, "md5"])
+
+
+def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet", rows: bool = False) -> DataFrame:
+    """path, size, md5 of the written files below a folder, and the rows of Parquet files if asked for.
+
+    A file of any size is read by one task, a little at a time; block_checksums deals the blocks of large files out.
+    """
+    files = _listing(spark, path, pattern).select("path", "size", F.lit(0).cast("long").alias("start"), F.col("size").alias("length"))
+    out = files.repartition(max(1, files.count())).mapInArrow(_digests, "path string, size long, start long, length long, md5 string").select("path", "size", "md5")
+    if not rows:
+        return out
+    counts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).parquet(path).groupBy(F.col("_metadata.file_name").alias("__name"), F.col("_metadata.file_size").alias("size")).agg(F.count("*").alias("rows"))
+    return out.withColumn("__name", F.element_at(F.split("path", "/"), -1)).join(counts, ["__name", "size"], "left").select("path", "size", "md5", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+
+
+def block_checksums(spark: SparkSession, path: str, pattern: str = "*", block: int = 64 << 20, tasks: int = 0) -> DataFrame:
+    """path, size, blocks, checksum of the files below a folder, whose blocks are read by many tasks.
+
+    The checksum is a tree of two levels, as object stores give for uploads in parts: the md5 of the blocks' md5 (as
+    bytes, in order), a dash, and the number of blocks. Equal files have equal ones if their block is the same.
+    """
+    files = _listing(spark, path, pattern)
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(block).cast("long")))
+    blocks = files.where("size > 0").select("path", "size", start.alias("start")).withColumn("length", F.least(F.lit(block), F.col("size") - F.col("start")))
+    n = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), files.agg(F.sum(F.ceil(F.col("size") / block))).first()[0] or 0)
+    found = blocks.repartition(int(n), "path", "start").mapInArrow(_digests, "path string, size long, start long, length long, md5 string")
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("start", "md5"))), lambda x: x.md5)
+    tree = F.concat(F.md5(F.unhex(F.array_join(whole, ""))), F.lit("-"), F.count("*"))
+    return found.groupBy("path", "size").agg(F.count("*").alias("blocks"), tree.alias("checksum"))

@@ -92,3 +92,36 @@ def sample_n(spark, d):
     s = C.sample_rows(o, 10).select("o_orderkey", F.lit(True).alias("drawn"))
     known = s.join(o.select("o_orderkey", F.lit(True).alias("there")), "o_orderkey", "left")
     return known.agg(F.count("drawn").alias("rows"), F.count_distinct("o_orderkey").alias("different"), F.count("there").alias("known"))
+
+
+def _nearly(spark, d):
+    """orders, and a copy in which a few prices differ, a few rows are gone and a few are new."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    far = F.col("o_totalprice") > 490_000
+    changed = o.where(~far | (F.col("o_orderkey") % 2 > 0)).withColumn("o_totalprice", F.when(far, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return o, changed.unionByName(o.where(far & (F.col("o_orderkey") % 3 == 0)).withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000))
+
+
+@query("""WITH a AS (SELECT o_orderkey, o_totalprice FROM orders), c AS (SELECT o_orderkey, CASE WHEN o_totalprice > 490000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM a WHERE NOT (o_totalprice > 490000 AND o_orderkey % 2 = 0)
+  UNION ALL SELECT o_orderkey + 10000000, o_totalprice FROM a WHERE o_totalprice > 490000 AND o_orderkey % 3 = 0), j AS (SELECT a.o_orderkey AS ka, c.o_orderkey AS kc, a.o_totalprice = c.o_totalprice AS same FROM a FULL JOIN c ON a.o_orderkey = c.o_orderkey)
+  SELECT count(ka) AS rows_a, count(kc) AS rows_b, count(*) FILTER (same) AS matched, count(*) FILTER (NOT same) AS mismatched, count(*) FILTER (kc IS NULL) AS missing_in_b, count(*) FILTER (ka IS NULL) AS missing_in_a,
+  round(100.0 * count(*) FILTER (same) / (count(*) FILTER (same IS NOT NULL)), 2)::DOUBLE AS match_percent, '' AS only_in_a, '' AS only_in_b, count(*) FILTER (same) < greatest(count(ka), count(kc)) AS has_drift, TRUE AS few_joined FROM j""")
+def compare_drilldown(spark, d):
+    """Most buckets are equal, so that few rows are joined."""
+    a, b = _nearly(spark, d)
+    out = C.compare_drilldown(a, b, ["o_orderkey"])
+    return out.withColumn("few_joined", F.col("joined_rows") < 0.2 * F.col("rows_a")).drop("joined_rows")
+
+
+@query("""SELECT l_returnflag AS part, count(*) AS rows, sum(CASE WHEN l_quantity IS NULL THEN 1 ELSE 0 END)::BIGINT AS nulls, min(l_quantity)::DOUBLE AS low, max(l_quantity)::DOUBLE AS high, TRUE AS near FROM lineitem GROUP BY 1
+  UNION ALL SELECT 'all', count(*), sum(CASE WHEN l_quantity IS NULL THEN 1 ELSE 0 END)::BIGINT, min(l_quantity)::DOUBLE, max(l_quantity)::DOUBLE, TRUE FROM lineitem""")
+def profile_merge(spark, d):
+    """Profiles by flag, each and united; distinct values, estimated, are within 3 % of the exact ones."""
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_quantity", "l_orderkey")
+    parts = C.profile(li, F.col("l_returnflag"))
+    whole = C.merged_profile(parts).select(F.lit("all").alias("part"), "column", "rows", "nulls", "low", "high", "distinct")
+    exact = C.exact_profile(li).where("column = 'l_orderkey'").select(F.col("distinct").alias("exact"))
+    orders = whole.where("column = 'l_orderkey'").select(F.col("distinct").alias("estimate"))
+    near = exact.join(F.broadcast(orders), F.lit(True)).select((F.abs(F.col("estimate") - F.col("exact")) <= 0.03 * F.col("exact")).alias("near"))  # one row each
+    each = parts.select("part", "column", "rows", "nulls", "low", "high").unionByName(whole.drop("distinct")).where("column = 'l_quantity'").drop("column")
+    return each.join(F.broadcast(near), F.lit(True))

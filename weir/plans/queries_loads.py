@@ -202,13 +202,13 @@ def orphans(spark, d):
     return A.orphans(docs, docs.where("doc_id % 2 = 0")).select("doc_id")
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
 def archive_restore(spark, d):
     path = scratch(spark)
-    n = table(spark, d, "nation")
-    A.archive(n.where("n_nationkey < 5"), path, "job", "nation", "2024-01-01")
-    A.archive(n, path, "job", "nation", "2024-01-02")
-    return A.restore(spark, path, "job", "nation", "2024-01-02")
+    o = _orders(spark, d)
+    A.archive(o.where("o_orderstatus = 'F'"), path, "job", "orders", "2024-01-01")
+    A.archive(o, path, "job", "orders", "2024-01-02")
+    return A.restore(spark, path, "job", "orders", "2024-01-02")
 
 
 @query("SELECT DISTINCT CAST(ts AS DATE) AS partition_date, CAST(CAST(ts AS DATE) + 10 AS DATE) AS expires, CAST(ts AS DATE) + 10 < DATE '2024-01-20' AS expired FROM events")
@@ -224,11 +224,36 @@ def manifest_scan(spark, d):
     return A.read_manifests(spark, path, "job1", "2024-01-01").groupBy("job_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT length(whole)::BIGINT AS size, md5(whole) AS md5 FROM (SELECT concat(string_agg(n_name, chr(10) ORDER BY n_nationkey), chr(10)) AS whole FROM nation)")
+def _names_by_nation(spark, d):
+    """A text file of names for each nation."""
+    path = scratch(spark)
+    c = table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name")
+    c.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", "c_name").write.partitionBy("c_nationkey").text(path)
+    return path
+
+
+_NAMES = "f AS (SELECT c_nationkey AS nation, concat(string_agg(c_name, chr(10) ORDER BY c_custkey), chr(10)) AS whole FROM customer GROUP BY 1)"
+_NATION = "int(regexp_extract(path, 'c_nationkey=([0-9]+)', 1)) AS nation"
+
+
+@query(f"WITH {_NAMES} SELECT nation, length(whole)::BIGINT AS size, md5(whole) AS md5 FROM f")
 def file_checksums(spark, d):
+    return A.file_checksums(spark, _names_by_nation(spark, d), "*.txt").selectExpr(_NATION, "size", "md5")
+
+
+@query(f"""WITH {_NAMES}, b AS (SELECT nation, whole, unnest(range(0, length(whole), 300)) AS start FROM f)
+  SELECT nation, count(*) AS blocks, concat(md5(unhex(string_agg(md5(substr(whole, CAST(start + 1 AS BIGINT), 300)), '' ORDER BY start))), '-', count(*)) AS checksum FROM b GROUP BY nation""")
+def block_checksums(spark, d):
+    return A.block_checksums(spark, _names_by_nation(spark, d), "*.txt", block=300).selectExpr(_NATION, "blocks", "checksum")
+
+
+@query("SELECT sum(n) AS rows, TRUE AS all_counted FROM (SELECT count(*) AS n FROM orders)")
+def file_rows(spark, d):
+    """The rows of each written file, from the footers, beside its checksum."""
     path = scratch(spark)
-    table(spark, d, "nation").orderBy("n_nationkey").coalesce(1).select("n_name").write.text(path)
-    return A.file_checksums(spark, path, "*.txt").select("size", "md5")
+    _orders(spark, d).repartition(5).write.parquet(path)
+    found = A.file_checksums(spark, path, rows=True)
+    return found.agg(F.sum("rows").cast("decimal(38,0)").alias("rows"), F.every((F.col("rows") > 0) & (F.length("md5") == 32)).alias("all_counted"))
 
 
 @query("SELECT event_id, strftime((CAST(ts AS DATE) + INTERVAL 1 MONTH) - INTERVAL 2 DAY, '%Y/%m/%d') AS run_date FROM events")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from weir.operators import logs as L
+from weir.operators import recurrence as R
 from weir.plans.registry import query, table
 
 
@@ -103,3 +104,33 @@ def state_fold(spark, d):
 @query("SELECT 'clicks' AS section, count(*) FILTER (event_type = 'click') AS rows FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05' UNION ALL SELECT 'large', count(*) FILTER (value > 50) FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-05'")
 def daily_digest(spark, d):
     return L.daily_digest(_events(spark, d), F.lit("2024-01-05").cast("date"), "ts", {"clicks": F.col("event_type") == "click", "large": F.col("value") > 50})
+
+
+_RECURRENCES = [*_JOBS, ("leap", "30 6 29 2 *")]
+_TICKS = "(SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2028-03-01', INTERVAL 1 MINUTE)) AS tick)"
+_NEXT = f"""p AS (SELECT 0 AS job, tick AS slot FROM {_TICKS} WHERE minute(tick) % 15 = 0 AND hour(tick) BETWEEN 8 AND 17 AND isodow(tick) <= 5 UNION ALL SELECT 1, tick FROM {_TICKS} WHERE minute(tick) = 0 AND hour(tick) = 0 AND (day(tick) = 1 OR isodow(tick) = 1)
+  UNION ALL SELECT 2, tick FROM {_TICKS} WHERE minute(tick) IN (5, 35) UNION ALL SELECT 3, tick FROM {_TICKS} WHERE minute(tick) = 30 AND hour(tick) = 6 AND day(tick) = 29 AND month(tick) = 2),
+  e AS (SELECT event_id, ts, event_id % 4 AS job FROM events)"""
+
+
+def _recurring(spark, d):
+    text = F.element_at(F.array(*(F.lit(r) for _, r in _RECURRENCES)), (F.col("event_id") % 4 + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", "ts", text.alias("recurrence"))
+
+
+@query(f"WITH {_NEXT} SELECT event_id, slot AS next FROM e ASOF JOIN p ON e.job = p.job AND e.ts < p.slot")
+def cron_next(spark, d):
+    """The next occurrence after every event, each with a recurrence of its own."""
+    return R.with_next(_recurring(spark, d), "recurrence", F.col("ts"), "next").select("event_id", "next")
+
+
+@query(f"WITH {_NEXT} SELECT event_id, slot AS next_slot, slot <= TIMESTAMP '2024-01-15 12:00:00' AS expired FROM e ASOF JOIN p ON e.job = p.job AND e.ts < p.slot")
+def expired_recurrences(spark, d):
+    return R.expired_recurrences(_recurring(spark, d), "recurrence", "ts", F.expr("timestamp_ntz'2024-01-15 12:00:00'")).select("event_id", "next_slot", "expired")
+
+
+@query(f"WITH {_NEXT} SELECT event_id, count(*) AS slots, min(slot) AS first_slot, max(slot) AS last_slot FROM e JOIN p ON e.job = p.job AND p.slot BETWEEN e.ts AND e.ts + INTERVAL 2 DAY GROUP BY event_id")
+def planned_slots(spark, d):
+    """The occurrences in the two days after every event."""
+    found = R.occurrences(_recurring(spark, d), "recurrence", F.col("ts"), F.col("ts") + F.expr("interval 2 days"))
+    return found.groupBy("event_id").agg(F.count("*").alias("slots"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))

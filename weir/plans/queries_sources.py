@@ -1,6 +1,7 @@
 """Registered queries of sources, sinks and streams. Tables are written to a shared scratch folder in a format and read from it."""
 
 import io
+import tarfile
 import uuid
 import zipfile
 
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 from weir.operators import tables
 
 from weir.plans.registry import query, table
+from weir.sources import archives as R
 from weir.sources import csv_by_name as N
 from weir.sources import files as S
 from weir.sources import jdbc
 from weir.sources import versions as V
+from weir.sources.ranged import create_file
 from weir.sources.scratch import scratch
 from weir.streaming import jobs
 
@@ -51,9 +54,10 @@ def scan_xml(spark, d):
     return S.read_xml(spark, path, "customer", "c_custkey long, c_name string")
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
 def scan_auto(spark, d):
-    return S.register(spark, "auto_nation", f"{d}/nation.parquet")
+    S.register(spark, "auto_orders", f"{d}/orders.parquet")
+    return spark.sql("SELECT o_orderstatus, count(*) AS n FROM auto_orders GROUP BY o_orderstatus")
 
 
 @query("SELECT p_partkey, p_brand FROM part UNION ALL SELECT p_partkey + 1000000, p_brand FROM part")
@@ -212,6 +216,41 @@ def scan_archive(spark, d):
     return S.member_rows(S.members_of(spark.read.parquet(path), "*.csv"), "c_custkey long, c_name string")
 
 
+def _packed(folder):
+    """Writes an archive of the months' orders as CSV for each year: zip files, but of odd years tar files."""
+
+    def packed(key, t):
+        year, rows = key[0].as_py(), t.sort_by("o_orderkey").to_pylist()
+        name = f"{folder}/orders_{year}.{'tar' if year % 2 else 'zip'}"
+        texts = {m: "".join(f"{r['o_orderkey']},{r['o_custkey']}\n" for r in rows if r["month"] == m) for m in sorted({r["month"] for r in rows})}
+        with create_file(name) as out:
+            if year % 2:
+                with tarfile.open(fileobj=out, mode="w|") as tar:
+                    for m, text in texts.items():
+                        data = f"o_orderkey,o_custkey\n{text}".encode()
+                        info = tarfile.TarInfo(f"csv/{m:02}.csv")
+                        info.size = len(data)
+                        tar.addfile(info, io.BytesIO(data))
+            else:
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    for m, text in texts.items():
+                        z.writestr(f"csv/{m:02}.csv", f"o_orderkey,o_custkey\n{text}")
+                    z.writestr("readme.md", "no rows")
+        return pa.table({"name": [name]})
+
+    return packed
+
+
+@query("SELECT concat('orders_', year(o_orderdate), CASE WHEN year(o_orderdate) % 2 = 1 THEN '.tar' ELSE '.zip' END) AS archive, printf('csv/%02d.csv', month(o_orderdate)) AS member, o_orderkey, o_custkey FROM orders WHERE month(o_orderdate) >= 10")
+def archive_ranges(spark, d):
+    """Of archives in files just the members of the last quarter, each by its own range of bytes."""
+    folder, done = scratch(spark), scratch(spark)
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    o.groupBy("year").applyInArrow(_packed(folder), "name string").write.parquet(done)
+    found = R.member_rows(R.member_lines(R.archive_index(spark, folder, "csv/1?.csv")), "o_orderkey long, o_custkey long")
+    return found.withColumn("archive", F.element_at(F.split("archive", "/"), -1))
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def jdbc_round_trip(spark, d):
     """Into a database and back in four shards; the database that Spark brings lives in one JVM, so this is for one machine."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.columns import strip_control
 from weir.functions.types import union_relaxed
+from weir.sources import archives
 from weir.sources.ranged import open_file, size_of
 
 SUFFIXES = {"csv": "csv", "tsv": "csv", "txt": "csv", "json": "json", "ndjson": "json", "jsonl": "json", "parquet": "parquet", "pq": "parquet", "xml": "xml", "orc": "orc", "avro": "avro"}
@@ -230,8 +231,12 @@ def _members(pattern: str):
 
 
 def archive_members(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """archive, member, size, content of the members of zip and tar archives below a path whose inner name fits."""
-    return members_of(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path), pattern)
+    """archive, member, size, content of the members of zip and tar archives below a path whose inner name fits.
+
+    A member is one value, of 2 GB at most; archives.member_parts and member_lines read larger ones.
+    """
+    parts = archives.member_parts(archives.archive_index(spark, path, pattern), pattern, (1 << 31) - 1)
+    return parts.select("archive", "member", F.octet_length("content").cast("long").alias("size"), "content")
 
 
 def members_of(archives: DataFrame, pattern: str = "*") -> DataFrame:

@@ -27,6 +27,12 @@ def open_file(path: str) -> BinaryIO:
     return system.open_input_file(name)
 
 
+def create_file(path: str) -> BinaryIO:
+    system, name = _found(path)
+    system.create_dir(name.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(name, compression=None)
+
+
 def size_of(path: str | None) -> int | None:
     """A file's bytes, or None where there is none."""
     if path is None:
