@@ -92,6 +92,8 @@ def _pack(p: Passages) -> Callable:
                 h = None
                 for x in wanted.as_py():
                     first, n = x["first"], x["n"]
+                    if first + n + p.window - 1 > len(words):
+                        continue  # another row's
                     if x["crowded"]:
                         h = hashes.of(words) if h is None else h
                         starts = np.arange(first, first + n)
@@ -108,7 +110,7 @@ def _pack(p: Passages) -> Callable:
     return pack
 
 
-_PACKED = pa.schema([("bucket", pa.int64()), ("single", pa.bool_()), ("doc_id", pa.int64()), ("own", pa.int32()), ("first", pa.int32()), ("n", pa.int32()), ("copies", pa.int64()), ("packed", pa.binary())])
+_PACKED = pa.schema([("bucket", pa.int64()), ("single", pa.bool_()), ("doc_id", pa.int64()), ("own", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("copies", pa.int64()), ("packed", pa.binary())])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -136,7 +138,7 @@ def _repeats(strings: list[bytes], p: Passages) -> tuple[np.ndarray, np.ndarray]
 
 def _sort_count(p: Passages) -> Callable:
     """Windows of once-seen super-k-mers that other super-k-mers of their bucket hold too."""
-    types = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], ["doc_id", "own", "first", "n"])
@@ -193,6 +195,7 @@ def _keep(p: Passages, texts: bool) -> Callable:
                 kept = words = words_of(text.as_py())
                 if marks.is_valid:
                     m = np.array([(x["first"], x["n"]) for x in marks.as_py()])
+                    m = m[m.sum(1) + p.window - 1 <= len(words)]  # the rest is another row's
                     edges = np.zeros(len(words) + 1, np.int64)
                     np.add.at(edges, m[:, 0], 1)
                     np.add.at(edges, m[:, 0] + m[:, 1] + p.window - 1, -1)
@@ -205,7 +208,7 @@ def _keep(p: Passages, texts: bool) -> Callable:
                 if texts:
                     kept_texts.append(joined.decode())
             made = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(sha, pa.string()), *([pa.array(kept_texts, pa.string())] if texts else [])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: 1 + len(made)])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *made], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: 1 + len(made)])
 
     return keep
 
@@ -217,16 +220,17 @@ def without_repeats(docs: DataFrame, p: Passages = Passages(), texts: bool = Tru
     in this document or another. Windows are judged on the whole input. Super-k-mers whose content occurs again are
     marked whole; of each content one place travels as a packed string to its minimiser's bucket, and only if other
     contents have that minimiser. Null, empty and shorter texts lose nothing. Each row counts as a document of its own,
-    also if its doc_id and text occur again; rows with one doc_id or none are told apart by a 32-bit hash of their
-    texts, and each loses its own windows. Other columns are not read.
+    also if its doc_id and text occur again. Rows are told apart by their doc_id and 64 bits of their texts' hashes, without a
+    doc_id by 128, and each loses its own windows; a mark beyond a text's end is no mark. Other columns are not read.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("own"), "text")
-    kind = "doc_id long, own int, first int, n int"
+    number = F.col("doc_id").cast("long")
+    docs = docs.select(number.alias("id"), F.coalesce(number, F.xxhash64(F.lit("row"), "text")).alias("doc_id"), F.xxhash64("text").alias("own"), "text")
+    kind = "doc_id long, own long, first int, n int"
     row = ["doc_id", "own"]
 
     def joined(few: DataFrame, how: str) -> DataFrame:
-        on = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.own") == F.col("f.own"))
+        on = (F.col("d.doc_id") == F.col("f.doc_id")) & (F.col("d.own") == F.col("f.own"))
         return docs.alias("d").join(few.alias("f"), on, how).select("d.*", *(f"f.{c}" for c in few.columns if c not in row))
 
     cut = saved(docs.mapInArrow(_cut(p), f"low long, content long, {kind}"))

@@ -1,4 +1,4 @@
-"""Toxicity: a learned lexicon, matched with spelling errors by Levenshtein automata on its trie, weighed in context."""
+"""Toxicity: a learned lexicon of terms and stems, matched with spelling errors by Levenshtein automata on its trie, weighed in context."""
 
 from __future__ import annotations
 
@@ -22,13 +22,15 @@ class Toxicity:
 
     terms: entries of the lexicon, at most, those of the highest odds; entries under a stem are none. least: toxic texts
     of the sample that must hold an entry; copies count once, so that words of one copied text don't pass.
-    precision: share of an entry's documents that must be toxic. window: words on each side that make a context.
+    precision: share of an entry's documents that must be toxic. shared: of a stem's toxic texts, the share with which a
+    longer stem or a word takes its place. window: words on each side that make a context.
     """
 
     sample: int = 20_000
     terms: int = 2000
     least: int = 4
     precision: float = 0.9
+    shared: float = 0.9
     window: int = 8
     threshold: float = 0.3
 
@@ -81,19 +83,19 @@ def _hashes(codes: np.ndarray, errors: int) -> list[np.ndarray]:
 class Neighbours:
     """The strings that terms leave after as many deletions as they allow errors, as hashes behind a table of their first bits."""
 
-    BITS = U64(40)
-
     def __init__(self, terms: dict[str, int]) -> None:
         self.longest = max((len(t) + e for t, e in terms.items()), default=-1)
         self.shortest = [min((len(t) - e for t, e in terms.items() if e >= k), default=1 << 30) for k in range(3)]
-        self.known, self.table = [], []
+        self.known, self.table, self.shift = [], [], []
         for k in range(3):  # what a word without k letters may be
             left = {x for t, e in terms.items() if e >= k for x in _shortened(t, e)}
             known = np.unique(np.concatenate([np.zeros(0, U64), *(_hashes(_codes(g, n), 0)[0].ravel() for n, g in _by_length(left))]))
-            table = np.zeros(1 << 24, bool)
-            table[known >> self.BITS] = True
+            bits = min(24, max(12, 5 + len(known).bit_length()))  # few hashes of other words find a bit set
+            table = np.zeros(1 << bits, bool)
+            table[known >> U64(64 - bits)] = True
             self.known.append(known)
             self.table.append(table)
+            self.shift.append(U64(64 - bits))
 
     def of(self, words: Iterable[str]) -> set[str]:
         """Those of the words that share a string with a term after as many deletions as it allows errors, or, rarely, its hash."""
@@ -105,7 +107,7 @@ class Neighbours:
             for at in range(0, len(group), 8192):
                 part = group[at : at + 8192]
                 for k, h in enumerate(_hashes(_codes(part, n), errors)):
-                    row, column = np.nonzero(self.table[k][h >> self.BITS])
+                    row, column = np.nonzero(self.table[k][h >> self.shift[k]])
                     there, known = h[row, column], self.known[k]
                     same = known[np.minimum(np.searchsorted(known, there), max(len(known) - 1, 0))] == there if len(known) else np.zeros(0, int)
                     out.update(part[r] for r in row[same].tolist())
@@ -124,37 +126,48 @@ def _codes(words: list[str], n: int) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), n)
 
 
+Entry = tuple[str, bool]  # a term, and whether it is a stem
+Found = tuple[float, int, Entry]  # weight, errors, what was found
+
+
+def errors_by_length(n: int) -> int:
+    return 0 if n < 5 else 1 if n < 9 else 2
+
+
 class Automaton:
     """The lexicon's trie walked by all Levenshtein automata at once; sets of states are numbered as they are met.
 
-    A state is (node, errors). Whole terms of five letters or more allow one error, of nine or more two; stems allow
-    none and accept any ending. The walk grows with the lexicon: words that share no string with a term after as many
-    deletions as it allows errors are not within its errors, and skip it (Neighbours).
+    A state is (node, errors). Terms and stems of five letters or more allow one error, of nine or more two, or fewer
+    where `errors` says so; a stem's errors are in its own letters, after which it accepts any ending. The walk grows
+    with the lexicon: a word that shares no string with a term, and of which no beginning does with a stem, after as many
+    deletions as they allow errors is within nobody's errors, and skips it (Neighbours).
     """
 
     BOUND = 200_000
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]) -> None:
+    def __init__(self, words: dict[str, float], stems: dict[str, float], errors: dict[Entry, int] | None = None) -> None:
         self.next: list[dict[str, int]] = [{}]
-        self.end: list[tuple[float, bool] | None] = [None]
+        self.end: list[tuple[float, Entry] | None] = [None]
         self.allow = [0]
         self.most: dict[int, int] = {}  # errors of the term that ends at a node; a longer one through it may allow more
-        for entries, stem in ((stems, True), (words, False)):
-            for term, weight in sorted(entries.items()):
-                errors = 0 if stem or len(term) < 5 else 1 if len(term) < 9 else 2
-                node = 0
-                self.allow[0] = max(self.allow[0], errors)
-                for c in term:
-                    node = self.next[node].setdefault(c, len(self.next))
-                    if node == len(self.next):
-                        self.next.append({})
-                        self.end.append(None)
-                        self.allow.append(0)
-                    self.allow[node] = max(self.allow[node], errors)
-                if stem or not self.end[node]:
-                    self.end[node] = (weight, stem)
-                    self.most[node] = errors
-        self.near = Neighbours({t: 0 if len(t) < 5 else 1 if len(t) < 9 else 2 for t in words})
+        allowed = {(t, stem): (errors or {}).get((t, stem), errors_by_length(len(t))) for some, stem in ((stems, True), (words, False)) for t in some}
+        for (term, stem), most in sorted(allowed.items(), key=lambda x: (not x[0][1], x[0])):  # stems first
+            node = 0
+            self.allow[0] = max(self.allow[0], most)
+            for c in term:
+                node = self.next[node].setdefault(c, len(self.next))
+                if node == len(self.next):
+                    self.next.append({})
+                    self.end.append(None)
+                    self.allow.append(0)
+                self.allow[node] = max(self.allow[node], most)
+            if stem or not self.end[node]:
+                self.end[node] = ((stems if stem else words)[term], (term, stem))
+                self.most[node] = most
+        self.near = Neighbours({t: e for (t, stem), e in allowed.items() if not stem})
+        loose = {t: e for (t, stem), e in allowed.items() if stem and e}
+        self.near_stems = Neighbours(loose)
+        self.beginnings = range(min((len(t) - e for t, e in loose.items()), default=0), max((len(t) + e for t, e in loose.items()), default=-1) + 1)
         self.stems = stems
         self.lengths = sorted({len(x) for x in stems})
         self._reset()
@@ -163,6 +176,7 @@ class Automaton:
         self.sets: list[frozenset] = []
         self.number: dict[frozenset, int] = {}
         self.moves: list[dict[str, int]] = []
+        self.begun: list[tuple[int, float, Entry] | None] = []
         self.start = self._id(self._closed({(0, 0)}))
 
     def _closed(self, states: set) -> frozenset:
@@ -183,8 +197,13 @@ class Automaton:
             self.number[states] = len(self.sets)
             self.sets.append(states)
             self.moves.append({})
+            self.begun.append(min(self._ends(states, True), default=None))
         return self.number[states]
 
+    def _ends(self, states: frozenset, stem: bool) -> list[tuple[int, float, Entry]]:
+        """Errors, weight negated, and entry of the terms or stems that end in one of the states."""
+        return [(e, -end[0], end[1]) for node, e in states if (end := self.end[node]) and end[1][1] is stem and e <= self.most[node]]
+
     def _step(self, at: int, c: str) -> int:
         out = set()
         for node, e in self.sets[at]:
@@ -196,35 +215,37 @@ class Automaton:
         to = self.moves[at][c] = self._id(self._closed(out))
         return to
 
-    def match_all(self, words: set[str]) -> dict[str, tuple[float, int] | None]:
-        """For each word weight and kind (0 exact, 1 with errors, 2 stem) of the best term that accepts it."""
+    def match_all(self, words: set[str]) -> dict[str, Found | None]:
+        """For each word weight, errors and entry of the best that accepts it: of fewest errors, a whole term rather than a stem."""
         near = self.near.of(words)
-        return {w: self._walk(w) if w in near else self._stem(w) for w in words}
+        begun = self.near_stems.of({w[:n] for n in self.beginnings for w in words if len(w) >= n}) if self.beginnings else set()
+        close = lambda w: w in near or any(w[:n] in begun for n in self.beginnings)
+        return {w: self._walk(w) if close(w) else self._stem(w) for w in words}
 
-    def match(self, word: str) -> tuple[float, int] | None:
+    def match(self, word: str) -> Found | None:
         return self.match_all({word})[word]
 
-    def _stem(self, word: str) -> tuple[float, int] | None:
-        return next(((self.stems[word[:n]], 2) for n in self.lengths if word[:n] in self.stems), None)
+    def _stem(self, word: str) -> Found | None:
+        return next(((self.stems[word[:n]], 0, (word[:n], True)) for n in self.lengths if word[:n] in self.stems), None)
 
-    def _walk(self, word: str) -> tuple[float, int] | None:
+    def _walk(self, word: str) -> Found | None:
         if len(self.sets) > self.BOUND:
             self._reset()
-        at, stem = self.start, None
+        at, stem = self.start, self.begun[self.start]
         for c in word:
             to = self.moves[at].get(c)
             at = self._step(at, c) if to is None else to
             if not self.sets[at]:
-                return stem
-            if stem is None:
-                for node, e in self.sets[at]:
-                    if e == 0 and (end := self.end[node]) and end[1]:
-                        stem = (end[0], 2)
-        found = [(e, -end[0]) for node, e in self.sets[at] if (end := self.end[node]) and not end[1] and e <= self.most[node]]
+                break
+            if (begun := self.begun[at]) and (stem is None or begun < stem):
+                stem = begun
+        found = [(e, False, w, entry) for e, w, entry in self._ends(self.sets[at], False)]
+        if stem:
+            found.append((stem[0], True, *stem[1:]))
         if not found:
-            return stem
-        e, weight = min(found)
-        return (-weight, 0 if e == 0 else 1)
+            return None
+        e, _, weight, entry = min(found)
+        return -weight, e, entry
 
 
 class Matches(dict):
@@ -244,13 +265,13 @@ class Matches(dict):
         found = self.automaton.match_all(set(new.values()))
         self.update((w, found[x]) for w, x in new.items())
 
-    def __missing__(self, raw: str) -> tuple[float, int] | None:
+    def __missing__(self, raw: str) -> Found | None:
         self.learn({raw})
         return self[raw]
 
 
 SPLIT = re.compile(r"[\x20\x09-\x0D]+")
-N_FEATURES = 9
+N_FEATURES = 8
 
 
 def all_features(texts: Iterable[str], matches: Matches, p: Toxicity, some: int = 1_000_000) -> Iterator[list[float]]:
@@ -272,19 +293,20 @@ def _features_of(texts: list[str], matches: Matches, p: Toxicity) -> Iterator[li
 
 
 def features(text: str, matches: Matches, p: Toxicity) -> list[float]:
+    """A term with errors counts as the term itself, so that a misspelling doesn't lower a score."""
     words = SPLIT.split(text)
     found = [(k, m) for k, m in enumerate(map(matches.__getitem__, words)) if m]
     if not found:
         return [0.0] * N_FEATURES
-    by, weight, quoted, direct = [0, 0, 0], 0.0, 0.0, 0.0
-    for k, (w, kind) in found:
-        by[kind] += 1
+    by, weight, quoted, direct = [0, 0], 0.0, 0.0, 0.0
+    for k, (w, _, (_, stem)) in found:
+        by[stem] += 1
         around = words[max(0, k - p.window) : k + p.window + 1]
         q = any(QUOTES & set(x) for x in around) or not REPORTS.isdisjoint(map(plain, around))
         weight += w
         quoted += w * q
         direct += w * (not q) * (1 + (not ADDRESS.isdisjoint(map(plain, around))))
-    different = len({plain(words[k]) for k, _ in found})
+    different = len({entry for _, (_, _, entry) in found})
     return [1.0, *(np.log1p(b) for b in by), np.log1p(weight), np.log1p(quoted), np.log1p(direct), np.log1p(different), 100 * len(found) / len(words)]
 
 
@@ -314,9 +336,37 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
+    """errors: what entries allow, where that is less than their length would."""
+
     words: dict[str, float]
     stems: dict[str, float]
     weights: np.ndarray
+    errors: dict[Entry, int]
+
+    def matches(self) -> Matches:
+        """Built once in a process that holds this model, whatever the number of its tasks."""
+        if not hasattr(self, "_matches"):
+            self._matches = Matches(Automaton(self.words, self.stems, self.errors))
+        return self._matches
+
+    def scores(self, texts: Iterable[str], p: Toxicity) -> np.ndarray:
+        x = np.array(list(all_features(texts, self.matches(), p))).reshape(-1, N_FEATURES)
+        return sigmoid(self.weights[0] + x @ self.weights[1:])
+
+
+def _misspelt(matches: Callable[[], Matches]) -> Callable:
+    """For each entry and number of errors: documents with a word that it accepts with so many, toxic and not."""
+
+    def misspelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, seen = matches(), Counter()
+        for batch in batches:
+            words = [set(SPLIT.split(t.as_py() or "")) for t in batch.column("text")]
+            m.learn(set().union(*words))
+            for some, label in zip(words, batch.column("toxic").to_pylist(), strict=True):
+                seen.update({(*found[2], found[1], bool(label)) for w in some if (found := m[w]) and found[1]})
+        yield pa.RecordBatch.from_pylist([{"term": t, "stem": s, "errors": e, "toxic": n * label, "clean": n * (not label)} for (t, s, e, label), n in seen.items()], pa.schema([("term", pa.string()), ("stem", pa.bool_()), ("errors", pa.int32()), ("toxic", pa.int64()), ("clean", pa.int64())]))
+
+    return misspelt
 
 
 def held_out(doc_id) -> F.Column:
@@ -332,26 +382,36 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
     n = texts.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
     if not n.n or not n.t or n.t == n.n:
         share = float(n.t / n.n) if n.n else 0.0
-        return Model({}, {}, np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), *[0.0] * N_FEATURES]))
+        return Model({}, {}, np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), *[0.0] * N_FEATURES]), {})
     counted = texts.mapInArrow(_count, "entry string, toxic long, clean long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     balance = (n.n - n.t) / n.t  # entries are judged as if either class had as many documents
     share = F.col("toxic") * balance / (F.col("toxic") * balance + F.col("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (n.t + 1) / ((F.col("clean") + 0.5) / (n.n - n.t + 1)))
     is_stem = F.col("entry").endswith("*")
     good = counted.where((F.col("toxic") >= p.least * F.when(is_stem, 2).otherwise(1)) & (share >= p.precision) & (F.col("toxic") > F.col("clean")) & (F.length("entry") > 2)).withColumn("odds", odds)
-    good = saved(good.select("entry", "odds", F.regexp_replace("entry", r"\*$", "").alias("own")))
+    good = saved(good.select("entry", "odds", "toxic", F.regexp_replace("entry", r"\*$", "").alias("own")))
     begins = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])), lambda k: F.when(k < F.length("own"), F.substring(F.col("own"), F.lit(1), k)))
-    stem = good.where(is_stem).select(F.col("own").alias("begin"))
-    nested = good.select("entry", F.explode(begins).alias("begin")).join(stem, "begin").select("entry").distinct()  # a stem accepts these
-    rows = good.join(nested, "entry", "left_anti").orderBy(F.desc("odds"), "entry").limit(p.terms).collect()
+    stem = good.where(is_stem).select(F.col("own").alias("begin"), F.col("toxic").alias("begin_toxic"))
+    under = saved(good.withColumn("begin", F.explode(begins)).join(stem, "begin"))
+    # a stem accepts what is under it; where one entry has nearly all of its texts, that is what they share, and longer, so that it allows errors
+    longest = F.struct(F.length("own"), ~is_stem, "toxic", "entry")
+    shared = under.where(F.col("toxic") >= p.shared * F.col("begin_toxic")).groupBy(F.concat("begin", F.lit("*")).alias("entry")).agg(F.max_by(F.struct("entry", "odds", "own"), longest).alias("x"))
+    roots = good.join(under.select("entry").distinct(), "entry", "left_anti").join(shared, "entry", "left")
+    rows = roots.select(F.coalesce("x", F.struct("entry", "odds", "own")).alias("x")).select("x.*").distinct().orderBy(F.desc("odds"), "entry").limit(p.terms).collect()
     stems = {r.own: float(r.odds) for r in rows if r.entry.endswith("*")}
     words = {r.own: float(r.odds) for r in rows if not r.entry.endswith("*")}
-    model = Model(words, stems, np.zeros(N_FEATURES + 1))
+    # errors that clean texts of the sample show too often are not allowed; a row for each entry and number of errors at most
+    loose = Model(words, stems, np.zeros(N_FEATURES + 1), {})
+    seen = texts.mapInArrow(_misspelt(loose.matches), "term string, stem boolean, errors int, toxic long, clean long").groupBy("term", "stem", "errors").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect()
+    errors: dict[Entry, int] = {}
+    for r in seen:
+        if r.toxic * balance < p.precision * (r.toxic * balance + r.clean):
+            errors[r.term, r.stem] = min(errors.get((r.term, r.stem), 9), r.errors - 1)
+    model = Model(words, stems, np.zeros(N_FEATURES + 1), errors)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matches = Matches(Automaton(model.words, model.stems))
         for batch in batches:
-            f = list(all_features((t.as_py() or "" for t in batch.column("text")), matches, p))
+            f = list(all_features((t.as_py() or "" for t in batch.column("text")), model.matches(), p))
             yield pa.RecordBatch.from_arrays([pa.array(f, pa.list_(pa.float64())), batch.column("toxic")], ["f", "toxic"])
 
     rows = sorted(texts.mapInArrow(rows_of, "f array<double>, toxic int").collect())  # `sample` rows of numbers at most
@@ -361,11 +421,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model
 
 def _score(model, p: Toxicity) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        matches = Matches(Automaton(m.words, m.stems))
         for batch in batches:
-            x = np.array(list(all_features((t.as_py() or "" for t in batch.column("text")), matches, p))).reshape(-1, N_FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(m.weights[0] + x @ m.weights[1:]))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.value.scores((t.as_py() or "" for t in batch.column("text")), p))], ["doc_id", "score"])
 
     return score
 
