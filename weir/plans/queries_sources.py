@@ -1,6 +1,7 @@
 """Registered queries of sources, sinks and streams. Tables are written to a shared scratch folder in a format and read from it."""
 
 import io
+import json
 import tarfile
 import uuid
 import zipfile
@@ -16,9 +17,9 @@ from weir.sources import csv_by_name as N
 from weir.sources import files as S
 from weir.sources import jdbc
 from weir.sources import versions as V
-from weir.sources.ranged import create_file
+from weir.sources.ranged import create_file, open_file, size_of
 from weir.sources.scratch import scratch
-from weir.streaming import jobs
+from weir.streaming import jobs, paged, states
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"
 _SCHEMA = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
@@ -268,6 +269,79 @@ def _texts(lines, mark, header):
     return whole.select("file", F.concat(F.lit(f"{mark}{header}\n"), F.array_join("lines", "\n")).alias("value"))
 
 
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 2::BIGINT AS calls_that_loaded FROM supplier")
+def jdbc_staged_load(spark, d):
+    """Two runs, each called twice, into one table, read back in shards by quantiles. For one machine, as the database lives in one JVM."""
+    url, names = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    supplier = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    middle = supplier.agg(F.percentile_approx("s_suppkey", 0.5)).first()[0]
+    loaded = [jdbc.load_once(supplier.where(part), url, "SUPPLIER", run, names) for part, run in ((f"s_suppkey <= {middle}", "r1"), (f"s_suppkey > {middle}", "r2")) for _ in range(2)]
+    found = jdbc.read_by_quantiles(spark, url, "SUPPLIER", '"s_suppkey"', 4, names)
+    return found.withColumn("calls_that_loaded", F.lit(sum(loaded)).cast("long"))
+
+
+def _page_of(folder):
+    def fetch(page):
+        with open_file(f"{folder}/{page}.json") as f:
+            return [(r["event_id"], r["user_id"], r["value"]) for r in map(json.loads, f.read().decode().splitlines())]
+
+    return fetch
+
+
+def _pages_in(folder):
+    def pages():
+        n = 0
+        while size_of(f"{folder}/{n}.json") is not None:
+            n += 1
+        return n
+
+    return pages
+
+
+def _write_pages(folder):
+    """Each batch's rows of a page as a file of JSON lines."""
+
+    def pages(key, t):
+        with create_file(f"{folder}/{key[0].as_py()}.json") as out:
+            out.write("".join(json.dumps(r) + "\n" for r in t.select(["event_id", "user_id", "value"]).to_pylist()).encode())
+        return pa.table({"page": [key[0].as_py()]})
+
+    return pages
+
+
+@query("SELECT event_id, user_id, value FROM events")
+def stream_paged(spark, d):
+    """Pages of a thousand events, of which half are there for the first run and all for the next, which goes on where that ended."""
+    folder, target, state = scratch(spark), scratch(spark), scratch(spark)
+    events = table(spark, d, "events").select("event_id", "user_id", "value", F.floor((F.col("event_id") - F.lit(table(spark, d, "events").agg(F.min("event_id")).first()[0])) / 1000).cast("long").alias("page"))
+    pages = events.agg(F.max("page")).first()[0] + 1
+    name = f"pages_{uuid.uuid4().hex}"
+    spark.dataSource.register(paged.paged_source(name, "event_id long, user_id long, value double", _page_of(folder), _pages_in(folder)))
+    for part in (F.col("page") < pages // 2, F.col("page") >= pages // 2):
+        events.where(part).groupBy("page").applyInArrow(_write_pages(folder), "page long").write.mode("overwrite").format("noop").save()
+        for _ in range(2):  # the second finds nothing new
+            jobs.append_to(spark.readStream.format(name).load(), target, state).awaitTermination()
+    return S.read_parquet(spark, target)
+
+
+@query("SELECT CAST(user_id AS VARCHAR) AS user_id, max(ts) FILTER (event_type = 'purchase') AS last_purchase FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') > 0")
+def stream_state_ttl(spark, d):
+    """States in RocksDB, over three runs with thirds of the events: late rows of a later run don't undo a purchase."""
+    source, state, out = scratch(spark), scratch(spark), scratch(spark)
+    events = table(spark, d, "events").select(F.col("user_id").cast("string").alias("user_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("status"), "event_id")
+
+    def each(batch, n):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+    for part in (2, 0, 1):
+        events.where(F.col("event_id") % 3 == part).drop("event_id").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("user_id string, ts timestamp, status string").parquet(source)
+        folded = states.timed_states(stream, "user_id", "ts", "status", ["purchase"], 3600)
+        states.run_states(folded, each, state).awaitTermination()
+    last = S.read_parquet(spark, out).where("status = 'purchase'")
+    return last.groupBy("user_id").agg(F.max("ts").cast("timestamp_ntz").alias("last_purchase"))
+
+
 @query("SELECT c_custkey, concat(c_name, ' é') AS c_name FROM customer WHERE c_custkey % 7 <> 0")
 def repair_csv(spark, d):
     """CSV files with a byte order mark, or in another encoding and order, of which every seventh row has too many fields or a

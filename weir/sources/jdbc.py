@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_query(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None, fetch: int = 50_000) -> DataFrame:
@@ -29,3 +36,89 @@ def write_table(df: DataFrame, url: str, table: str, mode: str = "append", batch
     df.write.option("batchsize", batch).jdbc(url, table, mode=mode, properties=properties or {})
     if expected is not None and (n := count() - before) != expected:
         raise ValueError(f"{table}: {n} rows loaded, expected {expected}")
+
+
+def read_by_quantiles(spark: SparkSession, url: str, table: str, key: str, shards: int, properties: dict[str, str] | None = None, accuracy: int = 10_000) -> DataFrame:
+    """A table in so many parallel queries, each with a range of the key that holds about as many rows as another's, however the
+    keys, numbers or times, are spread; null keys go with the first. The bounds come from one query of the keys alone."""
+    keys = read_query(spark, url, f"SELECT {key} FROM {table}", properties)
+    name = keys.columns[0]
+    found = keys.select(F.percentile_approx(name, [k / shards for k in range(1, shards)], accuracy)).first()[0] if shards > 1 else None
+    bounds = sorted(set(found or []))
+    text = [f"{{ts '{b}'}}" if isinstance(b, datetime) else f"{{d '{b}'}}" if isinstance(b, date) else str(b) for b in bounds]
+    predicates = [f"{key} < {text[0]} OR {key} IS NULL", *(f"{key} >= {a} AND {key} < {b}" for a, b in zip(text, text[1:], strict=False)), f"{key} >= {text[-1]}"] if text else ["1 = 1"]
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+
+
+@contextmanager
+def _connection(spark: SparkSession, url: str, properties: dict[str, str]) -> Iterator:
+    """A connection of the driver's, in one transaction."""
+    if "driver" in properties:
+        spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    own = spark._jvm.java.util.Properties()
+    for k, v in properties.items():
+        own.setProperty(k, v)
+    c = spark._jvm.java.sql.DriverManager.getConnection(url, own)
+    try:
+        c.setAutoCommit(False)
+        yield c
+        c.commit()
+    except Exception:
+        c.rollback()
+        raise
+    finally:
+        c.close()
+
+
+def _run(c, sql: str, *values: str) -> int:
+    s = c.prepareStatement(sql)
+    try:
+        for k, v in enumerate(values, 1):
+            s.setString(k, v)
+        return s.executeUpdate()
+    finally:
+        s.close()
+
+
+def _loaded(c, runs: str, run_id: str) -> bool:
+    s = c.prepareStatement(f'SELECT "loaded" FROM {runs} WHERE "run_id" = ?')
+    try:
+        s.setString(1, run_id)
+        return s.executeQuery().next()
+    finally:
+        s.close()
+
+
+def load_once(df: DataFrame, url: str, table: str, run_id: str, properties: dict[str, str] | None = None, batch: int = 10_000, runs: str = "WEIR_RUNS") -> bool:
+    """Adds the rows of a run to a table, once, however often it is called with one run_id; False if they were there.
+
+    Tasks write to a staging table of the run, which is made anew, so that what a broken run left is gone. A task that ran
+    twice leaves rows twice there: their number must be that of the rows sent, else this is an error and nothing is
+    loaded. Then one transaction moves them and notes the run in the table `runs`, whose key no other call can take.
+    The target is made if it isn't there.
+    """
+    spark, properties = df.sparkSession, properties or {}
+    stage = f"{re.sub('[^A-Za-z0-9_.]', '', table)}_STAGE_{hashlib.md5(run_id.encode()).hexdigest()[:12].upper()}"
+    known = spark.createDataFrame([], "run_id string, loaded long")
+    for name, like in ((runs, known), (table, df)):
+        try:
+            spark.read.jdbc(url, name, properties=properties).schema  # noqa: B018
+        except Exception:
+            w = like.limit(0).write
+            (w.option("createTableColumnTypes", "run_id VARCHAR(255)") if name == runs else w).jdbc(url, name, mode="ignore", properties=properties)
+    with _connection(spark, url, properties) as c:
+        if _loaded(c, runs, run_id):
+            return False
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("batchsize", batch).jdbc(url, stage, mode="overwrite", properties=properties)
+    sent = seen.get.get("rows") or 0
+    columns = ", ".join(f'"{c}"' for c in df.columns)
+    with _connection(spark, url, properties) as c:
+        done = not _loaded(c, runs, run_id)
+        if done:
+            moved = _run(c, f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}")
+            if moved != sent:
+                raise ValueError(f"{stage}: {moved} rows, {sent} sent")
+            _run(c, f'INSERT INTO {runs} ("run_id", "loaded") VALUES (?, {moved})', run_id)
+        _run(c, f"DROP TABLE {stage}")
+    return done
