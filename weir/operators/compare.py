@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.operators.query import except_common
+from weir.sources.files import stage_and_verify
+from weir.sources.scratch import scratch
 
 
 def count_where(df: DataFrame, where: Column | str | None = None) -> DataFrame:
@@ -230,7 +232,9 @@ def compare_drilldown(a: DataFrame, b: DataFrame, keys: list[str], exclude: list
     compare_report is the shorter way.
     """
     columns = _columns(a, b, keys, exclude)
-    tree_a, tree_b = trees or (checksum_tree(a, keys, columns, leaves, fan), checksum_tree(b, keys, columns, leaves, fan))
+    if trees is None:  # written, so that each table is summed once, however many levels are compared
+        trees = tuple(stage_and_verify(checksum_tree(x, keys, columns, leaves, fan), scratch(a.sparkSession)) for x in (a, b))
+    tree_a, tree_b = trees
     wanted = F.broadcast(differing_leaves(tree_a, tree_b, fan))  # at most `leaves` numbers
     some = [df.withColumn("__bucket", F.pmod(_hash(keys), F.lit(leaves))).join(wanted.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi").drop("__bucket") for df in (a, b)]
     report = compare_report(*some, keys, exclude)
