@@ -124,7 +124,8 @@ def near_copies(docs: DataFrame, p: NearCopies = NearCopies()) -> DataFrame:
     that links reach. Documents with equal sets are one class from the start, so copies are never compared. Classes
     that share a key form clusters; a cluster is compared in tiles of bounded size, within which pairs of one
     component are skipped. Null and empty texts have no shingle and no link. A row whose doc_id is null links with
-    nothing; rows with one doc_id and text each get that document's component. Other columns are not read.
+    nothing; rows with one doc_id and text each get that document's component. A doc_id names one document: texts of
+    several rows of it link what any of them links to. Other columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
