@@ -383,6 +383,39 @@ def test_no_page_is_blocked_for_the_rule_of_another_path(spark):
     assert out.count() > 1000 and not out.where("verdict = 'block' and (path like '/en/%' or path like '/fr/%')").count()
 
 
+def test_templates_learn_from_labels(spark):
+    """Labels of some urls decide about the others: of the same template, and of branches whose labelled siblings agree."""
+    rng = random.Random(8)
+    made = sorted({"".join(rng.choice("aeioulnrst") for _ in range(7)) for _ in range(60)})
+    kinds = {"h.test/ads": lambda k: True, "h.test/guide": lambda k: False, "h.test/mixed": lambda k: k % 2 == 0, "h.test/shop/ads": lambda k: True, "few.test/few": lambda k: True}
+    truth = {f"http://{at}/{w}/{n}": bad(k) for at, bad in kinds.items() for k, w in enumerate(made) for n in range(12)}
+    branch = lambda u: u.split("/")[-2]
+    told = set(made[:30])
+    labels = [(u, truth[u], 1) for u in truth if (branch(u) in told and int(u.split("/")[-1]) < 6 if "/few/" not in u else branch(u) in made[:2] and int(u.split("/")[-1]) < 11)]
+    odd = [(None, True, 1), ("no scheme", True, 1), ("http://h.test/guide/x/1", None, 1), *[("http://ruled.test/a/b", True, 1)] * 50]
+    label = spark.createDataFrame(labels + odd, "url string, bad boolean, x int").withColumns({c: F.lit(1) for c in ("host", "path", "rule", "segments", "template", "ruled", "known", "told")})
+    urls = [*truth, "http://other.test/ads/a/1", "http://h.test/", "http://h.test/new", None, "http://ruled.test/a/b", "http://ruled.test/a/c", "http://h.test/ads/deeper/down/here"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = [("allow", "ruled.test/")]
+    out = {urls[r.page_id]: r for r in url_filters(pages, rules, labels=label).collect()}
+    assert len(out) == len(urls)
+    held_out = set(truth) - {u for u, *_ in labels}
+    for u in held_out:
+        want = truth[u] and ("/few/" not in u and ("/mixed/" not in u or branch(u) in told) or branch(u) in made[:2] and "/few/" in u)
+        assert out[u].verdict == ("block" if want else "allow"), u
+    assert out["http://h.test/ads/deeper/down/here"].verdict == "block"  # the nearest labelled node agrees
+    for u in ("http://other.test/ads/a/1", "http://h.test/", "http://h.test/new", None, "http://ruled.test/a/b", "http://ruled.test/a/c"):
+        assert out[u].verdict == "allow", u
+    assert not any(r.verdict == "block" and r.purity < 0.9 for r in out.values())
+    # without labels all is allowed; labels given twice and rules that block beside them change no verdict of other paths
+    assert not url_filters(pages, rules, labels=label.limit(0)).where("verdict = 'block'").count()
+    blocked = [("block", f"{at}/{w}/") for at in ("h.test/guide", "few.test/few") for w in made[:20]]
+    again = {urls[r.page_id]: r.verdict for r in url_filters(pages, blocked + rules, labels=label.union(label)).collect()}
+    for u in held_out:
+        if not any(f"/{at}/{w}/" in u for at in ("h.test/guide", "few.test/few") for w in made[:20]):
+            assert again[u] == out[u].verdict, u
+
+
 # 9 toxicity
 
 

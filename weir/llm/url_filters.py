@@ -1,4 +1,4 @@
-"""URL filters: host rules, and verdicts of path templates learned from the urls that rules judge. DataFrame functions only."""
+"""URL filters: host rules, and verdicts of path templates learned from labels and from the urls that rules judge. DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ class Templates:
     least: labelled urls that a branch must have before it is merged; so neither unlabelled branches nor those with
     hardly a label take over what others are. prior: urls of the share `neutral` that each template counts besides its own.
     purity: smoothed share of blocked urls at which a template is rejected.
+    agree: branches with `least` labels that a node must have before templates without labels follow it.
     """
 
     z: float = 2.58
@@ -25,6 +26,7 @@ class Templates:
     prior: float = 5.0
     neutral: float = 0.5
     purity: float = 0.9
+    agree: int = 3
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -79,30 +81,67 @@ def _alike(leaves: DataFrame, t: Templates) -> DataFrame:
     return branch.join(bins.select(*node, "bin", "alike").join(several, [*node, "alike"]), [*node, "bin"]).select(*node, "segment", "alike")
 
 
-def url_filters(pages: DataFrame, rules: list[tuple[str, str]], t: Templates = Templates()) -> DataFrame:
+def _split(urls: DataFrame, rules: list[tuple[str, str]], *keep: str | Column) -> DataFrame:
+    """host, path, rule, the rule's verdict and the path's general segments of urls(url, ...), after the columns to keep."""
+    host, path = parts(F.col("url"))
+    rule, verdict = _rule(rules)
+    rows = urls.select(*keep, host.alias("host"), path.alias("path")).withColumns({"rule": rule, "ruled": verdict})
+    return rows.withColumn("segments", F.transform(F.filter(F.split("path", "/+"), lambda s: s != ""), _general))
+
+
+def _smoothed(blocked: Column, known: Column, t: Templates) -> Column:
+    return (blocked + t.prior * t.neutral) / (known + t.prior)
+
+
+def _agreed(shaped: DataFrame, t: Templates) -> DataFrame:
+    """(host, template, agreed) of templates without labels below a labelled node: the purity of the nearest such node's
+    branches if these agree to be rejected, else null."""
+    levels = F.transform("names", lambda s, d: F.struct(d.alias("level"), F.xxhash64(F.slice("names", F.lit(1), d)).alias("above"), F.element_at("segments", d + 1).alias("branch")))
+    node = ["host", "level", "above"]
+    told = shaped.where("told > 0").select("host", "told", "bad", F.explode(levels).alias("x")).select("host", "told", "bad", "x.*")
+    branch = told.groupBy(*node, "branch").agg(F.sum("told").alias("told"), F.sum("bad").alias("bad"))
+    pooled = branch.groupBy(*node).agg(F.min(F.col("bad") / F.col("told")).alias("lowest"), F.count_if(F.col("told") >= t.least).alias("branches"), _smoothed(F.sum("bad"), F.sum("told"), t).alias("pooled"))
+    agrees = (F.least("lowest", "pooled") >= t.purity) & (F.col("branches") >= t.agree)
+    nodes = pooled.select(*node, F.when(agrees, F.col("pooled")).alias("agreed"))
+    silent = shaped.groupBy("host", "template").agg(F.sum("known").alias("known"), F.first("names").alias("names"), F.first("segments").alias("segments")).where("known = 0")
+    above = silent.select("host", "template", F.explode(levels).alias("x")).select("host", "template", "x.level", "x.above")
+    return above.join(nodes, node).groupBy("host", "template").agg(F.max_by("agreed", "level").alias("agreed"))
+
+
+def url_filters(pages: DataFrame, rules: list[tuple[str, str]], t: Templates = Templates(), labels: DataFrame | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, template, purity of every row of pages(page_id, url, ...).
 
-    rules: (verdict, host and path) pairs, a parameter of at most some hundred; the longest that fits a url wins. Urls
-    that a rule judges are the labelled ones. Each host's paths form a tree of segments, of any depth; segments with digits are
-    wildcards from the start, and of each node's branches, labelled ones whose share of blocked urls doesn't differ from
-    that of labelled siblings become one numbered wildcard. Branches without labels stay themselves. A template is rejected
-    if the share of blocked urls among its own labelled ones, smoothed towards `neutral`, is `purity` or more; no other path's
-    labels count. Urls without a rule get their template's verdict, allow where nothing is known.
-    Null urls and those without :// have an empty host and path and are one template. Rows count as often as they
-    occur. Other columns are not read.
+    rules: (verdict, host and path) pairs, a parameter of at most some hundred; the longest that fits a url wins.
+    labels(url, bad, ...): urls known to be bad or not, of pages or others. Labelled are urls that a rule judges, by the
+    rule, and those of `labels` that none judges. Each host's paths form a tree of segments, of any depth; segments with
+    digits are wildcards from the start, and of each node's branches, labelled ones whose share of blocked urls doesn't
+    differ from that of labelled siblings become one numbered wildcard. Branches without labels stay themselves. A template
+    is rejected if the share of blocked urls among its own labelled ones, smoothed towards `neutral`, is `purity` or more.
+    A template without labelled urls is rejected, at the purity of all of the node's, if it lies below a node of which
+    `agree` branches or more hold `least` labels, every labelled branch has a share of `purity` or more, and all together
+    do when smoothed; of several labelled nodes above, the nearest decides. There, a rule's block says nothing (it is about
+    its own path, so no other path is blocked for it), its allow counts as a label. Urls without a rule get their
+    template's verdict, allow where nothing is known.
+    Null urls and those without :// have an empty host and path and are one template. Rows of both tables count as often
+    as they occur; a label whose `bad` is null is none. Other columns are not read.
     """
-    host, path = parts(F.col("url"))
-    rule, verdict = _rule(rules)
-    rows = pages.select("page_id", host.alias("host"), path.alias("path")).withColumns({"rule": rule, "ruled": verdict})
-    rows = rows.withColumn("segments", F.transform(F.filter(F.split("path", "/+"), lambda s: s != ""), _general))
-    leaves = rows.groupBy("host", "segments").agg(F.count("ruled").alias("known"), F.count_if(F.col("ruled") == "block").alias("blocked"))
+    rows = _split(pages, rules, "page_id")
+    seen = rows.select("host", "segments", "ruled", F.lit(None).cast("boolean").alias("bad"))
+    if labels is not None:
+        seen = seen.unionByName(_split(labels, rules, F.col("bad").cast("boolean").alias("bad")).where("ruled is null and bad is not null").select(*seen.columns))
+    rejected, allowed, bad = F.count_if(F.col("ruled") == "block"), F.count_if(F.col("ruled") == "allow"), F.count_if("bad")
+    leaves = seen.groupBy("host", "segments").agg((F.count("ruled") + F.count("bad")).alias("known"), (rejected + bad).alias("blocked"), (allowed + F.count("bad")).alias("told"), bad.alias("bad"))
     leaves = saved(leaves.withColumn("leaf", F.monotonically_increasing_id()))
     alike = saved(_alike(leaves, t))
     at = leaves.select("leaf", "host", F.explode(_levels()).alias("x")).select("leaf", "host", "x.*")
     stars = at.join(alike, ["host", "level", "above", "segment"]).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("level", "alike"))).alias("stars"))
     named = F.transform("segments", lambda s, d: F.concat(F.lit("/"), F.coalesce(F.concat(F.lit("*"), F.try_element_at("stars", d)), s)))
-    shaped = saved(leaves.join(stars, "leaf", "left").select("host", "segments", "known", "blocked", F.array_join(named, "").alias("template")))
-    smoothed = (F.sum("blocked") + t.prior * t.neutral) / (F.sum("known") + t.prior)
-    judged = shaped.join(shaped.groupBy("host", "template").agg(smoothed.alias("purity")), ["host", "template"]).select("host", "segments", "template", "purity")
+    counts = ["known", "blocked", "told", "bad"]
+    shaped = leaves.join(stars, "leaf", "left").select("host", "segments", *counts, named.alias("names"))
+    shaped = saved(shaped.withColumn("template", F.array_join("names", "")))
+    purity = shaped.groupBy("host", "template").agg(_smoothed(F.sum("blocked"), F.sum("known"), t).alias("purity"))
+    if labels is not None:
+        purity = purity.join(_agreed(shaped, t), ["host", "template"], "left").select("host", "template", F.coalesce("agreed", "purity").alias("purity"))
+    judged = shaped.join(purity, ["host", "template"]).select("host", "segments", "template", "purity")
     own = F.when(F.col("purity") >= t.purity, F.lit("block")).otherwise(F.lit("allow"))
     return rows.join(judged, ["host", "segments"]).select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template", "purity")
