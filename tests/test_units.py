@@ -426,3 +426,18 @@ def test_samples_of_each_kind(spark):
     b = spark.range(50, 130).select("id", F.when(F.col("id") < 80, 2).otherwise(1).alias("v"))
     got = [(r.kind, r.id) for r in compare.compare_samples(a, b, ["id"], mismatched=3, missing=2).collect()]
     assert sorted(got) == [("mismatched", 50), ("mismatched", 51), ("mismatched", 52), ("missing_in_a", 100), ("missing_in_a", 101), ("missing_in_b", 0), ("missing_in_b", 1)]
+
+
+def test_compatibility_counts_values_that_a_type_cannot_hold(spark):
+    target = spark.createDataFrame([], "id long, n int, d date, `a.b` double, gone string")
+    staging = spark.createDataFrame([(1, "7", "2024-02-29", 1.5), (2, "x", "2023-02-29", None), (3, None, None, 2.0), (4, "3000000000", "2024-01-01", float("nan"))], "id long, n string, d string, `a.b` double")
+    got = {r.column_name: (r.status, r.target_type, r.staging_type, r.n_lost) for r in M.compatibility(target, staging.withColumn("more", F.lit(1))).collect()}
+    assert got == {"id": ("same", "bigint", "bigint", 0), "n": ("lossy", "int", "string", 2), "d": ("lossy", "date", "string", 1), "a.b": ("same", "double", "double", 0), "gone": ("missing", "string", None, 0), "more": ("extra", None, "int", 0)}
+    with pytest.raises(M.MergeError, match="n: lossy, 2 values of string are no int.*gone: missing"):
+        M.require_compatible(target, staging)
+    # numbers that a cast changes are lost, whether it rounds or leaves the range; null, nan and empty tables are no loss
+    narrow, wide = spark.createDataFrame([], "`a.b` int, id int"), spark.createDataFrame([(2**40, 1.5), (1, 2.0), (None, None)], "id long, `a.b` double")
+    assert {r.column_name: (r.status, r.n_lost) for r in M.compatibility(narrow, wide).collect()} == {"a.b": ("lossy", 1), "id": ("lossy", 1)}
+    assert {r.status for r in M.compatibility(narrow, wide.limit(0)).collect()} == {"cast"}
+    assert {r.status for r in M.compatibility(wide.select(F.col("`a.b`").cast("float").alias("x")), spark.createDataFrame([(float("nan"),), (0.5,)], "x double")).collect()} == {"cast"}
+    M.require_compatible(wide, wide)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 class MergeError(ValueError):
@@ -25,6 +26,41 @@ def like(target: DataFrame, staging: DataFrame) -> DataFrame:
     return staging.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema))
 
 
+def compatibility(target: DataFrame, staging: DataFrame) -> DataFrame:
+    """column_name, status, target_type, staging_type, n_lost of each column of either table: whether staging can be loaded.
+
+    missing: staging lacks it. extra: the target does. same: the types are. Else n_lost counts the staging values that the
+    target's type can't hold: those whose cast is null, and numbers that the cast changes; cast if there are none, lossy if
+    there are. Types without a cast between them raise. All columns are judged in one pass over staging, which reads only
+    columns whose types differ.
+    """
+    of, have = {f.name: f.dataType for f in target.schema}, {f.name: f.dataType for f in staging.schema}
+
+    def lost(name: str) -> Column:
+        value = F.col("`" + name.replace("`", "``") + "`")
+        held = value.try_cast(of[name])
+        changed = held.try_cast(have[name]) != value if isinstance(have[name], NumericType) else F.lit(False)
+        return F.count_if(value.isNotNull() & (held.isNull() | F.coalesce(changed, F.lit(True))))
+
+    differ = [c for c in of if c in have and of[c] != have[c]]
+    counts = staging.agg(*(lost(c).alias(f"n{k}") for k, c in enumerate(differ))) if differ else target.sparkSession.range(1)
+
+    def row(name: str) -> Column:
+        n = F.col(f"n{differ.index(name)}") if name in differ else F.lit(0)
+        status = F.when(n > 0, "lossy").otherwise("cast") if name in differ else F.lit("missing" if name not in have else "extra" if name not in of else "same")
+        types = (F.lit(t[name].simpleString() if name in t else None).cast("string") for t in (of, have))
+        return F.struct(F.lit(name).alias("column_name"), status.alias("status"), *(t.alias(c) for t, c in zip(types, ("target_type", "staging_type"), strict=True)), n.cast("long").alias("n_lost"))
+
+    return counts.select(F.inline(F.array(*map(row, dict.fromkeys([*of, *have])))))
+
+
+def require_compatible(target: DataFrame, staging: DataFrame) -> None:
+    """Raises if staging lacks a column or has values that the target's types can't hold."""
+    bad = compatibility(target, staging).where("status in ('missing', 'lossy')").collect()  # a row a column
+    if bad:
+        raise MergeError("; ".join(f"{r.column_name}: {r.status}" + (f", {r.n_lost} values of {r.staging_type} are no {r.target_type}" if r.n_lost else "") for r in bad))
+
+
 def full_refresh(target: DataFrame, staging: DataFrame) -> DataFrame:
     return like(target, staging)
 

@@ -31,6 +31,26 @@ _SQL = """t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_ord
 _KEYS = ["o_orderkey"]
 
 
+@query("""WITH s AS (SELECT count(o_custkey) FILTER (o_orderpriority = '1-URGENT') AS c, count(o_totalprice) FILTER (o_orderstatus = 'P') AS p FROM orders)
+  SELECT 'o_orderkey' AS column_name, 'same' AS status, 'bigint' AS target_type, 'bigint' AS staging_type, CAST(0 AS BIGINT) AS n_lost
+  UNION ALL SELECT 'o_custkey', CASE WHEN c > 0 THEN 'lossy' ELSE 'cast' END, 'bigint', 'double', c FROM s
+  UNION ALL SELECT 'o_orderstatus', 'missing', 'string', NULL, 0
+  UNION ALL SELECT 'o_totalprice', CASE WHEN p > 0 THEN 'lossy' ELSE 'cast' END, 'double', 'string', p FROM s
+  UNION ALL SELECT 'o_orderdate', 'cast', 'timestamp_ntz', 'date', 0
+  UNION ALL SELECT 'o_status', 'extra', NULL, 'string', 0""")
+def merge_compatibility(spark, d):
+    """Orders as another system sends them: urgent ones with half customers, open prices with their currency, days."""
+    price = F.col("o_totalprice").cast("string")
+    sent = table(spark, d, "orders").select(
+        "o_orderkey",
+        (F.col("o_custkey") + F.when(F.col("o_orderpriority") == "1-URGENT", 0.5).otherwise(0.0)).alias("o_custkey"),
+        F.when(F.col("o_orderstatus") == "P", F.concat(price, F.lit(" EUR"))).otherwise(price).alias("o_totalprice"),
+        F.to_date("o_orderdate").alias("o_orderdate"),
+        F.col("o_orderstatus").alias("o_status"),
+    )
+    return M.compatibility(_orders(spark, d), sent)
+
+
 @query(f"WITH {_SQL} FROM s")
 def merge_full_refresh(spark, d):
     return M.full_refresh(_orders(spark, d), _staging(spark, d))
