@@ -120,8 +120,8 @@ def url_filters(pages: DataFrame, rules: list[tuple[str, str]], t: Templates = T
     A template without labelled urls is rejected, at the purity of all of the node's, if it lies below a node of which
     `agree` branches or more hold `least` labels, every labelled branch has a share of `purity` or more, and all together
     do when smoothed; of several labelled nodes above, the nearest decides. There, a rule's block says nothing (it is about
-    its own path, so no other path is blocked for it), its allow counts as a label. Urls without a rule get their
-    template's verdict, allow where nothing is known.
+    its own path), its allow counts as a label. Branches that were merged are one node and share their labels, the rules'
+    too. Urls without a rule get their template's verdict, allow where nothing is known.
     Null urls and those without :// have an empty host and path and are one template. Rows of both tables count as often
     as they occur; a label whose `bad` is null is none. Other columns are not read.
     """
