@@ -14,8 +14,8 @@ from weir.operators import tables
 from weir.plans.registry import query, table
 from weir.sources import archives as R
 from weir.sources import csv_by_name as N
+from weir.sources import derby, jdbc
 from weir.sources import files as S
-from weir.sources import jdbc
 from weir.sources import versions as V
 from weir.sources.ranged import create_file, open_file, size_of
 from weir.sources.scratch import scratch
@@ -254,13 +254,13 @@ def archive_ranges(spark, d):
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def jdbc_round_trip(spark, d):
-    """Into a database and back in four shards; the database that Spark brings lives in one JVM, so this is for one machine."""
-    url, names = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    """Into a database and back in four shards. The database that Spark brings lives in the driver: it loads the files of tasks, which read it packed."""
+    url, names = derby.new_database(spark), derby.PROPERTIES
     supplier = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     upper = supplier.toDF(*map(str.upper, supplier.columns))
     jdbc.write_table(upper.limit(0), url, "SUPPLIER", "overwrite", properties=names)
-    jdbc.write_table(upper, url, "SUPPLIER", "append", properties=names, expected=supplier.count())
-    return jdbc.read_sharded(spark, url, "SUPPLIER", "S_SUPPKEY", 4, names).toDF(*supplier.columns)
+    jdbc.write_table(upper, url, "SUPPLIER", "append", properties=names, expected=supplier.count(), bulk=derby.IMPORT)
+    return jdbc.read_sharded(spark, derby.packed(spark, url), "SUPPLIER", "S_SUPPKEY", 4, names).toDF(*supplier.columns)
 
 
 def _texts(lines, mark, header):

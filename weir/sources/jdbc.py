@@ -7,10 +7,14 @@ import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from weir.sources.ranged import size_of
+from weir.sources.scratch import scratch
+
 
 def read_query(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None, fetch: int = 50_000) -> DataFrame:
     """A query that the database runs."""
@@ -28,12 +32,26 @@ def read_sharded(spark: SparkSession, url: str, table: str, key: str, shards: in
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
 
 
-def write_table(df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 10_000, properties: dict[str, str] | None = None, expected: int | None = None) -> None:
-    """Bulk load; the rows that the table gained must be as many as expected."""
+def write_table(df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 10_000, properties: dict[str, str] | None = None, expected: int | None = None, bulk: str | None = None) -> None:
+    """Bulk load; the rows that the table gained must be as many as expected.
+
+    bulk: the SQL by which the database itself loads a CSV file ({file}, without a header) into {table}. For a database that
+    tasks can't reach: they write files into the shared folder, and it loads one after the other.
+    """
     spark = df.sparkSession
-    count = lambda: spark.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {table}) t", properties=properties or {}).first()[0]
+
+    def count() -> int:
+        with _connection(spark, url, properties or {}) as c:
+            found = c.createStatement().executeQuery(f"SELECT COUNT(*) FROM {table}")
+            found.next()
+            return found.getLong(1)
+
     before = count() if expected is not None and mode == "append" else 0
-    df.write.option("batchsize", batch).jdbc(url, table, mode=mode, properties=properties or {})
+    if bulk:
+        df.limit(0).write.jdbc(url, table, mode=mode, properties=properties or {})  # makes the table; without rows there are no tasks
+        _load_files(df, url, table, properties or {}, bulk)
+    else:
+        df.write.option("batchsize", batch).jdbc(url, table, mode=mode, properties=properties or {})
     if expected is not None and (n := count() - before) != expected:
         raise ValueError(f"{table}: {n} rows loaded, expected {expected}")
 
@@ -89,13 +107,25 @@ def _loaded(c, runs: str, run_id: str) -> bool:
         s.close()
 
 
-def load_once(df: DataFrame, url: str, table: str, run_id: str, properties: dict[str, str] | None = None, batch: int = 10_000, runs: str = "WEIR_RUNS") -> bool:
+def _load_files(df: DataFrame, url: str, table: str, properties: dict[str, str], bulk: str) -> None:
+    """Tasks write the rows, columns in the table's order; the database loads each file. A null is nothing, an empty text has quotes."""
+    spark, folder = df.sparkSession, scratch(df.sparkSession)
+    text = {"escape": '"', "nullValue": "", "emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    df.write.options(**text).csv(folder)
+    files = sorted(f for f in map(unquote, spark.read.schema("value string").text(folder).inputFiles()) if size_of(f))
+    with _connection(spark, url, properties) as c:
+        for f in files:
+            f = "/" + f.removeprefix("file:").lstrip("/") if f.startswith("file:") else f
+            _run(c, bulk.format(table=table, file=f.replace("'", "''")))
+
+
+def load_once(df: DataFrame, url: str, table: str, run_id: str, properties: dict[str, str] | None = None, batch: int = 10_000, runs: str = "WEIR_RUNS", bulk: str | None = None) -> bool:
     """Adds the rows of a run to a table, once, however often it is called with one run_id; False if they were there.
 
     Tasks write to a staging table of the run, which is made anew, so that what a broken run left is gone. A task that ran
     twice leaves rows twice there: their number must be that of the rows sent, else this is an error and nothing is
     loaded. Then one transaction moves them and notes the run in the table `runs`, whose key no other call can take.
-    The target is made if it isn't there.
+    The target is made if it isn't there. With `bulk` the database loads the staging table from files, as in write_table.
     """
     spark, properties = df.sparkSession, properties or {}
     stage = f"{re.sub('[^A-Za-z0-9_.]', '', table)}_STAGE_{hashlib.md5(run_id.encode()).hexdigest()[:12].upper()}"
@@ -110,7 +140,12 @@ def load_once(df: DataFrame, url: str, table: str, run_id: str, properties: dict
         if _loaded(c, runs, run_id):
             return False
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("batchsize", batch).jdbc(url, stage, mode="overwrite", properties=properties)
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if bulk:
+        df.limit(0).write.jdbc(url, stage, mode="overwrite", properties=properties)
+        _load_files(rows, url, stage, properties, bulk)
+    else:
+        rows.write.option("batchsize", batch).jdbc(url, stage, mode="overwrite", properties=properties)
     sent = seen.get.get("rows") or 0
     columns = ", ".join(f'"{c}"' for c in df.columns)
     with _connection(spark, url, properties) as c:
