@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from weir.plans import registry
 spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "600m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", f"file://{sys.argv[1]}").getOrCreate()
 want = sorted(map(tuple, spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").collect()))
-for name, more in (("jdbc_round_trip", ()),):
+for name, more in (("jdbc_round_trip", ()), ("jdbc_staged_load", (2,))):
     found = registry.queries()[name](spark, "/root/testdata/sf0.01").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", *(["calls_that_loaded"] if more else []))
     assert sorted(map(tuple, found.collect())) == [w + more for w in want], name
 print("as it should be")

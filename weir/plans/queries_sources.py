@@ -271,12 +271,12 @@ def _texts(lines, mark, header):
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 2::BIGINT AS calls_that_loaded FROM supplier")
 def jdbc_staged_load(spark, d):
-    """Two runs, each called twice, into one table, read back in shards by quantiles. For one machine, as the database lives in one JVM."""
-    url, names = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    """Two runs, each called twice, into one table, read back in shards by quantiles."""
+    url, names = derby.new_database(spark), derby.PROPERTIES
     supplier = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     middle = supplier.agg(F.percentile_approx("s_suppkey", 0.5)).first()[0]
-    loaded = [jdbc.load_once(supplier.where(part), url, "SUPPLIER", run, names) for part, run in ((f"s_suppkey <= {middle}", "r1"), (f"s_suppkey > {middle}", "r2")) for _ in range(2)]
-    found = jdbc.read_by_quantiles(spark, url, "SUPPLIER", '"s_suppkey"', 4, names)
+    loaded = [jdbc.load_once(supplier.where(part), url, "SUPPLIER", run, names, bulk=derby.IMPORT) for part, run in ((f"s_suppkey <= {middle}", "r1"), (f"s_suppkey > {middle}", "r2")) for _ in range(2)]
+    found = jdbc.read_by_quantiles(spark, derby.packed(spark, url), "SUPPLIER", '"s_suppkey"', 4, names)
     return found.withColumn("calls_that_loaded", F.lit(sum(loaded)).cast("long"))
 
 
