@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import io
+import os
+import re
 import tarfile
 import zipfile
 
@@ -131,3 +133,15 @@ def test_checksums_by_file_and_by_block(spark, tmp_path):
     tree = lambda d: hashlib.md5(b"".join(hashlib.md5(d[k : k + 1000]).digest() for k in range(0, len(d), 1000))).hexdigest()
     got = {r.path.rpartition("/")[2]: (r.blocks, r.checksum) for r in A.block_checksums(spark, str(tmp_path / "in"), block=1000).collect()}
     assert got == {"a b.bin": (11, f"{tree(data)}-11"), "c.bin": (1, f"{tree(data[:1000])}-1")}
+
+
+def test_small_blocks_share_tasks(spark, tmp_path):
+    data = {"a": os.urandom(100_001), "b": b"x" * 10, "c": b""}
+    (tmp_path / "in").mkdir()
+    for name, content in data.items():
+        (tmp_path / "in" / name).write_bytes(content)
+    df = A.block_checksums(spark, str(tmp_path / "in"), block=10)
+    assert all(int(n) <= 8 for n in re.findall(r"hashpartitioning\(path[^)]*, ([0-9]+)\)", df._jdf.queryExecution().toString()))
+    md5 = lambda x: hashlib.md5(x).digest()
+    want = {n: f"{md5(b''.join(md5(x[k : k + 10]) for k in range(0, len(x), 10))).hex()}-{-(-len(x) // 10)}" for n, x in data.items() if x}
+    assert {r.path.rpartition("/")[2]: r.checksum for r in df.collect()} == want

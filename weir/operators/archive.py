@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,22 +57,29 @@ def _listing(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """md5 of the range [start, start + length) of each file, read a little at a time."""
+    """md5 of the range [start, start + length) of each file, read a little at a time; a file stays open while its ranges follow each other."""
+    opened: tuple[str, BinaryIO] | None = None
 
     def digest(path: str, start: int, left: int) -> str:
-        md5 = hashlib.md5()
-        with open_file(path) as f:
-            f.seek(start)
-            while left:
-                if not (data := f.read(min(left, 1 << 20))):
-                    raise EOFError(f"{path} is shorter than its listing says")
-                md5.update(data)
-                left -= len(data)
+        nonlocal opened
+        if opened is None or opened[0] != path:
+            if opened:
+                opened[1].close()
+            opened = path, open_file(path)
+        md5, f = hashlib.md5(), opened[1]
+        f.seek(start)
+        while left:
+            if not (data := f.read(min(left, 1 << 20))):
+                raise EOFError(f"{path} is shorter than its listing says")
+            md5.update(data)
+            left -= len(data)
         return md5.hexdigest()
 
     for batch in batches:
         rows = zip(*(batch.column(c).to_pylist() for c in ("path", "start", "length")), strict=True)
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([digest(*r) for r in rows], pa.string())], [*batch.schema.names, "md5"])
+    if opened:
+        opened[1].close()
 
 
 def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet", rows: bool = False) -> DataFrame:
@@ -93,11 +101,14 @@ def block_checksums(spark: SparkSession, path: str, pattern: str = "*", block: i
     The checksum is a tree of two levels, as object stores give for uploads in parts: the md5 of the blocks' md5 (as
     bytes, in order), a dash, and the number of blocks. Equal files have equal ones if their block is the same.
     """
-    files = _listing(spark, path, pattern)
-    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(block).cast("long")))
-    blocks = files.where("size > 0").select("path", "size", start.alias("start")).withColumn("length", F.least(F.lit(block), F.col("size") - F.col("start")))
-    n = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), files.agg(F.sum(F.ceil(F.col("size") / block))).first()[0] or 0)
-    found = blocks.repartition(int(n), "path", "start").mapInArrow(_digests, "path string, size long, start long, length long, md5 string")
+    files = _listing(spark, path, pattern).where("size > 0")
+    run = block * max(1, (4 << 20) // block)  # blocks that follow each other are read by one task, about 4 MB of them at a time
+    runs, data = files.agg(F.coalesce(F.sum(F.ceil(F.col("size") / run)), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n = tasks or max(1, min(runs, int(spark.conf.get("spark.sql.shuffle.partitions"))), min(runs, data >> 26))
+    steps = lambda a, b, by: F.explode(F.sequence(a, b - 1, F.lit(by).cast("long")))
+    dealt = files.select("path", "size", steps(F.lit(0).cast("long"), F.col("size"), run).alias("run")).repartition(int(n), "path", "run")
+    blocks = dealt.select("path", "size", steps(F.col("run"), F.least(F.col("run") + run, "size"), block).alias("start"))
+    found = blocks.withColumn("length", F.least(F.lit(block), F.col("size") - F.col("start"))).mapInArrow(_digests, "path string, size long, start long, length long, md5 string")
     whole = F.transform(F.array_sort(F.collect_list(F.struct("start", "md5"))), lambda x: x.md5)
     tree = F.concat(F.md5(F.unhex(F.array_join(whole, ""))), F.lit("-"), F.count("*"))
     return found.groupBy("path", "size").agg(F.count("*").alias("blocks"), tree.alias("checksum"))
