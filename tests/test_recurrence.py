@@ -61,3 +61,19 @@ def test_occurrences_are_those_of_a_spine(spark):
     got = {(r.job_id, r.slot) for r in R.occurrences(df, "e", F.col("a"), F.col("b")).collect()}
     spine = spark.createDataFrame([(start, end)], "a timestamp_ntz, b timestamp_ntz").select(F.explode(F.expr("sequence(a, b, interval 1 minute)")).alias("tick"))
     assert got == {tuple(r) for r in logs.slots(spine, schedules[:3]).collect()} and len(got) > 100
+
+
+def test_equal_texts_are_read_once(spark, tmp_path):
+    """The plan reads fields above the aggregation by text and nowhere else, the filters on what they say included."""
+    spark.range(1000).select(F.element_at(F.array(F.lit("*/20 8-9 * * 1-5"), F.lit("no"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("e"), F.expr("timestamp_ntz'2024-01-01'").alias("t")).write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    for out in (R.occurrences(df, "e", F.col("t"), F.col("t")+ F.expr("interval 1 day")), R.with_next(df, "e", F.col("t"))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        grouped = [k for k, line in enumerate(plan) if "Aggregate [e#" in line]
+        assert len(grouped) == 1
+        reading = [k for k, line in enumerate(plan) if "RLIKE" in line]
+        assert reading and all(k < grouped[0] and depth(plan[k]) < depth(plan[grouped[0]]) for k in reading)
+        joined = next(k for k, line in enumerate(plan) if "Join" in line)
+        assert all(k > joined for k in reading)
+        assert out.count() == (334 * 6 if "slot" in out.columns else 1000)

@@ -53,6 +53,17 @@ def with_recurrence(df: DataFrame, text: str, name: str) -> DataFrame:
     return out.withColumn(name, F.when(whole, struct)).drop("__f", "__fits", *(f"__{c}{k}" for c in "fv" for k in range(5)))
 
 
+def _read_once(df: DataFrame, text: str, name: str) -> DataFrame:
+    """df with the recurrence in a column and its minutes of a day ({name}_minutes), of which each different text is read once and not row by row; null for what is none.
+
+    The text that is read is an aggregate, so that no condition on what it says is moved to where all rows are.
+    """
+    texts = df.groupBy(F.col(f"`{text}`").alias("__key")).agg(F.max(F.col(f"`{text}`")).alias("__text"))
+    minutes = F.flatten(F.transform(F.col(f"{name}.hours"), lambda h: F.transform(F.col(f"{name}.minutes"), lambda m: h * 60 + m)))
+    read = with_recurrence(texts, "__text", name).drop("__text").withColumn(f"{name}_minutes", minutes)
+    return df.join(read, F.col(f"`{text}`") == F.col("__key"), "left").drop("__key")
+
+
 def _day_in_month(r: Column, start: Column) -> Column:
     """The first fitting day from a date to the end of its month, or null; where both day and weekday are restricted either will do."""
     last = F.last_day(start)
@@ -75,7 +86,7 @@ def with_next(df: DataFrame, text: str, at: Column, name: str = "next") -> DataF
     """
     r = F.col("__r")
     t, today, hour, start = (F.col(f"__{c}") for c in ("t", "today", "hour", "start"))
-    out = with_recurrence(df, text, "__r")
+    out = _read_once(df, text, "__r")
     out = out.withColumn("__t", F.date_trunc("minute", at.cast("timestamp_ntz")).cast("timestamp_ntz") + F.expr("interval 1 minute"))
     out = out.withColumns({"__today": F.to_date(t), "__hour": F.hour(t), "__least": F.minute(t), "__first": F.get(r.minutes, F.lit(0))})
     minute = F.when(F.array_contains(r.hours, hour), F.get(F.filter(r.minutes, lambda m: m >= F.col("__least")), F.lit(0)))
@@ -89,19 +100,22 @@ def with_next(df: DataFrame, text: str, at: Column, name: str = "next") -> DataF
         out = out.withColumn("__day", F.when(F.col("__day").isNotNull() | r.isNull(), F.col("__day")).otherwise(F.get(F.filter(months, lambda d: d.isNotNull()), F.lit(0))))
     minutes = F.when((F.col("__day") == today) & F.col("__left").isNotNull(), F.col("__left")).otherwise(F.get(r.hours, F.lit(0)) * 60 + F.col("__first"))
     out = out.withColumn(name, F.when(r.isNotNull(), F.col("__day").cast("timestamp_ntz") + F.make_dt_interval(mins=minutes)))
-    return out.drop("__r", "__t", "__today", "__hour", "__least", "__first", "__minute", "__later", "__left", "__start", "__day", "__month")
+    return out.drop("__r", "__r_minutes", "__t", "__today", "__hour", "__least", "__first", "__minute", "__later", "__left", "__start", "__day", "__month")
 
 
 def occurrences(df: DataFrame, text: str, start: Column, end: Column, name: str = "slot") -> DataFrame:
     """df with a row for each occurrence of the recurrence in a column from a time to another, both included; only they are made."""
-    out = with_recurrence(df, text, "__r").withColumns({"__a": start.cast("timestamp_ntz"), "__b": end.cast("timestamp_ntz")}).where("__r is not null and __a <= __b")
+    out = _read_once(df, text, "__r").withColumns({"__a": start.cast("timestamp_ntz"), "__b": end.cast("timestamp_ntz")}).where("__r is not null and __a <= __b")
     r = F.col("__r")
     day, weekday = F.array_contains(r.days, F.dayofmonth("__day")), F.array_contains(r.weekdays, F.dayofweek("__day") - 1)
     out = out.withColumn("__day", F.explode(F.sequence(F.to_date("__a"), F.to_date("__b"))))
     out = out.where(F.array_contains(r.months, F.month("__day")) & F.when(r.by_day & r.by_weekday, day | weekday).otherwise(day & weekday))
-    out = out.withColumn("__hour", F.explode(r.hours)).withColumn("__minute", F.explode(r.minutes))
-    out = out.withColumn(name, F.col("__day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("__hour"), mins=F.col("__minute")))
-    return out.where(F.col(name).between(F.col("__a"), F.col("__b"))).drop("__r", "__a", "__b", "__day", "__hour", "__minute")
+    midnight = F.col("__day").cast("timestamp_ntz")
+    passed = lambda t: F.timestamp_diff("MICROSECOND", midnight, F.col(t)) / F.lit(60e6)
+    # minutes of the day are compared as numbers, so that times are only made of those that are wanted
+    out = out.withColumns({"__from": F.ceil(passed("__a")), "__to": F.floor(passed("__b"))}).withColumn("__minute", F.explode("__r_minutes"))
+    out = out.where(F.col("__minute").between(F.col("__from"), F.col("__to")))
+    return out.withColumn(name, midnight + F.make_dt_interval(mins=F.col("__minute"))).drop("__r", "__r_minutes", "__a", "__b", "__day", "__from", "__to", "__minute")
 
 
 def expired_recurrences(planned: DataFrame, text: str, slot: str, as_of: Column) -> DataFrame:
