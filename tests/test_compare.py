@@ -52,3 +52,14 @@ def test_profiles_of_parts_are_the_profile_of_the_whole(spark):
     more = df.select("i").withColumn("new", F.lit("z"))
     both = {r.column: (r.rows, r.nulls) for r in C.merged_profile(C.profile(df.drop("part"), F.lit("a")).unionByName(C.profile(more, F.lit("b")))).collect()}
     assert both["new"] == (10, 5) and both["i"] == (10, 2)
+
+
+def test_a_larger_table_is_redealt_in_more_parts(spark):
+    from weir.plans.queries_compare import _redealt  # noqa: PLC0415
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "1m")
+    try:
+        assert _redealt(spark.range(2_000_000)).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset(size)
