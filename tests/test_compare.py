@@ -26,6 +26,16 @@ def test_only_rows_of_differing_buckets_are_joined(spark):
     assert none["rows_a"] == none["rows_b"] == none["joined_rows"] == 0
 
 
+def test_few_rows_are_joined_of_large_tables_too(spark):
+    a = spark.range(800_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    b = a.where("k % 50 <> 3").withColumn("v", F.when(F.col("k") % 50 == 7, -1).otherwise(F.col("v")))
+    found, want = one(C.compare_drilldown(a, b, ["k"])), one(C.compare_report(a, b, ["k"]))
+    assert 48_000 <= found.pop("joined_rows") < 0.25 * 800_000 and found == want
+    trees = [C.checksum_tree(x, ["k"]).cache() for x in (a, b)]
+    found = one(C.compare_drilldown(a, b, ["k"], trees=trees))
+    assert found.pop("joined_rows") < 0.25 * 800_000 and found == want
+
+
 def test_kept_trees_tell_what_changed(spark):
     a = spark.range(500).select(F.col("id").alias("k"), F.col("id").alias("v"))
     b = a.withColumn("v", F.when(F.col("k") == 77, 0).otherwise(F.col("v")))

@@ -225,18 +225,32 @@ def differing_leaves(tree_a: DataFrame, tree_b: DataFrame, fan: int = 256) -> Da
     return found
 
 
-def compare_drilldown(a: DataFrame, b: DataFrame, keys: list[str], exclude: list[str] | None = None, leaves: int = 1 << 16, fan: int = 256, trees: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def _in_buckets(df: DataFrame, keys: list[str], leaves: int, wanted: DataFrame) -> DataFrame:
+    return df.withColumn("__bucket", F.pmod(_hash(keys), F.lit(leaves))).join(wanted.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi").drop("__bucket")
+
+
+def compare_drilldown(a: DataFrame, b: DataFrame, keys: list[str], exclude: list[str] | None = None, leaves: int | None = None, fan: int = 256, trees: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """compare_report, for which only rows of differing buckets are joined, with the number of those, joined_rows.
 
     Two sums over the tables, or their kept trees, tell the buckets; equal ones count as matched. Where most rows differ,
-    compare_report is the shorter way.
+    compare_report is the shorter way. Without `leaves` there are 65,536, and where a bucket of so many has more than two
+    rows and over a twentieth of the rows are in differing ones, these rows alone are summed again, in buckets of about one
+    or two rows: how many rows are joined depends on how many differ, and not on the size of the tables.
     """
     columns = _columns(a, b, keys, exclude)
-    if trees is None:  # written, so that each table is summed once, however many levels are compared
-        trees = tuple(stage_and_verify(checksum_tree(x, keys, columns, leaves, fan), scratch(a.sparkSession)) for x in (a, b))
-    tree_a, tree_b = trees
-    wanted = F.broadcast(differing_leaves(tree_a, tree_b, fan))  # at most `leaves` numbers
-    some = [df.withColumn("__bucket", F.pmod(_hash(keys), F.lit(leaves))).join(wanted.withColumnRenamed("bucket", "__bucket"), "__bucket", "left_semi").drop("__bucket") for df in (a, b)]
+    first = leaves or 1 << 16
+    summed = lambda pair, n, k: tuple(stage_and_verify(checksum_tree(x, keys, columns, n, k), scratch(a.sparkSession)) for x in pair)
+    tree_a, tree_b = trees or summed((a, b), first, fan)  # written, so that each table is summed once, however many levels are compared
+    wanted = differing_leaves(tree_a, tree_b, fan)
+    some = [_in_buckets(df, keys, first, F.broadcast(wanted)) for df in (a, b)]  # at most `first` numbers
+    if leaves is None:
+        low = tree_a.unionByName(tree_b).agg(F.max("level")).first()[0] or 0
+        own = tree_a.unionByName(tree_b).where(F.col("level") == low).join(F.broadcast(wanted.withColumn("in", F.lit(1))), "bucket", "left")
+        rows, within = own.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("in") == 1, F.col("rows"))), F.lit(0))).first()
+        if rows > 4 * first and 20 * within > rows:
+            finer = 1 << (int(rows) // 4).bit_length()
+            wanted = differing_leaves(*summed(some, finer, finer), finer)  # no levels between: most of them differ
+            some = [_in_buckets(df, keys, finer, wanted) for df in some]
     report = compare_report(*some, keys, exclude)
     roots = [t.where("level = 0").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias(n)) for t, n in ((tree_a, "all_a"), (tree_b, "all_b"))]
     out = reduce(lambda x, y: x.join(F.broadcast(y), F.lit(True)), [report, *roots])  # one row each
