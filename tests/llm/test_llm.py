@@ -15,6 +15,7 @@ import corpus_pipeline
 from weir.llm import personal_data as P
 from weir.llm import toxicity as T
 from weir.llm.backoff_scores import Backoff, backoff_scores
+from weir.llm.boosting import Boosted, cuts_of
 from weir.llm.byte_bpe import _encoding, _parts, byte_bpe, byte_bpe_digest
 from weir.llm.common import components
 from weir.llm.mixing import Mix, mixed
@@ -633,6 +634,44 @@ def test_thresholds_hold_for_forms_that_the_trees_have_not_seen(spark):
     assert len(whole) >= 9 * len(wrong), wrong  # a precision of 0.9
 
 
+def many(spark):
+    """More texts than the 5,000 that trees once learned from, ids missing from some."""
+    rng = random.Random(17)
+    some = ["", " jo.lee@mail.com", " 10.1.2.3", " +1 (555) 123-4567", " 4111 1111 1111 1111", " 415-555-0134", " 2024-01-05 10:20", " 1:2"]
+    return [(None if k % 50 == 0 else k, f"{spelt(rng, 12)}{rng.choice(some)} {spelt(rng, 3)}") for k in range(6000)]
+
+
+def test_trees_and_thresholds_are_learned_from_all_documents(spark):
+    rows = many(spark)
+    model = P.train(frame(spark, rows).repartition(5))
+    every = [(r, a, b, x) for i, t in rows for r, a, b, x in P._labelled(i, t)]
+    y, held, base = (np.array([e[k] for e in every]) for k in range(3))
+    x = np.array([e[3] for e in every])
+    plain = P.Boosted().fit(x, y.astype(float))
+    assert repr(model.trees.base) == repr(plain.base) and repr(model.trees.trees) == repr(plain.trees)
+    cuts = [P.cuts_of(*np.unique(c, return_counts=True)) for c in x.T]
+    bins, first = P.binned(x, cuts), P.Boosted().start(y[~held].mean())
+    P.grow([first], cuts, lambda splits: [first.sums(splits[0], cuts, bins[~held], y[~held], np.ones((~held).sum(), int))])
+    q, own = first.predict(bins), held & ~base
+    for k, kind in enumerate(P.KINDS):
+        tried = [t for t in np.linspace(0.05, 0.995, 190) if (picked := own & (x[:, 0] == k) & (q >= t)).any() and y[picked].mean() >= 0.95]
+        assert model.thresholds[kind] == min(tried, default=0.995)
+
+
+def test_sums_that_tasks_make_give_the_same_trees(spark, monkeypatch):
+    docs = frame(spark, many(spark)[:600])
+    monkeypatch.setattr(P, "Boosted", lambda: Boosted(rounds=3))
+    model = P.train(docs)
+    assert repr(model) == repr(P.train(docs.repartition(3), P.Redaction(few=0))) and len(model.trees.trees) == 3
+
+
+def test_quantiles_of_counted_values():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 300, 5000):
+        x = rng.integers(0, 40, n) ** 3
+        assert np.array_equal(cuts_of(*np.unique(x, return_counts=True)), np.unique(np.quantile(x, np.linspace(0.02, 0.98, 25))))
+
+
 def test_boosted_trees_split_where_the_gain_is_largest():
     rng = np.random.default_rng(1)
     x = np.round(rng.normal(size=(400, 4)), 1)

@@ -6,7 +6,9 @@ import hashlib
 import ipaddress
 import random
 import re
+import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -16,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weir.llm.boosting import Boosted
-from weir.llm.common import smallest
+from weir.llm.boosting import Boosted, Splits, binned, cuts_of, grow
+from weir.llm.common import forget, saved
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -111,15 +113,21 @@ def _last_label(s: str) -> str:
     return DOT.split(s)[-1]
 
 
+def _rough(n: int) -> int:
+    """Its first three digits, so that few different numbers are left."""
+    unit = 10 ** max(0, len(str(n)) - 3)
+    return n // unit * unit
+
+
 def features(text: str, kind: str, a: int, b: int) -> list[float]:
-    """Looks, checks and context of a candidate. A sign that only the fixed formats ask for, the + of a phone, is none of them."""
+    """Looks, checks and context of a candidate, whole numbers all. A sign that only the fixed formats ask for, the + of a phone, is none of them."""
     s, before, after = text[a:b], text[max(0, a - 30) : a], text[b : b + 12]
     d = _digits(s)
     groups = re.findall("[0-9]+", s)
     last = _last_label(s) if kind == "email" else ""
     return [
         KINDS.index(kind), len(s.lstrip("+")), len(d), float(luhn(d)) if d else 0, float(13 <= len(d) <= 19 and luhn(d)), sum(c in " -" for c in s), s.count("."), s.count("("), s.count(":"),
-        len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0), max((int(g[:9]) for g in groups), default=0), float(_is_ip(s)) if kind == "ip" else 0, sum(c.isalpha() for c in s),
+        len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0), _rough(max((int(g[:9]) for g in groups), default=0)), float(_is_ip(s)) if kind == "ip" else 0, sum(c.isalpha() for c in s),
         float(bool(HINTS.search(before))), float(bool(SECRETS.search(before))), float(before[-1:].isalnum()), float(after[:1].isalnum()), float(s.lstrip("+")[:1] in "23456"), len(set(d)),
         len(groups[-1]) if groups else 0, len(groups[0]) if groups else 0, float(bool(re.match("[ .,:-]{0,2}[0-9]", after))), float(bool(re.search("[0-9][ .,:-]{0,2}$", before))),
         float(last.isalpha() and last.islower() and 2 <= len(last) <= 24), float(bool(re.search(r"\w\. \w", s))), float("dot" in s.lower()),
@@ -128,10 +136,10 @@ def features(text: str, kind: str, a: int, b: int) -> list[float]:
     ]
 
 
-# Values that the trees learn from, put into the sample's own texts: personal data in forms that the fixed formats
+# Values that the trees learn from, put into the table's own texts: personal data in forms that the fixed formats
 # don't have, and decoys of like looks.
 def _value(kind: str, rng: random.Random) -> str:
-    some = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    some = lambda n: f"{rng.randrange(10**n):0{n}}"
     if kind == "email":
         return f"{rng.choice(['jo', 'ann.lee', 'm_roth', 'k.o', 'sam'])}{rng.choice(['', some(2)])}@{rng.choice(['mail', 'uni-x', 'post', 'abc'])}{rng.choice(['', some(1)])}.{rng.choice(['com', 'org', 'de', 'co.uk', 'example.net'])}"
     if kind == "ip":
@@ -168,7 +176,7 @@ def unformatted(kind: str, s: str, rng: random.Random) -> list[str]:
 
 def decoys(kind: str, text: str, rng: random.Random) -> list[str]:
     """What a kind's generator may offer and is none of it; sentences are of the text's own words."""
-    some = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    some = lambda n: f"{rng.randrange(10**n):0{n}}"
     day = f"{rng.randrange(1950, 2040)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
     clock = f"{rng.randrange(24):02}:{rng.randrange(60):02}"
     if kind == "email":
@@ -195,19 +203,23 @@ def decoys(kind: str, text: str, rng: random.Random) -> list[str]:
 
 @dataclass(frozen=True)
 class Redaction:
-    """sample: documents, at most, from which the trees learn; a fifth of them, chosen by doc_id, set the thresholds, with
-    forms of values and decoys that the others don't have. examples: candidates of theirs, at most.
+    """The trees learn from all documents; a fifth of them, chosen by doc_id, set the thresholds, with forms of values and
+    decoys that the others don't have.
 
     precision: share of right spans that a kind's threshold must reach on the documents kept for it, base spans aside.
+    few: different binned examples, at most, whose sums the driver makes; those of more are made by tasks and are the same.
     """
 
-    sample: int = 5000
-    examples: int = 100_000
     precision: float = 0.95
+    few: int = 50_000
+
+
+def _seed(doc_id: int | None, text: str) -> int:
+    return zlib.crc32(text.encode()) if doc_id is None else doc_id
 
 
-def _kept_aside(doc_id: int) -> bool:
-    return doc_id % 5 == 0
+def _kept_aside(seed: int) -> bool:
+    return seed % 5 == 0
 
 
 def _covered(spans: dict[str, list[Span]]) -> list[Span]:
@@ -253,31 +265,58 @@ def _planted(text: str, kind: str, s: str, right: bool, rng: random.Random) -> l
     return [(c[0], float(right and c == (kind, a, b)), features(whole, *c)) for c in near if not right or c[0] != kind or c == (kind, a, b)]
 
 
+def _labelled(doc_id: int | None, text: str) -> Iterator[tuple]:
+    """(right, kept aside, base, features) of candidates. Right: base spans, and base spans or made-up values in forms that
+    the formats miss, put into the text. Wrong: decoys put into the text, and candidates that overlap no base span and
+    that a check refutes."""
+    seed = _seed(doc_id, text)
+    aside, rng = _kept_aside(seed), random.Random(seed)
+    base = base_spans(text)
+    every = _covered(base)
+    for kind, a, b in candidates(text):
+        if (a, b) in base[kind]:
+            yield True, aside, True, features(text, kind, a, b)
+        elif not _overlaps(every, a, b) and _is_wrong(text, kind, a, b):
+            yield False, aside, False, features(text, kind, a, b)
+    own = [(k, text[a:b]) for k in KINDS for a, b in base[k]] or [(k, _value(k, rng)) for k in (rng.choice(KINDS),)]
+    kind, s = rng.choice(own)
+    if kind == "phone" and len(_digits(s)) < 11:
+        s = _value(kind, rng)
+    # every third form is for the thresholds alone
+    mine = lambda forms: rng.choice([f for n, f in enumerate(forms) if (n % 3 == 2) == aside])
+    for s, right in ((mine(unformatted(kind, s, rng)), True), *((mine(decoys(k, text, rng)), False) for k in (kind, rng.choice(("email", "phone"))))):
+        for _, label, f in _planted(text, kind if right else "", s, right, rng):
+            yield label > 0, aside, False, f
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    """The rows of x as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+EXAMPLE = "label boolean, held boolean, base boolean"
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled candidates. Right: base spans, and base spans or made-up values in forms that the formats miss, put into
-    the text. Wrong: decoys put into the text, and candidates that overlap no base span and that a check refutes."""
+    """Labelled candidates, equal ones of a task counted."""
+
+    def packed() -> pa.RecordBatch:
+        *flags, x = zip(*seen, strict=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.bool_()) for c in flags), _lists(np.array(x, np.int32)), pa.array(seen.values(), pa.int64())], ["label", "held", "base", "x", "n"])
+
+    seen: Counter[tuple] = Counter()
     for batch in batches:
-        out = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            text = text.as_py() or ""
-            base = base_spans(text)
-            every = _covered(base)
-            for kind, a, b in candidates(text):
-                if (a, b) in base[kind]:
-                    out.append((doc_id, kind, 1.0, features(text, kind, a, b), True))
-                elif not _overlaps(every, a, b) and _is_wrong(text, kind, a, b):
-                    out.append((doc_id, kind, 0.0, features(text, kind, a, b), False))
-            rng = random.Random(doc_id)
-            own = [(k, text[a:b]) for k in KINDS for a, b in base[k]] or [(k, _value(k, rng)) for k in (rng.choice(KINDS),)]
-            kind, s = rng.choice(own)
-            if kind == "phone" and len(_digits(s)) < 11:
-                s = _value(kind, rng)
-            # every third form is for the thresholds alone
-            mine = lambda forms: rng.choice([f for n, f in enumerate(forms) if (n % 3 == 2) == _kept_aside(doc_id)])
-            for s, right in ((mine(unformatted(kind, s, rng)), True), *((mine(decoys(k, text, rng)), False) for k in (kind, rng.choice(("email", "phone"))))):
-                out += [(doc_id, *e, False) for e in _planted(text, kind if right else "", s, right, rng)]
-        types = (pa.int64(), pa.string(), pa.float64(), pa.list_(pa.float64()), pa.bool_())
-        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(types)], ["doc_id", "kind", "label", "features", "base"])
+            seen.update((*flags, tuple(map(int, f))) for *flags, f in _labelled(doc_id, text.as_py() or ""))
+            if len(seen) > 20_000:
+                yield packed()
+                seen.clear()
+    if seen:
+        yield packed()
 
 
 @dataclass
@@ -300,24 +339,86 @@ class Model:
         return base, {k: sorted(v) for k, v in every.items()}
 
 
+def _level(models: list[Boosted], splits: list[Splits], cuts: list[np.ndarray]) -> Callable:
+    """Sums for the next splits of two models by place, the first's without the documents kept aside."""
+
+    def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = 0
+        for batch in filter(len, batches):
+            bins = np.asfortranarray(_matrix(batch.column("bins")))
+            y, held, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "held", "n"))
+            out = out + np.stack([m.sums(own, cuts, bins, y, w) for m, own, w in zip(models, splits, (n * ~held.astype(bool), n), strict=True)])
+        yield _places(np.ravel(out))
+
+    return level
+
+
+TRIED = np.linspace(0.05, 0.995, 190)
+
+
+def _reached(trees: Boosted, cuts: list[np.ndarray]) -> Callable:
+    """Examples kept aside by kind, number of tried thresholds that they reach, and label. The formats' spans are taken anyway."""
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((len(KINDS), len(TRIED) + 1, 2), np.int64)
+        for batch in filter(len, batches):
+            kind, label, held, base, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "label", "held", "base", "n"))
+            own = held.astype(bool) & ~base.astype(bool)
+            q = trees.predict(_matrix(batch.column("bins"))[own])
+            np.add.at(out, (kind[own], np.searchsorted(TRIED, q, side="right"), label[own].astype(int)), n[own])
+        yield _places(out.ravel())
+
+    return reached
+
+
+def _places(sums: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(sums)
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at], pa.int64())], ["place", "n"])
+
+
 def train(docs: DataFrame, p: Redaction = Redaction()) -> Model:
-    """Learns from the candidates of at most `sample` documents, those whose doc_id has the smallest hash, and from values put into them."""
-    sample = smallest(docs.select("doc_id").where("doc_id is not null"), p.sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi")  # a bound of `sample` numbers
-    rows = texts.mapInArrow(_examples, "doc_id long, kind string, label double, features array<double>, base boolean").orderBy(F.xxhash64("doc_id"), "doc_id", "kind", "label", "features", "base").limit(p.examples).collect()
-    held = np.array([_kept_aside(r.doc_id) for r in rows], bool)
-    y = np.array([r.label for r in rows])
-    if len(rows) < 20 or not 0 < y[~held].sum() < (~held).sum():
+    """Learns from the candidates of all documents and from values put into them. Equal examples are counted, then those of
+    equal bins; of these the driver sees sums by leaf and bin, a job for each level of the trees, or `few` rows at most."""
+    schema = f"{EXAMPLE}, x array<int>, n long"
+    raw = saved(docs.select("doc_id", "text").mapInArrow(_examples, schema).groupBy("label", "held", "base", "x").agg(F.sum("n").alias("n")))
+    # the features' values are few: lengths, counts and flags of short strings, numbers of three digits
+    values = raw.select("n", F.posexplode("x").alias("f", "value")).groupBy("f", "value").agg(F.sum("n").alias("n")).toArrow().sort_by([("f", "ascending"), ("value", "ascending")])
+    f, value, n = (values.column(c).to_numpy() for c in ("f", "value", "n"))
+    cuts = [cuts_of(value[f == k], n[f == k]) for k in np.unique(f)]
+
+    def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            x = _matrix(batch.column("x"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("label", "held", "base")), pa.array(x[:, 0], pa.int32()), _lists(binned(x, cuts)), batch.column("n")], ["label", "held", "base", "kind", "bins", "n"])
+
+    keys = ["label", "held", "base", "kind", "bins"]
+    rows = saved(raw.mapInArrow(to_bins, f"{EXAMPLE}, kind int, bins array<tinyint>, n long").groupBy(*keys).agg(F.sum("n").alias("n")))
+    forget(raw)
+    folds = {(r.held, r.label): r for r in rows.groupBy("held", "label").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
+    count = lambda *of: sum(r.n for k, r in folds.items() if k in of)
+    right, wrong, held = count((False, True)), count((False, False)), (count((True, True)), count((True, False)))
+    if right + wrong + sum(held) < 20 or not right or not wrong:
+        forget(rows)
         return Model(None, dict.fromkeys(KINDS, 1.0))
-    x = np.array([r.features for r in rows])
-    trees = Boosted().fit(x[~held], y[~held])
-    q, thresholds = trees.predict(x[held]), {}
-    for kind in KINDS:
-        own = np.array([r.kind == kind and not r.base for r in rows], bool)[held]  # the formats' spans are taken anyway
-        tried = [t for t in np.linspace(0.05, 0.995, 190) if (picked := own & (q >= t)).any() and y[held][picked].mean() >= p.precision]
-        thresholds[kind] = float(min(tried, default=0.995))
-    # the thresholds hold for forms that the trees haven't seen; the trees that are used have seen all
-    return Model(Boosted().fit(x, y), thresholds)
+    local = rows.toArrow().to_batches() if sum(r.rows for r in folds.values()) <= p.few else None
+
+    def summed(work: Callable, *shape: int) -> np.ndarray:
+        if local is not None:
+            parts = pa.Table.from_batches(work(iter(local)))
+        else:
+            parts = rows.mapInArrow(work, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        out = np.zeros(int(np.prod(shape)), np.int64)
+        np.add.at(out, parts.column("place").to_numpy(), parts.column("n").to_numpy())
+        return out.reshape(shape)
+
+    size = sum(len(cs) + 1 for cs in cuts)
+    # the thresholds hold for forms that the first trees haven't seen; the trees that are used have seen all
+    models = [Boosted().start(right / (right + wrong)), Boosted().start((right + held[0]) / (right + wrong + sum(held)))]
+    grow(models, cuts, lambda splits: list(summed(_level(models, splits, cuts), 2, 2, 1 << len(splits[0]), size)))
+    picked = summed(_reached(models[0], cuts), len(KINDS), len(TRIED) + 1, 2)[:, ::-1].cumsum(1)[:, ::-1][:, 1:]  # wrong and right ones at each threshold
+    forget(rows)
+    good = picked[..., 1] >= np.maximum(p.precision * picked.sum(-1), 1)
+    return Model(models[1].unbinned(cuts), {k: float(min(TRIED[own], default=0.995)) for k, own in zip(KINDS, good, strict=True)})
 
 
 def _joined(spans: dict[str, list[Span]]) -> str:
@@ -342,8 +443,8 @@ def personal_data(docs: DataFrame, p: Redaction = Redaction()) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every row of docs(doc_id, text, ...).
 
     The counts and the hash are of the fixed formats' spans; `spans` has those and the accepted candidates. Offsets
-    are code points. Null and empty texts have no spans. Rows are mapped one to one; there is no shuffle but that of
-    the sample. Where a table has too few candidates to learn from, none is added. Other columns are not read.
+    are code points. Null and empty texts have no spans. Rows are mapped one to one; there is no shuffle but those
+    of the examples that the trees learn from. Where a table has too few candidates to learn from, none is added. Other columns are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, p))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
